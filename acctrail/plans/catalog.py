@@ -74,3 +74,32 @@ def q_product_history_pcl(spark, sf_dir):
     """Q3: the counts, kept for PCL accounts only."""
     counts = H.product_history(_hist(spark, sf_dir), as_of=AS_OF)
     return H.keep_product(counts, Products().pcl)
+
+
+def _pipe(spark, sf_dir):
+    from .pipeline import Pipeline
+    return Pipeline(Roles(spark, sf_dir), as_of=AS_OF)
+
+
+@register("channel_classify")
+def q_channel_classify(spark, sf_dir):
+    """Q4: acquisition channel of each PCL account."""
+    return _pipe(spark, sf_dir).channelled()
+
+
+@register("project_flags")
+def q_project_flags(spark, sf_dir):
+    """Q5: counts with multi-product flags."""
+    return _pipe(spark, sf_dir).flags()
+
+
+@register("previous_products")
+def q_previous_products(spark, sf_dir):
+    """Q6: previous five products, dates, gaps and channels per account."""
+    return _pipe(spark, sf_dir).previous()
+
+
+@register("repeat_purchase")
+def q_repeat_purchase(spark, sf_dir):
+    """Q7: PCL accounts with an earlier PCL among the previous five."""
+    return _pipe(spark, sf_dir).repeats()
