@@ -103,3 +103,57 @@ def q_previous_products(spark, sf_dir):
 def q_repeat_purchase(spark, sf_dir):
     """Q7: PCL accounts with an earlier PCL among the previous five."""
     return _pipe(spark, sf_dir).repeats()
+
+
+@register("feature_deposit")
+def q_feature_deposit(spark, sf_dir):
+    """Q8: person's deposit accounts per PCL line."""
+    return _pipe(spark, sf_dir).deposit()
+
+
+@register("feature_transfers")
+def q_feature_transfers(spark, sf_dir):
+    """Q9: onboarded balance-transfer draws per line."""
+    return _pipe(spark, sf_dir).transfers()
+
+
+@register("feature_snapshot")
+def q_feature_snapshot(spark, sf_dir):
+    """Q10: position snapshot at as_of - 2 per line."""
+    return _pipe(spark, sf_dir).snapshot()
+
+
+@register("feature_prior_accounts")
+def q_feature_prior_accounts(spark, sf_dir):
+    """Q11: applicant's prior accounts per PCL line."""
+    return _pipe(spark, sf_dir).prior_accounts()
+
+
+@register("feature_payment_history")
+def q_feature_payment_history(spark, sf_dir):
+    """Q12: good payments among the last three bills."""
+    return _pipe(spark, sf_dir).payment_history()
+
+
+@register("feature_trade_lines")
+def q_feature_trade_lines(spark, sf_dir):
+    """Q13: trade-line measures per decision and line."""
+    return _pipe(spark, sf_dir).trade_lines()
+
+
+@register("feature_autopay")
+def q_feature_autopay(spark, sf_dir):
+    """Q14: autopay enrolment / cancellation timing per line."""
+    return _pipe(spark, sf_dir).autopay()
+
+
+@register("mart_front_end")
+def q_mart_front_end(spark, sf_dir):
+    """Q15: front-end mart: driving lines + features + bands."""
+    return _pipe(spark, sf_dir).front_end()
+
+
+@register("mart_repeat_purchase")
+def q_mart_repeat_purchase(spark, sf_dir):
+    """Q16: repeat purchases left-joined to the front-end mart."""
+    return _pipe(spark, sf_dir).final()

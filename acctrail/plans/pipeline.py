@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..codes import AccountCodes, ChannelRules, Products
 from ..sources.roles import Roles
-from . import channels, history, purchases
+from . import channels, features, history, mart, purchases
 
 AS_OF = "2000-01-01"
 
@@ -50,3 +50,44 @@ class Pipeline:
 
     def repeats(self) -> DataFrame:
         return purchases.repeat_purchase(self.previous(), products=self.products)
+
+    # ------------------------------------------------------------ features
+    def deposit(self) -> DataFrame:
+        r = self.r
+        return features.feature_deposit(r.accounts, r.applications, r.borrowers, r.deposit_apps, self.codes)
+
+    def transfers(self) -> DataFrame:
+        r = self.r
+        return features.feature_transfers(r.lines, r.draw_requests, r.draws, self.codes)
+
+    def snapshot(self) -> DataFrame:
+        return features.feature_snapshot(self.r.positions, self.as_of)
+
+    def prior_accounts(self) -> DataFrame:
+        r = self.r
+        return features.feature_prior_accounts(r.accounts, r.app_attrs, r.offers, r.decisions,
+                                               r.prior_accounts, self.codes)
+
+    def payment_history(self) -> DataFrame:
+        r = self.r
+        return features.feature_payment_history(r.accounts, r.app_attrs, r.offers, r.decisions,
+                                                r.prior_accounts, r.prior_payments, self.codes)
+
+    def trade_lines(self) -> DataFrame:
+        r = self.r
+        return features.feature_trade_lines(r.lines, r.app_attrs, r.offers, r.decisions, r.trade_lines)
+
+    def autopay(self) -> DataFrame:
+        r = self.r
+        return features.feature_autopay(r.lines, r.autopay, r.positions, codes=self.codes)
+
+    # ---------------------------------------------------------------- marts
+    def front_end(self) -> DataFrame:
+        r = self.r
+        return mart.front_end_mart(r.front_end, r.cycles, r.scores, deposit=self.deposit(),
+                                   transfers=self.transfers(), snapshot=self.snapshot(),
+                                   prior_accounts=self.prior_accounts(), trade_lines=self.trade_lines(),
+                                   autopay=self.autopay())
+
+    def final(self, limit: int | None = None) -> DataFrame:
+        return mart.final_mart(self.repeats(), self.front_end(), limit=limit)
