@@ -159,3 +159,46 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
             c = c.when(F.col("_pos") == F.lit(p), F.col(f"_h{i - p + 1}"))
         prevs.append(c.alias(f"{prefix}{i}"))
     return j.select(*df.columns, *prevs)
+
+
+def horizon_counts_merge(history: DataFrame, *, person: str = "person", day: str = "created",
+                         product: str = "product_type", products: Products = Products(),
+                         horizons: Sequence[int] = HORIZON_MONTHS) -> DataFrame:
+    """W6 as a range join computed by merging, not by pairing rows.
+
+    For each account: the person's accounts dated before ``add_months(day, n)``.
+    Probe rows (one per person, day and horizon, keyed at the bound) are merged
+    with the person's day histogram in key order, probes ahead of data on
+    equal keys; a running sum read at each probe is the strict count. Both
+    sides have one row per (person, day), so the per-person merge is bounded
+    by the number of days. Rows with a NULL person get 0.
+    """
+    cats = ["tot"] + [k for k, _ in products.items()]
+    valid = history.filter(F.col(person).isNotNull())
+    hist = valid.groupBy(person, day).agg(
+        F.count(F.lit(1)).alias("_n_tot"),
+        *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in products.items()])
+    data = hist.select(person, F.col(day).alias("_key"), F.lit(1).alias("_is_data"),
+                       F.lit(None).cast("date").alias("_probe_day"), F.lit(None).cast("int").alias("_h"),
+                       *[F.col(f"_n_{k}") for k in cats])
+    probes = [hist.select(person, F.add_months(F.col(day), n).alias("_key"), F.lit(0).alias("_is_data"),
+                          F.col(day).alias("_probe_day"), F.lit(n).alias("_h"),
+                          *[F.lit(0).cast("long").alias(f"_n_{k}") for k in cats])
+              for n in horizons]
+    merged = data
+    for p in probes:
+        merged = merged.unionByName(p)
+    w = Window.partitionBy(person).orderBy("_key", "_is_data").rowsBetween(_UNB, 0)
+    running = merged.select(person, "_probe_day", "_h", "_is_data",
+                            *[F.sum(f"_n_{k}").over(w).alias(f"_c_{k}") for k in cats])
+    at_probe = running.filter(F.col("_is_data") == 0)
+    wide = at_probe.groupBy(person, "_probe_day").pivot("_h", list(horizons)).agg(
+        *[F.first(f"_c_{k}").alias(k) for k in cats])
+    renamed = wide.select(F.col(person), F.col("_probe_day").alias(day),
+                          *[F.col(f"{n}_{k}").cast("long").alias(count_col(k, f"{n}month"))
+                            for n in horizons for k in cats])
+    out_cols = [count_col(k, f"{n}month") for n in horizons for k in cats]
+    counted = valid.join(renamed, [person, day], "inner").select(*history.columns, *out_cols)
+    zeros = history.filter(F.col(person).isNull()).select(
+        *history.columns, *[F.lit(0).cast("long").alias(c) for c in out_cols])
+    return counted.unionByName(zeros)

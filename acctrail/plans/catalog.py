@@ -29,6 +29,7 @@ def register(key: str):
 
 
 def registry() -> dict[str, QueryFn]:
+    from . import ops  # noqa: F401  (registers the operator-level queries)
     return dict(_REGISTRY)
 
 
