@@ -29,13 +29,14 @@ def project_flags(channelled: DataFrame) -> DataFrame:
 
 
 def previous_products(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame,
-                      flags: DataFrame, *, products: Products = Products(),
+                      channelled: DataFrame, *, products: Products = Products(),
                       codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
     """Q6: for each opened/issued account, the person's previous ``n`` accounts.
 
     Previous = earlier in (created_at, id) order within the person; accounts
     without a person form one group, as SQL windows do. ``channel`` and
-    ``contract_month`` come from ``flags`` (present only for the accounts it
+    ``contract_month`` come from ``channelled`` (rows keyed by ``id`` with
+    ``contract_month`` and ``pcl_channel``; present only for the accounts it
     covers). Adds prev_prod{i}, prev_prod{i}_date, days_prod{i} (date
     boundaries crossed), channel_prev_prod{i}, and ``pcl_flag`` (any of the
     previous ``n`` is the PCL product).
@@ -44,7 +45,7 @@ def previous_products(accounts: DataFrame, applications: DataFrame, borrowers: D
                  .select("id", "created_at", "product_type"))
     ap = applications.select("id", "borrower_id")
     b = borrowers.select(F.col("id").alias("borrower_id"), "person")
-    prod = flags.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
+    prod = channelled.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
     rows = (a.join(ap, "id", "left").join(b, "borrower_id", "left").join(prod, "id", "left")
              .select("person", "id", "created_at", "contract_month", "product_type", "channel"))
     prev = previous_rows(rows, key="person", ts="created_at", tie="id",
