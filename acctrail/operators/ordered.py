@@ -1,19 +1,26 @@
 """Per-person ordered history without a per-person group of raw rows.
 
-A single person (or the NULL person) may own a large share of all rows, so no
-window here is partitioned by the person alone over raw rows. Work is split
-into *blocks* = (person, calendar day):
+A single person (or the NULL person) may own a large share of all rows, and a
+single day of one person may too (a bulk migration day). No window here is
+partitioned by the person alone over raw rows. Work is split into *blocks*:
 
-* row-level windows are partitioned by (person, day), so a person's rows are
-  spread over as many tasks as the person has days;
+* a block is (person, calendar day); a block holding more than a set share
+  of all rows is *hot* and is cut into ``splits`` sub-blocks, equal-width
+  ranges of the in-day order value (id, or time of day) between its
+  minimum and maximum, so every row-level window is partitioned by (person,
+  day, sub-block) and a hot day is spread over many tasks;
 * person-level windows run only over one row per (person, day) (a day
-  histogram) or at most ``n`` rows per (person, day) (block tails), whose
-  size per person is bounded by the number of calendar days, not by rows;
-* results come back to the rows through an equi-join on (person, day), which
-  reuses the rows' (person, day) partitioning, so the big side shuffles once.
+  histogram) or at most ``n`` rows per block (block tails), whose size per
+  person is bounded by the number of calendar days (plus sub-blocks), not by
+  the number of rows;
+* a per-day window runs only over one row per sub-block of a hot day;
+* results return to the rows through one equi-join on the rows' own window
+  partitioning, so the big side is shuffled once.
 
-Day histograms are built with partial (map-side) aggregation, so a hot person
-is collapsed before the shuffle.
+Histograms and the per-block order ranges come from one map-side partial
+aggregation, so hot keys are collapsed before any shuffle. The hot-block list
+is broadcast: it has at most 1/hot_share entries by construction, so its size
+is bounded independently of the data.
 """
 
 from __future__ import annotations
@@ -28,16 +35,54 @@ from ..codes import HORIZON_MONTHS, Products, count_col
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
+# a block is hot above max(HOT_MIN_ROWS, HOT_SHARE * all rows); at most
+# 1 / HOT_SHARE blocks can be hot, which bounds the broadcast table of hot blocks
+HOT_SHARE = 1e-4
+HOT_MIN_ROWS = 2_000_000
+SPLITS = 64
+
 
 def _is(product: str, code: str) -> Column:
     return F.when(F.col(product) == F.lit(code), F.lit(1)).otherwise(F.lit(0))
 
 
+def hot_blocks(block_stats: DataFrame, block_cols: Sequence[str], count_name: str, *,
+               hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+    """Blocks holding more than ``max(hot_min_rows, hot_share * total)`` rows.
+
+    ``block_stats`` has one row per block with its row count and the range
+    ``_lo``/``_hi`` of the in-block order value (both from the same map-side
+    aggregation that builds the block histogram). Output: block columns,
+    ``_lo``, ``_hi``; at most ``1 / hot_share`` rows.
+    """
+    total = block_stats.agg(F.sum(count_name)).scalar()
+    limit = F.greatest(F.lit(float(hot_min_rows)), total.cast("double") * F.lit(hot_share))
+    return block_stats.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi")
+
+
+def with_sub_block(rows: DataFrame, hot: DataFrame, block_cols: Sequence[str], order_value: Column,
+                   splits: int = SPLITS) -> DataFrame:
+    """Add ``_sub``: 0 outside hot blocks; inside, one of ``splits`` equal-width
+    ranges of ``order_value`` between the block's ``_lo`` and ``_hi``.
+
+    The index never decreases as the order value grows, so sub-blocks are
+    contiguous, ordered ranges of the in-block order. The join with the hot
+    list is a broadcast (bounded size), fused into the scan of the rows.
+    """
+    j = rows.join(F.broadcast(hot), list(block_cols), "left")
+    width = (F.col("_hi") - F.col("_lo")).cast("double") + F.lit(1.0)
+    idx = F.floor((order_value - F.col("_lo")).cast("double") / width * F.lit(splits)).cast("int")
+    sub = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(F.least(idx, F.lit(splits - 1)))
+    return j.withColumn("_sub", sub).withColumn("_hot", F.col("_lo").isNotNull()).drop("_lo", "_hi")
+
+
 def product_history_counts(history: DataFrame, *, person: str = "person", id_col: str = "id",
                            day: str = "created", product: str = "product_type",
                            products: Products = Products(), as_of=None,
                            horizons: Sequence[int] = HORIZON_MONTHS,
-                           include: Sequence[str] = ("orig", "months", "today")) -> DataFrame:
+                           include: Sequence[str] = ("orig", "months", "today"),
+                           hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS,
+                           splits: int = SPLITS) -> DataFrame:
     """Counts of each person's accounts around every account.
 
     * ``orig``: accounts strictly before this one in (day, id) order, per known
@@ -50,6 +95,7 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
     (BIGINT), named ``cnt_<tot|pcl|pl|dep|hm>_post_accts1_<suffix>``.
     """
     cats = products.items()
+    keys = [k for k, _ in cats]
     suffixes = []
     if "orig" in include:
         suffixes.append("orig")
@@ -59,54 +105,66 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
         if as_of is None:
             raise ValueError("as_of is required for the 'today' counts")
         suffixes.append("today")
-    out_cols = [count_col(c, s) for s in suffixes for c in ["tot"] + [k for k, _ in cats]]
+    out_cols = [count_col(c, s) for s in suffixes for c in ["tot"] + keys]
 
     base_cols = history.columns
     valid = history.filter(F.col(person).isNotNull())
 
-    # 1. day histogram: one row per (person, day), built with map-side partial aggregation
+    # 1. day histogram: one row per (person, day), map-side partial aggregation
     hist = valid.groupBy(person, day).agg(
         F.count(F.lit(1)).alias("_n_tot"),
-        *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in cats])
+        *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in cats],
+        F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
 
     # 2. person-level windows over the histogram (size per person <= number of days)
     spec = f"PARTITION BY `{person}` ORDER BY `{day}`"
     feats = [F.col(person), F.col(day)]
     wd = Window.partitionBy(person).orderBy(day)
     if "orig" in suffixes:
-        for k, _ in cats:
+        for k in keys:
             feats.append(F.coalesce(F.sum(f"_n_{k}").over(wd.rowsBetween(_UNB, -1)),
                                     F.lit(0)).alias(f"_before_{k}"))
     for n in horizons if any(s.endswith("month") for s in suffixes) else ():
-        for k in ["tot"] + [k for k, _ in cats]:
+        for k in ["tot"] + keys:
             upto = F.expr(f"sum(_n_{k}) OVER ({spec} RANGE BETWEEN UNBOUNDED PRECEDING "
                           f"AND INTERVAL {n} MONTHS FOLLOWING)")
             at = F.expr(f"sum(_n_{k}) OVER ({spec} RANGE BETWEEN INTERVAL {n} MONTHS FOLLOWING "
                         f"AND INTERVAL {n} MONTHS FOLLOWING)")
             feats.append((upto - F.coalesce(at, F.lit(0))).cast("long").alias(count_col(k, f"{n}month")))
     if "today" in suffixes:
-        for k in ["tot"] + [k for k, _ in cats]:
+        for k in ["tot"] + keys:
             feats.append(F.sum(F.when(F.col(day) < F.lit(as_of).cast("date"), F.col(f"_n_{k}"))
                                .otherwise(F.lit(0))).over(wd.rowsBetween(_UNB, _UNF))
                          .cast("long").alias(count_col(k, "today")))
     day_feats = hist.select(*feats)
 
-    # 3. row-level part of the positional count: earlier rows of the same (person, day)
-    rows = valid
-    if "orig" in suffixes:
-        wb = Window.partitionBy(person, day).orderBy(id_col).rowsBetween(_UNB, -1)
-        rows = valid.select("*", *[F.count(F.when(F.col(product) == F.lit(code), F.lit(1)))
-                                   .over(wb).alias(f"_same_{k}") for k, code in cats])
-
-    joined = rows.join(day_feats, [person, day], "inner")
-    finals = []
     if "orig" in suffixes:
-        per = [(F.col(f"_before_{k}") + F.col(f"_same_{k}")).cast("long") for k, _ in cats]
+        # 3. the positional part inside a day: split hot days into sub-blocks by id
+        hot = hot_blocks(hist, [person, day], "_n_tot", hot_share=hot_share, hot_min_rows=hot_min_rows)
+        rows = with_sub_block(valid, hot, [person, day], F.col(id_col), splits)
+        # earlier sub-blocks of a hot day (one row per sub-block)
+        sub_hist = rows.filter("_hot").groupBy(person, day, "_sub").agg(
+            *[F.sum(_is(product, code)).alias(f"_s_{k}") for k, code in cats])
+        ws = Window.partitionBy(person, day).orderBy("_sub").rowsBetween(_UNB, -1)
+        sub_feats = sub_hist.select(person, day, "_sub", *[
+            F.coalesce(F.sum(f"_s_{k}").over(ws), F.lit(0)).alias(f"_sub_before_{k}") for k in keys])
+        keyed = (day_feats.join(sub_feats, [person, day], "left")
+                          .withColumn("_sub", F.coalesce(F.col("_sub"), F.lit(0))))
+        # earlier rows of the same sub-block
+        wb = Window.partitionBy(person, day, "_sub").orderBy(id_col).rowsBetween(_UNB, -1)
+        rows = rows.select("*", *[F.count(F.when(F.col(product) == F.lit(code), F.lit(1)))
+                                  .over(wb).alias(f"_same_{k}") for k, code in cats])
+        joined = rows.join(keyed, [person, day, "_sub"], "inner")
+        per = [(F.col(f"_before_{k}") + F.coalesce(F.col(f"_sub_before_{k}"), F.lit(0))
+                + F.col(f"_same_{k}")).cast("long") for k in keys]
         total = per[0]
         for p in per[1:]:
             total = total + p
-        finals.append(total.alias(count_col("tot", "orig")))
-        finals += [p.alias(count_col(k, "orig")) for p, (k, _) in zip(per, cats)]
+        finals = [total.alias(count_col("tot", "orig"))] + [p.alias(count_col(k, "orig"))
+                                                             for p, k in zip(per, keys)]
+    else:
+        joined = valid.join(day_feats, [person, day], "inner")
+        finals = []
     finals += [F.col(c) for c in out_cols if not c.endswith("_orig")]
     counted = joined.select(*[F.col(c) for c in base_cols], *finals).select(*base_cols, *out_cols)
 
@@ -125,19 +183,31 @@ def _null_safe_key(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
 
 
 def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[str],
-                  n: int = 5, prefix: str = "_prev") -> DataFrame:
+                  n: int = 5, prefix: str = "_prev", hot_share: float = HOT_SHARE,
+                  hot_min_rows: int = HOT_MIN_ROWS, splits: int = SPLITS) -> DataFrame:
     """Values of ``cols`` on the 1st..n-th earlier row of the same key.
 
     Order is (ts, tie) ascending; rows of a NULL key form one group, as in SQL.
     Adds struct columns ``{prefix}1`` .. ``{prefix}{n}`` (NULL where fewer
-    earlier rows exist). Blocks are (key, day of ``ts``): lags inside a block
-    come from a (key, day) window; the first rows of a block take their
-    predecessors from the *halo*, the last ``n`` rows before the block, found
-    by a window over block tails (at most ``n`` rows per key and day).
+    earlier rows exist). Blocks are (key, day of ``ts``, sub-block of a hot
+    day by ``ts`` quantiles): lags inside a block come from a block window;
+    the first rows of a block take their predecessors from the *halo*, the
+    last ``n`` rows before the block, found by a per-key window over block
+    tails (at most ``n`` rows per block). Hot days are cut by time of day;
+    rows sharing one exact ``ts`` stay in one sub-block.
     """
     d, kcols = _null_safe_key(df, key)
-    d = d.withColumn("_blk", F.to_date(F.col(ts))).withColumn("_row", F.struct(*cols))
-    part = kcols + ["_blk"]
+    t = F.col(ts)
+    # time of day in seconds (with fractions): the in-block order value
+    d = (d.withColumn("_blk", F.to_date(t)).withColumn("_row", F.struct(*cols))
+          .withColumn("_tod", F.hour(t) * 3600 + F.minute(t) * 60
+                      + F.date_part(F.lit("SECOND"), t).cast("double")))
+    day_cols = kcols + ["_blk"]
+    stats = d.groupBy(*day_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_tod").alias("_lo"),
+                                     F.max("_tod").alias("_hi"))
+    hot = hot_blocks(stats, day_cols, "_n", hot_share=hot_share, hot_min_rows=hot_min_rows)
+    d = with_sub_block(d, hot, day_cols, F.col("_tod"), splits).drop("_hot", "_tod")
+    part = day_cols + ["_sub"]
     wb = Window.partitionBy(*part).orderBy(ts, tie)
     d = d.select("*",
                  F.row_number().over(wb).alias("_pos"),
@@ -145,7 +215,7 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
                  *[F.lag("_row", i).over(wb).alias(f"_l{i}") for i in range(1, n + 1)])
 
     tails = d.filter(F.col("_pos") > F.col("_cnt") - F.lit(n)).select(*part, ts, tie, "_row", "_pos", "_cnt")
-    wt = Window.partitionBy(*kcols).orderBy("_blk", ts, tie)
+    wt = Window.partitionBy(*kcols).orderBy("_blk", "_sub", ts, tie)
     halo = (tails.select(*part, "_pos", "_cnt",
                          *[F.lag("_row", i).over(wt).alias(f"_h{i}") for i in range(1, n + 1)])
             .filter(F.col("_pos") == F.greatest(F.col("_cnt") - F.lit(n - 1), F.lit(1)))

@@ -77,33 +77,36 @@ def q_product_history_pcl(spark, sf_dir):
     return H.keep_product(counts, Products().pcl)
 
 
-def _pipe(spark, sf_dir):
+def _pipe(spark, sf_dir, materialize: bool = False):
+    """The pipeline over the role views. Composed stages read the resolved
+    people and decision-chain tables several times, so they ask for them to be
+    written once to the shared checkpoint folder (``materialize=True``)."""
     from .pipeline import Pipeline
-    return Pipeline(Roles(spark, sf_dir), as_of=AS_OF)
+    return Pipeline(Roles(spark, sf_dir), as_of=AS_OF, materialize=materialize)
 
 
 @register("channel_classify")
 def q_channel_classify(spark, sf_dir):
     """Q4: acquisition channel of each PCL account."""
-    return _pipe(spark, sf_dir).channelled()
+    return _pipe(spark, sf_dir, materialize=True).channelled()
 
 
 @register("project_flags")
 def q_project_flags(spark, sf_dir):
     """Q5: counts with multi-product flags."""
-    return _pipe(spark, sf_dir).flags()
+    return _pipe(spark, sf_dir, materialize=True).flags()
 
 
 @register("previous_products")
 def q_previous_products(spark, sf_dir):
     """Q6: previous five products, dates, gaps and channels per account."""
-    return _pipe(spark, sf_dir).previous()
+    return _pipe(spark, sf_dir, materialize=True).previous()
 
 
 @register("repeat_purchase")
 def q_repeat_purchase(spark, sf_dir):
     """Q7: PCL accounts with an earlier PCL among the previous five."""
-    return _pipe(spark, sf_dir).repeats()
+    return _pipe(spark, sf_dir, materialize=True).repeats()
 
 
 @register("feature_deposit")
@@ -151,10 +154,10 @@ def q_feature_autopay(spark, sf_dir):
 @register("mart_front_end")
 def q_mart_front_end(spark, sf_dir):
     """Q15: front-end mart: driving lines + features + bands."""
-    return _pipe(spark, sf_dir).front_end()
+    return _pipe(spark, sf_dir, materialize=True).front_end()
 
 
 @register("mart_repeat_purchase")
 def q_mart_repeat_purchase(spark, sf_dir):
     """Q16: repeat purchases left-joined to the front-end mart."""
-    return _pipe(spark, sf_dir).final()
+    return _pipe(spark, sf_dir, materialize=True).final()

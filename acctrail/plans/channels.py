@@ -64,21 +64,21 @@ def channel_label(rules: ChannelRules = ChannelRules(), codes: AccountCodes = Ac
     return classify(branches, rules.default_label)
 
 
-def channel_classify(base: DataFrame, accounts: DataFrame, app_attrs: DataFrame,
-                     enrolments: DataFrame, applications: DataFrame, touches: DataFrame,
-                     offers: DataFrame, decisions: DataFrame, loans: DataFrame, *,
+def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, chain: DataFrame,
+                     enrolments: DataFrame, touches: DataFrame, loans: DataFrame, *,
                      rules: ChannelRules = ChannelRules(),
                      codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q4: ``base`` (rows keyed by account ``id`` with a DATE ``created``) plus
     ``contract_month`` and ``pcl_channel``.
 
-    Join shape: every lookup is a left join keyed by the account id, so the
-    driving rows are shuffled once on ``id`` and each lookup side once; the
-    offer -> decision -> prior-loan chain is resolved on the application side
-    before it meets the accounts.
+    ``people`` is :func:`acctrail.plans.history.resolve_people` and ``chain``
+    is :func:`decision_chain`. Join shape: every lookup is a left join keyed
+    by the account id, so the driving rows are shuffled once on ``id`` and
+    each lookup side once; the offer -> decision -> prior-loan chain is
+    resolved on the application side before it meets the accounts.
     """
-    lir = accounts.select("id", F.col("status").alias("lir_status"), F.col("program").alias("lir_program"))
-    chain = decision_chain(app_attrs, offers, decisions)
+    lir = people.select("id", F.col("status").alias("lir_status"), F.col("program").alias("lir_program"),
+                        "lap_id", "initiator")
     issued = (loans.filter(F.col("loan_status").isin(*codes.issued_loan_statuses))
                    .select(F.col("loan_id").alias("issued_prior_loan_id")).distinct())
     app = (app_attrs.select("app_id", "is_direct_mail", "utm_source", "good_source", "api_referrer",
@@ -89,7 +89,6 @@ def channel_classify(base: DataFrame, accounts: DataFrame, app_attrs: DataFrame,
     enrolled = (enrolments.filter(F.col("status") == F.lit(codes.enrolled))
                           .select(F.col("account_id").alias("enrol_id"),
                                   F.col("status").alias("enrol_status")).distinct())
-    lap = applications.select(F.col("id").alias("lap_id"), "initiator")
     ras = first_touch(touches, codes).select(F.col("asset_id"), F.col("utm_source").alias("touch_source"))
 
     j = base.join(lir, "id", "left")
@@ -97,7 +96,6 @@ def channel_classify(base: DataFrame, accounts: DataFrame, app_attrs: DataFrame,
     j = j.join(app, (F.col("id") == F.col("app_id")) & (F.col("lir_status") == F.lit(codes.opened))
                & (F.col("lir_program") == F.lit(codes.pcl_program)), "left")
     j = j.join(enrolled, F.col("id") == F.col("enrol_id"), "left")
-    j = j.join(lap, F.col("id") == F.col("lap_id"), "left")
     j = j.join(ras, F.col("lap_id") == F.col("asset_id"), "left")
     return j.select(*base.columns,
                     year_month(local_date("created", ZONE_LOS_ANGELES)).alias("contract_month"),

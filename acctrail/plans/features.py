@@ -16,18 +16,11 @@ from pyspark.sql import functions as F
 
 from ..codes import ZONE_PST_FIXED, AccountCodes
 from ..functions import days_between, first_code, flag, local_date, ratio
-from .channels import decision_chain
 
 MONEY = "decimal(28,2)"
 MONEY4 = "decimal(28,4)"
 
 
-def _persons(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame) -> DataFrame:
-    ap = applications.select("id", "borrower_id")
-    b = borrowers.select(F.col("id").alias("borrower_id"), "person")
-    return accounts.join(ap, "id", "left").join(b, "borrower_id", "left")
-
-
 def pcl_lines(accounts: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Opened accounts of the PCL program, as ``line_id``."""
     return (accounts.filter((F.col("status") == F.lit(codes.opened))
@@ -36,14 +29,15 @@ def pcl_lines(accounts: DataFrame, codes: AccountCodes = AccountCodes()) -> Data
 
 
 # --------------------------------------------------------------------- Q8
-def feature_deposit(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame,
-                    deposit_apps: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
+def feature_deposit(people: DataFrame, deposit_apps: DataFrame,
+                    codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q8: the person's opened deposit accounts, per opened PCL line.
 
+    ``people`` is :func:`acctrail.plans.history.resolve_people`.
+
     cnt_deposit_products (distinct accounts), deposit_opened, premier_savings_flag,
     premier_savings_na, savings_flag, first/last_deposit_open_date.
     """
-    people = _persons(accounts, applications, borrowers)
     lines = (people.filter((F.col("status") == F.lit(codes.opened))
                            & (F.col("program") == F.lit(codes.pcl_program)))
                    .select(F.col("id").alias("line_id"), "person"))
@@ -114,17 +108,18 @@ def feature_snapshot(positions: DataFrame, as_of: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- Q11
-def _line_applicants(accounts, app_attrs, offers, decisions, codes) -> DataFrame:
-    chain = decision_chain(app_attrs, offers, decisions).select(F.col("app_id").alias("line_id"),
-                                                                "applicant_id")
-    return pcl_lines(accounts, codes).join(chain, "line_id", "left")
+def _line_applicants(people: DataFrame, chain: DataFrame, codes: AccountCodes) -> DataFrame:
+    c = chain.select(F.col("app_id").alias("line_id"), "applicant_id")
+    return pcl_lines(people, codes).join(c, "line_id", "left")
 
 
-def feature_prior_accounts(accounts: DataFrame, app_attrs: DataFrame, offers: DataFrame,
-                           decisions: DataFrame, prior_accounts: DataFrame,
+def feature_prior_accounts(people: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
                            codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q11: the applicant's prior accounts, per opened PCL line.
 
+    ``chain`` is :func:`acctrail.plans.channels.decision_chain` (line ->
+    credit decision -> applicant).
+
     open_prior_pcl, open_prior_pl, pl_pbal, paidoff, existingpl,
     priorpcl_contractdate, priorpcl_reward_program_code (first listed code).
     """
@@ -144,7 +139,7 @@ def feature_prior_accounts(accounts: DataFrame, app_attrs: DataFrame, offers: Da
         F.max(F.when(pcl & serv.isNotNull(), F.col("contract_date"))).alias("priorpcl_contractdate"),
         F.max(F.when(pcl & F.col("reward_codes").isNotNull(), first_code("reward_codes")))
          .alias("priorpcl_reward_program_code"))
-    j = _line_applicants(accounts, app_attrs, offers, decisions, codes).join(per_app, "applicant_id", "left")
+    j = _line_applicants(people, chain, codes).join(per_app, "applicant_id", "left")
     return j.groupBy("line_id").agg(
         F.coalesce(F.sum("open_prior_pcl"), F.lit(0).cast("long")).alias("open_prior_pcl"),
         F.coalesce(F.sum("open_prior_pl"), F.lit(0).cast("long")).alias("open_prior_pl"),
@@ -178,8 +173,7 @@ def last_bills_good_count(prior_payments: DataFrame, k: int = LAST_BILLS,
                   .groupBy("prior_account_id").agg(F.sum("good").alias("good3pmt_count")))
 
 
-def feature_payment_history(accounts: DataFrame, app_attrs: DataFrame, offers: DataFrame,
-                            decisions: DataFrame, prior_accounts: DataFrame,
+def feature_payment_history(people: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
                             prior_payments: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q12: per opened PCL line, the fewest good payments among the last 3 bills
     of any open prior personal loan of the applicant (lines without one are absent)."""
@@ -192,7 +186,7 @@ def feature_payment_history(accounts: DataFrame, app_attrs: DataFrame, offers: D
                         .agg(F.sum(F.coalesce(F.col("good3pmt_count"), F.lit(0).cast("long")))
                              .alias("good3pmt_count")))
     per_app = per_prior.groupBy("applicant_id").agg(F.min("good3pmt_count").alias("good3pmt_count"))
-    lines = _line_applicants(accounts, app_attrs, offers, decisions, codes)
+    lines = _line_applicants(people, chain, codes)
     return (lines.join(per_app, "applicant_id", "inner")
                  .groupBy("line_id").agg(F.min("good3pmt_count").alias("good3pmt_count")))
 
@@ -239,14 +233,12 @@ TRADE_COLUMNS = [
 ]
 
 
-def feature_trade_lines(lines: DataFrame, app_attrs: DataFrame, offers: DataFrame,
-                        decisions: DataFrame, trade_lines: DataFrame) -> DataFrame:
+def feature_trade_lines(lines: DataFrame, chain: DataFrame, trade_lines: DataFrame) -> DataFrame:
     """Q13: trade-line measures per (credit decision, line).
 
     Trade lines are summed per credit report first; the line -> application ->
     offer -> decision chain then picks the report (inner joins throughout).
     """
-    chain = decision_chain(app_attrs, offers, decisions)
     keyed = (lines.select("line_id")
                   .join(chain, F.col("line_id") == F.col("app_id"), "inner")
                   .select("decision_id", "line_id", "report_id"))

@@ -11,25 +11,36 @@ from ..operators.ordered import product_history_counts
 from ..sources.roles import Roles
 
 
-def account_history(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame, *,
-                    codes: AccountCodes = AccountCodes(), zone: str = ZONE_PST_FIXED) -> DataFrame:
-    """Q1: opened/issued accounts with their person and local creation date.
+PEOPLE_COLUMNS = ["id", "created_at", "product_type", "status", "program", "program_code",
+                  "lap_id", "borrower_id", "initiator", "person"]
+
 
-    ``accounts`` left join ``applications`` on id, left join ``borrowers`` on
-    the application's borrower; an account without a borrower keeps a NULL
-    person. Output: person, id, created (DATE in ``zone``), product_type.
+def resolve_people(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame) -> DataFrame:
+    """Every account with its application and its person, one row per account.
+
+    ``accounts`` left join ``applications`` on id (``lap_id`` is the
+    application's id, NULL when there is none), left join ``borrowers`` on the
+    application's borrower; an account without a borrower keeps a NULL person.
+    Many stages read this; the pipeline builds it once.
     """
-    a = accounts.filter(F.col("status").isin(codes.opened, codes.issued)) \
-                .select("id", "created_at", "product_type")
-    ap = applications.select("id", "borrower_id")
+    a = accounts.select("id", "created_at", "product_type", "status", "program", "program_code")
+    ap = applications.select("id", F.col("id").alias("lap_id"), "borrower_id", "initiator")
     b = borrowers.select(F.col("id").alias("borrower_id"), "person")
-    return (a.join(ap, "id", "left")
-             .join(b, "borrower_id", "left")
-             .select("person", "id", local_date("created_at", zone).alias("created"), "product_type"))
+    return a.join(ap, "id", "left").join(b, "borrower_id", "left").select(*PEOPLE_COLUMNS)
+
+
+def account_history(people: DataFrame, *, codes: AccountCodes = AccountCodes(),
+                    zone: str = ZONE_PST_FIXED) -> DataFrame:
+    """Q1: opened/issued accounts with their person and local creation date.
+
+    Output: person, id, created (DATE in ``zone``), product_type.
+    """
+    return (people.filter(F.col("status").isin(codes.opened, codes.issued))
+                  .select("person", "id", local_date("created_at", zone).alias("created"), "product_type"))
 
 
 def history_from_roles(r: Roles, codes: AccountCodes = AccountCodes()) -> DataFrame:
-    return account_history(r.accounts, r.applications, r.borrowers, codes=codes)
+    return account_history(resolve_people(r.accounts, r.applications, r.borrowers), codes=codes)
 
 
 def product_history(history: DataFrame, *, as_of, products: Products = Products()) -> DataFrame:

@@ -92,7 +92,7 @@ def q_union_all_outputs(spark, sf_dir):
 def q_ctas_roundtrip(spark, sf_dir):
     """Materialize the final mart twice to one target (replace, not
     append) and read the table back."""
-    mart = _pipe(spark, sf_dir).final()
+    mart = _pipe(spark, sf_dir, materialize=True).final()
     path = fresh_dir(spark, "ctas")
     files.materialize(mart, path)
     files.materialize(mart, path)

@@ -1,7 +1,13 @@
-"""The whole pipeline wired over the role views, one function per stage.
-
-Every stage is a lazy DataFrame; Catalyst sees the full plan when an action
-runs, and identical sub-plans (the shared scans and exchanges) are reused.
+"""The whole pipeline wired over the role views, one method per stage.
+
+Every stage is a lazy DataFrame. Two resolved tables feed most stages: the
+accounts with their application and person (``people``) and the application
+-> offer -> credit-decision chain (``chain``). With ``materialize=True`` each
+is computed once, written as parquet under the cluster's shared checkpoint
+folder and read back: later stages then scan a pruned, pushed-down table
+instead of repeating the joins of the largest inputs, and the lineage of
+every downstream job starts at durable storage, so a lost executor costs a
+re-read rather than a re-join.
 """
 
 from __future__ import annotations
@@ -9,24 +15,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..codes import AccountCodes, ChannelRules, Products
+from ..session import fresh_dir
 from ..sources.roles import Roles
 from . import channels, features, history, mart, purchases
 
 AS_OF = "2000-01-01"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 class Pipeline:
     def __init__(self, roles: Roles, *, as_of: str = AS_OF, products: Products = Products(),
-                 codes: AccountCodes = AccountCodes(), rules: ChannelRules = ChannelRules()):
+                 codes: AccountCodes = AccountCodes(), rules: ChannelRules = ChannelRules(),
+                 materialize: bool = False):
         self.r = roles
         self.as_of = as_of
         self.products = products
         self.codes = codes
         self.rules = rules
+        self.materialize = materialize
+        self._cache: dict[str, DataFrame] = {}
 
-    def history(self) -> DataFrame:
+    def _shared(self, name: str, build) -> DataFrame:
+        if name not in self._cache:
+            df = build()
+            self._cache[name] = written(df, name) if self.materialize else df
+        return self._cache[name]
+
+    # ------------------------------------------------------- shared inputs
+    def people(self) -> DataFrame:
+        r = self.r
+        return self._shared("people", lambda: history.resolve_people(r.accounts, r.applications, r.borrowers))
+
+    def chain(self) -> DataFrame:
         r = self.r
-        return history.account_history(r.accounts, r.applications, r.borrowers, codes=self.codes)
+        return self._shared("chain", lambda: channels.decision_chain(r.app_attrs, r.offers, r.decisions))
+
+    # ------------------------------------------------------------- history
+    def history(self) -> DataFrame:
+        return history.account_history(self.people(), codes=self.codes)
 
     def counts(self) -> DataFrame:
         return history.product_history(self.history(), as_of=self.as_of, products=self.products)
@@ -34,11 +67,13 @@ class Pipeline:
     def firstpcl(self) -> DataFrame:
         return history.keep_product(self.counts(), self.products.pcl)
 
-    def channelled(self) -> DataFrame:
+    def _classify(self, base: DataFrame) -> DataFrame:
         r = self.r
-        return channels.channel_classify(self.firstpcl(), r.accounts, r.app_attrs, r.enrolments,
-                                         r.applications, r.touches, r.offers, r.decisions, r.loans,
-                                         rules=self.rules, codes=self.codes)
+        return channels.channel_classify(base, self.people(), r.app_attrs, self.chain(), r.enrolments,
+                                         r.touches, r.loans, rules=self.rules, codes=self.codes)
+
+    def channelled(self) -> DataFrame:
+        return self._classify(self.firstpcl())
 
     def flags(self) -> DataFrame:
         return purchases.project_flags(self.channelled())
@@ -51,24 +86,18 @@ class Pipeline:
         pcl_channel) as the flags stage, without computing 25 counts that
         the previous-products stage never reads.
         """
-        r = self.r
-        pcl_rows = history.keep_product(self.history(), self.products.pcl)
-        return channels.channel_classify(pcl_rows, r.accounts, r.app_attrs, r.enrolments,
-                                         r.applications, r.touches, r.offers, r.decisions, r.loans,
-                                         rules=self.rules, codes=self.codes)
+        return self._classify(history.keep_product(self.history(), self.products.pcl))
 
     def previous(self) -> DataFrame:
-        r = self.r
-        return purchases.previous_products(r.accounts, r.applications, r.borrowers, self.channels(),
-                                           products=self.products, codes=self.codes)
+        return purchases.previous_products(self.people(), self.channels(), products=self.products,
+                                           codes=self.codes)
 
     def repeats(self) -> DataFrame:
         return purchases.repeat_purchase(self.previous(), products=self.products)
 
     # ------------------------------------------------------------ features
     def deposit(self) -> DataFrame:
-        r = self.r
-        return features.feature_deposit(r.accounts, r.applications, r.borrowers, r.deposit_apps, self.codes)
+        return features.feature_deposit(self.people(), self.r.deposit_apps, self.codes)
 
     def transfers(self) -> DataFrame:
         r = self.r
@@ -78,24 +107,22 @@ class Pipeline:
         return features.feature_snapshot(self.r.positions, self.as_of)
 
     def prior_accounts(self) -> DataFrame:
-        r = self.r
-        return features.feature_prior_accounts(r.accounts, r.app_attrs, r.offers, r.decisions,
-                                               r.prior_accounts, self.codes)
+        return features.feature_prior_accounts(self.people(), self.chain(), self.r.prior_accounts, self.codes)
 
     def payment_history(self) -> DataFrame:
         r = self.r
-        return features.feature_payment_history(r.accounts, r.app_attrs, r.offers, r.decisions,
-                                                r.prior_accounts, r.prior_payments, self.codes)
+        return features.feature_payment_history(self.people(), self.chain(), r.prior_accounts,
+                                                r.prior_payments, self.codes)
 
     def trade_lines(self) -> DataFrame:
         r = self.r
-        return features.feature_trade_lines(r.lines, r.app_attrs, r.offers, r.decisions, r.trade_lines)
+        return features.feature_trade_lines(r.lines, self.chain(), r.trade_lines)
 
     def autopay(self) -> DataFrame:
         r = self.r
         return features.feature_autopay(r.lines, r.autopay, r.positions, codes=self.codes)
 
-    # ---------------------------------------------------------------- marts
+    # --------------------------------------------------------------- marts
     def front_end(self) -> DataFrame:
         r = self.r
         return mart.front_end_mart(r.front_end, r.cycles, r.scores, deposit=self.deposit(),

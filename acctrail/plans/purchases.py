@@ -28,11 +28,11 @@ def project_flags(channelled: DataFrame) -> DataFrame:
     )
 
 
-def previous_products(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame,
-                      channelled: DataFrame, *, products: Products = Products(),
+def previous_products(people: DataFrame, channelled: DataFrame, *, products: Products = Products(),
                       codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
     """Q6: for each opened/issued account, the person's previous ``n`` accounts.
 
+    ``people`` is :func:`acctrail.plans.history.resolve_people`.
     Previous = earlier in (created_at, id) order within the person; accounts
     without a person form one group, as SQL windows do. ``channel`` and
     ``contract_month`` come from ``channelled`` (rows keyed by ``id`` with
@@ -41,12 +41,10 @@ def previous_products(accounts: DataFrame, applications: DataFrame, borrowers: D
     boundaries crossed), channel_prev_prod{i}, and ``pcl_flag`` (any of the
     previous ``n`` is the PCL product).
     """
-    a = (accounts.filter(F.col("status").isin(codes.opened, codes.issued))
-                 .select("id", "created_at", "product_type"))
-    ap = applications.select("id", "borrower_id")
-    b = borrowers.select(F.col("id").alias("borrower_id"), "person")
+    a = (people.filter(F.col("status").isin(codes.opened, codes.issued))
+               .select("person", "id", "created_at", "product_type"))
     prod = channelled.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
-    rows = (a.join(ap, "id", "left").join(b, "borrower_id", "left").join(prod, "id", "left")
+    rows = (a.join(prod, "id", "left")
              .select("person", "id", "created_at", "contract_month", "product_type", "channel"))
     prev = previous_rows(rows, key="person", ts="created_at", tie="id",
                          cols=["product_type", "created_at", "channel"], n=n, prefix="_p")

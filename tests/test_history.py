@@ -132,3 +132,36 @@ def test_previous_rows_blocks_and_halo(spark):
 
 def test_products_default_codes():
     assert [c for _, c in Products().items()] == list(KNOWN)
+
+
+def test_counts_with_hot_day_split(spark):
+    """One person holds most rows on a single day; forcing tiny thresholds makes
+    that day hot, so it is cut into sub-blocks; results must not change."""
+    rnd = random.Random(5)
+    rows = [("hot", 5000 + i, D(2022, 3, 1), rnd.choice(KNOWN + ("OTHER",))) for i in range(400)]
+    rows += [("hot", 6000 + i, D(2022, 3, 2 + i % 20), rnd.choice(KNOWN)) for i in range(60)]
+    rows += random_rows(13, n_people=4, hot_rows=30)
+    df = spark.createDataFrame(rows, SCHEMA)
+    res = product_history_counts(df, as_of=AS_OF.isoformat(), hot_share=0.2, hot_min_rows=10, splits=8)
+    got = {r["id"]: r.asDict() for r in res.collect()}
+    want = brute_counts(rows)
+    for i, w in want.items():
+        for c, v in w.items():
+            assert got[i][c] == v, (i, c)
+
+
+def test_previous_rows_with_hot_day_split(spark):
+    rnd = random.Random(9)
+    base = dt.datetime(2021, 3, 1)
+    rows = [("h", i, base + dt.timedelta(minutes=rnd.randint(0, 600)), rnd.choice(["PCL", "PL"]))
+            for i in range(1, 301)]
+    rows += [("h", 400 + i, base + dt.timedelta(days=1 + i), "DEP") for i in range(10)]
+    rows += [(None, 500 + i, base + dt.timedelta(hours=i), "PL") for i in range(12)]
+    schema = T.StructType([T.StructField("person", T.StringType()), T.StructField("id", T.LongType()),
+                           T.StructField("ts", T.TimestampNTZType()), T.StructField("prod", T.StringType())])
+    df = spark.createDataFrame(rows, schema)
+    res = previous_rows(df, key="person", ts="ts", tie="id", cols=["prod"], n=5, prefix="p",
+                        hot_share=0.2, hot_min_rows=10, splits=16)
+    got = {r["id"]: [r[f"p{k}"]["prod"] if r[f"p{k}"] is not None else None for k in range(1, 6)]
+           for r in res.collect()}
+    assert got == brute_previous(rows)
