@@ -242,7 +242,9 @@ def feature_trade_lines(lines: DataFrame, chain: DataFrame, trade_lines: DataFra
     keyed = (lines.select("line_id")
                   .join(chain, F.col("line_id") == F.col("app_id"), "inner")
                   .select("decision_id", "line_id", "report_id"))
-    j = keyed.join(trade_line_sums(trade_lines), "report_id", "inner")
+    # cluster by line_id before grouping by (decision_id, line_id): the rows are
+    # already one per report, and the mart then joins on line_id without a reshuffle
+    j = keyed.join(trade_line_sums(trade_lines), "report_id", "inner").repartition("line_id")
     return j.groupBy("decision_id", "line_id").agg(
         *[F.sum(src).cast(t).alias(name) for name, src, t in TRADE_COLUMNS])
 

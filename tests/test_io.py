@@ -39,3 +39,19 @@ def test_materialize_replaces(spark):
 
 def test_shared_dir_uses_checkpoint_dir(spark):
     assert shared_dir(spark).rstrip("/").endswith(spark.sparkContext.getCheckpointDir().rstrip("/").split("/")[-1])
+
+
+def test_streaming_ingest_splits_rejects(spark):
+    from acctrail.streaming import load_history_stream
+    src = fresh_dir(spark, "stream_src")
+    header = ",".join(["person", "id", "product_type", "created"] + count_cols())
+    files_in = [[header, _line("p1", "1", "PCL", "2024-01-31"), _line("p2", "2", "PL", "2024-13-01")],
+                [header, _line("p3", "3", "DEP", "2023-12-01"), "p4,4"]]
+    for i, lines in enumerate(files_in):
+        spark.sparkContext.parallelize(["\n".join(lines)], 1).saveAsTextFile(f"{src}/part{i}")
+    table, rejects = fresh_dir(spark, "stream_table"), fresh_dir(spark, "stream_rejects")
+    q = load_history_stream(spark, f"{src}/*", table, rejects, checkpoint_dir=fresh_dir(spark, "stream_ckpt"),
+                            max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == [1, 3]
+    assert sorted(r["raw_line"][:2] for r in spark.read.parquet(rejects).collect()) == ["p2", "p4"]
