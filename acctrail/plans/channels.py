@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..codes import ZONE_LOS_ANGELES, AccountCodes, ChannelRules
 from ..functions import classify, local_date, null_or_ne, year_month
 from ..operators.firsts import first_per_key
+from ..operators.joins import left_join
 
 
 def first_touch(touches: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
@@ -23,10 +24,12 @@ def decision_chain(app_attrs: DataFrame, offers: DataFrame, decisions: DataFrame
     (left joins: an application without an offer keeps NULLs).
     """
     a = app_attrs.select("app_id", "offer_id")
-    o = offers.select(F.col("id").alias("offer_id"), "decision_id")
-    d = decisions.select(F.col("id").alias("decision_id"), "prior_loan_id", "applicant_id", "report_id")
-    return (a.join(o, "offer_id", "left").join(d, "decision_id", "left")
-             .select("app_id", "decision_id", "prior_loan_id", "applicant_id", "report_id"))
+    o = offers.select(F.col("id").alias("_o_id"), "decision_id")
+    d = decisions.select(F.col("id").alias("_d_id"), "prior_loan_id", "applicant_id", "report_id")
+    # applications without a selected offer (NULL keys) are spread, not piled up
+    j = left_join(a, o, "offer_id", "_o_id", salt="app_id")
+    j = left_join(j, d, "decision_id", "_d_id", salt="app_id")
+    return j.select("app_id", "decision_id", "prior_loan_id", "applicant_id", "report_id")
 
 
 def touch_code(src: Column, rules: ChannelRules) -> Column:
@@ -83,9 +86,9 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
                    .select(F.col("loan_id").alias("issued_prior_loan_id")).distinct())
     app = (app_attrs.select("app_id", "is_direct_mail", "utm_source", "good_source", "api_referrer",
                             "source_system", F.col("program").alias("app_program"))
-           .join(chain.select("app_id", "prior_loan_id"), "app_id", "left")
-           .join(issued, F.col("prior_loan_id") == F.col("issued_prior_loan_id"), "left")
-           .drop("prior_loan_id"))
+           .join(chain.select("app_id", "prior_loan_id"), "app_id", "left"))
+    # most decisions carry no prior loan: NULL keys are spread, not piled up
+    app = left_join(app, issued, "prior_loan_id", "issued_prior_loan_id", salt="app_id").drop("prior_loan_id")
     enrolled = (enrolments.filter(F.col("status") == F.lit(codes.enrolled))
                           .select(F.col("account_id").alias("enrol_id"),
                                   F.col("status").alias("enrol_status")).distinct())
@@ -96,7 +99,7 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
     j = j.join(app, (F.col("id") == F.col("app_id")) & (F.col("lir_status") == F.lit(codes.opened))
                & (F.col("lir_program") == F.lit(codes.pcl_program)), "left")
     j = j.join(enrolled, F.col("id") == F.col("enrol_id"), "left")
-    j = j.join(ras, F.col("lap_id") == F.col("asset_id"), "left")
+    j = left_join(j, ras, "lap_id", "asset_id", salt="id")
     return j.select(*base.columns,
                     year_month(local_date("created", ZONE_LOS_ANGELES)).alias("contract_month"),
                     channel_label(rules, codes).alias("pcl_channel"))

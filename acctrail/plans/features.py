@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..codes import ZONE_PST_FIXED, AccountCodes
 from ..functions import days_between, first_code, flag, local_date, ratio
+from ..operators.joins import left_join
 
 MONEY = "decimal(28,2)"
 MONEY4 = "decimal(28,4)"
@@ -58,7 +59,8 @@ def feature_deposit(people: DataFrame, deposit_apps: DataFrame,
         F.max(flag(has & F.col("account_type").isin(*codes.savings_types))).alias("savings_flag"),
         F.min("open_date").alias("first_deposit_open_date"),
         F.max("open_date").alias("last_deposit_open_date"))
-    j = lines.join(per_person, "person", "left")
+    # lines without a person (NULL key) are spread, not piled up in one task
+    j = left_join(lines, per_person.withColumnRenamed("person", "_pp"), "person", "_pp", salt="line_id")
     return j.select(
         "line_id",
         F.coalesce("cnt_deposit_products", F.lit(0).cast("long")).alias("cnt_deposit_products"),
@@ -139,7 +141,8 @@ def feature_prior_accounts(people: DataFrame, chain: DataFrame, prior_accounts:
         F.max(F.when(pcl & serv.isNotNull(), F.col("contract_date"))).alias("priorpcl_contractdate"),
         F.max(F.when(pcl & F.col("reward_codes").isNotNull(), first_code("reward_codes")))
          .alias("priorpcl_reward_program_code"))
-    j = _line_applicants(people, chain, codes).join(per_app, "applicant_id", "left")
+    j = left_join(_line_applicants(people, chain, codes), per_app.withColumnRenamed("applicant_id", "_ap"),
+                  "applicant_id", "_ap", salt="line_id")
     return j.groupBy("line_id").agg(
         F.coalesce(F.sum("open_prior_pcl"), F.lit(0).cast("long")).alias("open_prior_pcl"),
         F.coalesce(F.sum("open_prior_pl"), F.lit(0).cast("long")).alias("open_prior_pl"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..codes import ZONE_PST_FIXED, AccountCodes, Products
 from ..functions import local_date
+from ..operators.joins import left_join
 from ..operators.ordered import product_history_counts
 from ..sources.roles import Roles
 
@@ -25,8 +26,9 @@ def resolve_people(accounts: DataFrame, applications: DataFrame, borrowers: Data
     """
     a = accounts.select("id", "created_at", "product_type", "status", "program", "program_code")
     ap = applications.select("id", F.col("id").alias("lap_id"), "borrower_id", "initiator")
-    b = borrowers.select(F.col("id").alias("borrower_id"), "person")
-    return a.join(ap, "id", "left").join(b, "borrower_id", "left").select(*PEOPLE_COLUMNS)
+    b = borrowers.select(F.col("id").alias("_b_id"), "person")
+    # accounts without an application have a NULL borrower: spread, not piled up
+    return left_join(a.join(ap, "id", "left"), b, "borrower_id", "_b_id", salt="id").select(*PEOPLE_COLUMNS)
 
 
 def account_history(people: DataFrame, *, codes: AccountCodes = AccountCodes(),

@@ -14,6 +14,7 @@ from ..functions import (cashflow_band, classify, days_between, days_between_ban
                          income_band, local_date, null_or_ne, ratio, score_band_coarse,
                          score_band_fine, usage_mix, year_month)
 from ..operators.firsts import latest_k
+from ..operators.joins import left_anti_join, left_join
 from ..operators.ordered import horizon_counts_merge
 from ..session import fresh_dir
 from ..sources import files
@@ -282,7 +283,7 @@ def q_join_unmatched_flag(spark, sf_dir):
     """Unmatched indicator after a left join (no issued prior loan)."""
     r = Roles(spark, sf_dir)
     d = r.decisions.select("id", "prior_loan_id")
-    j = d.join(_issued_loans(r), F.col("prior_loan_id") == F.col("loan_id"), "left")
+    j = left_join(d, _issued_loans(r), "prior_loan_id", "loan_id", salt="id")
     return j.select("id", "prior_loan_id", flag(F.col("loan_id").isNull()).alias("no_prior_loan"))
 
 
@@ -291,7 +292,7 @@ def q_join_anti(spark, sf_dir):
     """Decisions without an issued prior loan (left anti join)."""
     r = Roles(spark, sf_dir)
     d = r.decisions.select("id", "prior_loan_id")
-    return d.join(_issued_loans(r), F.col("prior_loan_id") == F.col("loan_id"), "left_anti")
+    return left_anti_join(d, _issued_loans(r), "prior_loan_id", "loan_id", salt="id")
 
 
 @register("join_left_where_right")
