@@ -108,7 +108,11 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
     out_cols = [count_col(c, s) for s in suffixes for c in ["tot"] + keys]
 
     base_cols = history.columns
-    valid = history.filter(F.col(person).isNotNull())
+    # Rows without a person stay in the same flow: NULL is an ordinary group key
+    # for the (person, day[, sub-block]) windows and histograms, so those rows are
+    # spread by day like any other person's; their counts are forced to 0 at the
+    # end. No second pass over the input is needed for them.
+    valid = history
 
     # 1. day histogram: one row per (person, day), map-side partial aggregation
     hist = valid.groupBy(person, day).agg(
@@ -154,7 +158,7 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
         wb = Window.partitionBy(person, day, "_sub").orderBy(id_col).rowsBetween(_UNB, -1)
         rows = rows.select("*", *[F.count(F.when(F.col(product) == F.lit(code), F.lit(1)))
                                   .over(wb).alias(f"_same_{k}") for k, code in cats])
-        joined = rows.join(keyed, [person, day, "_sub"], "inner")
+        joined = rows.join(keyed, [person, day, "_sub"], "left")
         per = [(F.col(f"_before_{k}") + F.coalesce(F.col(f"_sub_before_{k}"), F.lit(0))
                 + F.col(f"_same_{k}")).cast("long") for k in keys]
         total = per[0]
@@ -163,14 +167,13 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
         finals = [total.alias(count_col("tot", "orig"))] + [p.alias(count_col(k, "orig"))
                                                              for p, k in zip(per, keys)]
     else:
-        joined = valid.join(day_feats, [person, day], "inner")
+        joined = valid.join(day_feats, [person, day], "left")
         finals = []
     finals += [F.col(c) for c in out_cols if not c.endswith("_orig")]
-    counted = joined.select(*[F.col(c) for c in base_cols], *finals).select(*base_cols, *out_cols)
-
-    zeros = history.filter(F.col(person).isNull()).select(
-        *base_cols, *[F.lit(0).cast("long").alias(c) for c in out_cols])
-    return counted.unionByName(zeros)
+    no_person = F.col(person).isNull()
+    counted = joined.select(*[F.col(c) for c in base_cols], *finals)
+    return counted.select(*base_cols, *[F.when(no_person, F.lit(0).cast("long")).otherwise(F.col(c)).alias(c)
+                                        for c in out_cols])
 
 
 def _null_safe_key(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:

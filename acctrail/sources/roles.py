@@ -174,16 +174,30 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Roles:
-    """Lazy accessor: ``Roles(spark, sf_dir).accounts`` etc."""
+    """Lazy accessor: ``Roles(spark, sf_dir).accounts`` etc.
+
+    Each base table is opened once (one footer/schema read) and each role view
+    built once; DataFrames are immutable, so every stage can share them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._bases: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
+
+    def base(self, table: str) -> DataFrame:
+        if table not in self._bases:
+            self._bases[table] = load(self.spark, self.sf_dir, table)
+        return self._bases[table]
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in ROLES:
+        if name.startswith("_") or name not in ROLES:
             raise AttributeError(name)
-        return role(self.spark, self.sf_dir, name)
+        if name not in self._views:
+            base, cols = ROLES[name]
+            self._views[name] = self.base(base).selectExpr(*cols)
+        return self._views[name]
 
 
 def role_cte(name: str) -> str:
