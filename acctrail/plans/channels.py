@@ -99,7 +99,9 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
     j = j.join(app, (F.col("id") == F.col("app_id")) & (F.col("lir_status") == F.lit(codes.opened))
                & (F.col("lir_program") == F.lit(codes.pcl_program)), "left")
     j = j.join(enrolled, F.col("id") == F.col("enrol_id"), "left")
-    j = left_join(j, ras, "lap_id", "asset_id", salt="id")
+    # the application id equals the account id whenever it exists, so the touch
+    # lookup stays keyed (and co-partitioned) on id; no application, no touch
+    j = j.join(ras, (F.col("id") == F.col("asset_id")) & F.col("lap_id").isNotNull(), "left")
     return j.select(*base.columns,
                     year_month(local_date("created", ZONE_LOS_ANGELES)).alias("contract_month"),
                     channel_label(rules, codes).alias("pcl_channel"))
