@@ -33,7 +33,13 @@ def registry() -> dict[str, QueryFn]:
     return dict(_REGISTRY)
 
 
-def _hist(spark, sf_dir):
+def _hist(spark, sf_dir, materialize: bool = False):
+    """The account history. ``materialize=True`` when the caller reads it several
+    times (the count operators read it for the day histogram, the hot-block
+    detection and the row windows): the resolved people table is then written
+    once instead of its joins being planned again for each branch."""
+    if materialize:
+        return _pipe(spark, sf_dir, materialize=True).history()
     return H.history_from_roles(Roles(spark, sf_dir))
 
 
@@ -46,12 +52,12 @@ def q_account_history(spark, sf_dir):
 @register("product_history_counts")
 def q_product_history_counts(spark, sf_dir):
     """Q2: all 25 product-history counts per account."""
-    return H.product_history(_hist(spark, sf_dir), as_of=AS_OF)
+    return H.product_history(_hist(spark, sf_dir, materialize=True), as_of=AS_OF)
 
 
 def _only(include):
     def q(spark, sf_dir):
-        return product_history_counts(_hist(spark, sf_dir), as_of=AS_OF, include=include)
+        return product_history_counts(_hist(spark, sf_dir, materialize=True), as_of=AS_OF, include=include)
     return q
 
 
@@ -60,7 +66,8 @@ register("product_history_prior")(_only(("orig",)))
 
 def _months(n):
     def q(spark, sf_dir):
-        return product_history_counts(_hist(spark, sf_dir), include=("months",), horizons=(n,))
+        return product_history_counts(_hist(spark, sf_dir, materialize=True), include=("months",),
+                                      horizons=(n,))
     return q
 
 
@@ -73,7 +80,7 @@ register("product_history_today")(_only(("today",)))
 @register("product_history_pcl")
 def q_product_history_pcl(spark, sf_dir):
     """Q3: the counts, kept for PCL accounts only."""
-    counts = H.product_history(_hist(spark, sf_dir), as_of=AS_OF)
+    counts = H.product_history(_hist(spark, sf_dir, materialize=True), as_of=AS_OF)
     return H.keep_product(counts, Products().pcl)
 
 
@@ -112,7 +119,7 @@ def q_repeat_purchase(spark, sf_dir):
 @register("feature_deposit")
 def q_feature_deposit(spark, sf_dir):
     """Q8: person's deposit accounts per PCL line."""
-    return _pipe(spark, sf_dir).deposit()
+    return _pipe(spark, sf_dir, materialize=True).deposit()
 
 
 @register("feature_transfers")

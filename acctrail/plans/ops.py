@@ -41,7 +41,7 @@ def q_csv_roundtrip(spark, sf_dir):
     schema = files.HISTORY_SCHEMA
     renamed = T.StructType([f if f.name != "created" else T.StructField("Date", f.dataType)
                             for f in schema.fields])
-    counts = _pipe(spark, sf_dir).firstpcl().withColumnRenamed("created", "Date")
+    counts = _pipe(spark, sf_dir, materialize=True).firstpcl().withColumnRenamed("created", "Date")
     path = files.write_history_csv(counts, fresh_dir(spark, "csv_roundtrip"), renamed)
     back = files.read_csv(spark, path, renamed)
     return back.withColumnRenamed("Date", "created")
@@ -50,7 +50,7 @@ def q_csv_roundtrip(spark, sf_dir):
 def _load_file(spark, sf_dir, foreign_product: str | None):
     """Write the history counts as CSV text lines; dates are ISO except, when
     ``foreign_product`` is given, that product's rows carry a US-style date."""
-    counts = _pipe(spark, sf_dir).counts()
+    counts = _pipe(spark, sf_dir, materialize=True).counts()
     date_txt = F.date_format("created", "yyyy-MM-dd")
     if foreign_product is not None:
         date_txt = F.when(F.col("product_type") == F.lit(foreign_product),
@@ -82,7 +82,7 @@ def q_csv_load_rejects(spark, sf_dir):
 def q_union_all_outputs(spark, sf_dir):
     """Counts written as two partial outputs (before / from the as-of
     date), merged back by one multi-path read."""
-    counts = _pipe(spark, sf_dir).counts()
+    counts = _pipe(spark, sf_dir, materialize=True).counts()
     before = F.col("created") < F.lit(AS_OF).cast("date")
     p1 = files.write_history_csv(counts.filter(before), fresh_dir(spark, "out_part"))
     p2 = files.write_history_csv(counts.filter(~before), fresh_dir(spark, "out_part"))
@@ -307,7 +307,7 @@ def q_join_left_where_right(spark, sf_dir):
 def q_range_self_join_counts(spark, sf_dir):
     """Per-person range join (accounts dated before this + n months),
     computed by merging probes with the day histogram, without pairs."""
-    return horizon_counts_merge(_hist(spark, sf_dir))
+    return horizon_counts_merge(_hist(spark, sf_dir, materialize=True))
 
 
 # ------------------------------------------------------------------ aggregates
@@ -348,7 +348,7 @@ def q_sort_recent(spark, sf_dir):
 @register("limit_preview")
 def q_limit_preview(spark, sf_dir):
     """O3: a preview of the first rows under a total order (top-n, not a sort of all rows)."""
-    return _pipe(spark, sf_dir).counts().orderBy("id").limit(10)
+    return _pipe(spark, sf_dir, materialize=True).counts().orderBy("id").limit(10)
 
 
 # ------------------------------------------------------------------- functions

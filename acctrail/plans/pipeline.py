@@ -89,8 +89,9 @@ class Pipeline:
         return self._classify(history.keep_product(self.history(), self.products.pcl))
 
     def previous(self) -> DataFrame:
+        prepare = (lambda df: written(df, "previous_input")) if self.materialize else None
         return purchases.previous_products(self.people(), self.channels(), products=self.products,
-                                           codes=self.codes)
+                                           codes=self.codes, prepare=prepare)
 
     def repeats(self) -> DataFrame:
         return purchases.repeat_purchase(self.previous(), products=self.products)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ def project_flags(channelled: DataFrame) -> DataFrame:
 
 
 def previous_products(people: DataFrame, channelled: DataFrame, *, products: Products = Products(),
-                      codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
+                      codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS,
+                      prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Q6: for each opened/issued account, the person's previous ``n`` accounts.
 
     ``people`` is :func:`acctrail.plans.history.resolve_people`.
@@ -39,13 +42,17 @@ def previous_products(people: DataFrame, channelled: DataFrame, *, products: Pro
     ``contract_month`` and ``pcl_channel``; present only for the accounts it
     covers). Adds prev_prod{i}, prev_prod{i}_date, days_prod{i} (date
     boundaries crossed), channel_prev_prod{i}, and ``pcl_flag`` (any of the
-    previous ``n`` is the PCL product).
+    previous ``n`` is the PCL product). ``prepare`` may replace the joined
+    input rows before the ordered operator reads them several times (the
+    pipeline passes a write-and-read-back so the lookups run once).
     """
     a = (people.filter(F.col("status").isin(codes.opened, codes.issued))
                .select("person", "id", "created_at", "product_type"))
     prod = channelled.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
     rows = (a.join(prod, "id", "left")
              .select("person", "id", "created_at", "contract_month", "product_type", "channel"))
+    if prepare is not None:
+        rows = prepare(rows)
     prev = previous_rows(rows, key="person", ts="created_at", tie="id",
                          cols=["product_type", "created_at", "channel"], n=n, prefix="_p")
     out = []
