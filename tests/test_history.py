@@ -165,3 +165,18 @@ def test_previous_rows_with_hot_day_split(spark):
     got = {r["id"]: [r[f"p{k}"]["prod"] if r[f"p{k}"] is not None else None for k in range(1, 6)]
            for r in res.collect()}
     assert got == brute_previous(rows)
+
+
+def test_hot_day_is_really_split(spark):
+    """The sub-block machinery is active: a forced-hot day spreads over several sub-blocks."""
+    from pyspark.sql import functions as F
+
+    from acctrail.operators.ordered import hot_blocks, with_sub_block
+    rows = [("hot", 7000 + i, D(2022, 3, 1), "PCL") for i in range(200)] + [("cold", 1, D(2022, 3, 1), "PL")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    stats = df.groupBy("person", "created").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("_lo"),
+                                                F.max("id").alias("_hi"))
+    hot = hot_blocks(stats, ["person", "created"], "n", hot_share=0.5, hot_min_rows=10)
+    subs = with_sub_block(df, hot, ["person", "created"], F.col("id"), splits=8)
+    per = {r["person"]: r["k"] for r in subs.groupBy("person").agg(F.countDistinct("_sub").alias("k")).collect()}
+    assert per == {"hot": 8, "cold": 1}
