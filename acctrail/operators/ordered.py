@@ -146,6 +146,12 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
         # 3. the positional part inside a day: split hot days into sub-blocks by id
         hot = hot_blocks(hist, [person, day], "_n_tot", hot_share=hot_share, hot_min_rows=hot_min_rows)
         rows = with_sub_block(valid, hot, [person, day], F.col(id_col), splits)
+        # rows without a person never match the hot list (NULL keys do not join) and
+        # their counts are 0 anyway: spread them over the sub-blocks by a hash of the
+        # id, so a day with many such rows is not one task either
+        rows = rows.withColumn("_sub", F.when(F.col(person).isNull(),
+                                              F.pmod(F.xxhash64(id_col), F.lit(splits)).cast("int"))
+                                        .otherwise(F.col("_sub")))
         # earlier sub-blocks of a hot day (one row per sub-block)
         sub_hist = rows.filter("_hot").groupBy(person, day, "_sub").agg(
             *[F.sum(_is(product, code)).alias(f"_s_{k}") for k, code in cats])

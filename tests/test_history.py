@@ -180,3 +180,12 @@ def test_hot_day_is_really_split(spark):
     subs = with_sub_block(df, hot, ["person", "created"], F.col("id"), splits=8)
     per = {r["person"]: r["k"] for r in subs.groupBy("person").agg(F.countDistinct("_sub").alias("k")).collect()}
     assert per == {"hot": 8, "cold": 1}
+
+
+def test_null_person_rows_are_spread_and_zero(spark):
+    rows = [(None, 9000 + i, D(2022, 5, 5), "PCL") for i in range(300)] + [("z", 1, D(2022, 5, 5), "PL")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    res = product_history_counts(df, as_of=AS_OF.isoformat(), splits=8)
+    out = {r["id"]: r for r in res.collect()}
+    assert all(out[9000 + i][count_col("tot", "12month")] == 0 for i in range(300))
+    assert out[1][count_col("tot", "12month")] == 1
