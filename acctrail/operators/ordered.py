@@ -55,9 +55,16 @@ def hot_blocks(block_stats: DataFrame, block_cols: Sequence[str], count_name: st
     aggregation that builds the block histogram). Output: block columns,
     ``_lo``, ``_hi``; at most ``1 / hot_share`` rows.
     """
-    total = block_stats.agg(F.sum(count_name)).scalar()
+    # Blocks with a NULL key cannot join the hot list, so they are left out of both
+    # the list and the total; the subquery then reads the very same filtered
+    # histogram as the list (same columns too), and the two share one exchange.
+    keyed = block_stats
+    for c in block_cols:
+        keyed = keyed.filter(F.col(c).isNotNull())
+    total = keyed.agg(F.struct(F.sum(count_name).alias("n"), F.min("_lo").alias("lo"),
+                               F.max("_hi").alias("hi")).alias("t")).scalar()["n"]
     limit = F.greatest(F.lit(float(hot_min_rows)), total.cast("double") * F.lit(hot_share))
-    return block_stats.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi")
+    return keyed.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi")
 
 
 def with_sub_block(rows: DataFrame, hot: DataFrame, block_cols: Sequence[str], order_value: Column,
