@@ -110,15 +110,17 @@ def feature_snapshot(positions: DataFrame, as_of: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- Q11
-def _line_applicants(people: DataFrame, chain: DataFrame, codes: AccountCodes) -> DataFrame:
+def _line_applicants(accounts: DataFrame, chain: DataFrame, codes: AccountCodes) -> DataFrame:
     c = chain.select(F.col("app_id").alias("line_id"), "applicant_id")
-    return pcl_lines(people, codes).join(c, "line_id", "left")
+    return pcl_lines(accounts, codes).join(c, "line_id", "left")
 
 
-def feature_prior_accounts(people: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
+def feature_prior_accounts(accounts: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
                            codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q11: the applicant's prior accounts, per opened PCL line.
 
+    ``accounts`` needs only id, status and program (the accounts table, or
+    the resolved people table).
     ``chain`` is :func:`acctrail.plans.channels.decision_chain` (line ->
     credit decision -> applicant).
 
@@ -141,7 +143,7 @@ def feature_prior_accounts(people: DataFrame, chain: DataFrame, prior_accounts:
         F.max(F.when(pcl & serv.isNotNull(), F.col("contract_date"))).alias("priorpcl_contractdate"),
         F.max(F.when(pcl & F.col("reward_codes").isNotNull(), first_code("reward_codes")))
          .alias("priorpcl_reward_program_code"))
-    j = left_join(_line_applicants(people, chain, codes), per_app.withColumnRenamed("applicant_id", "_ap"),
+    j = left_join(_line_applicants(accounts, chain, codes), per_app.withColumnRenamed("applicant_id", "_ap"),
                   "applicant_id", "_ap", salt="line_id")
     return j.groupBy("line_id").agg(
         F.coalesce(F.sum("open_prior_pcl"), F.lit(0).cast("long")).alias("open_prior_pcl"),
@@ -176,7 +178,7 @@ def last_bills_good_count(prior_payments: DataFrame, k: int = LAST_BILLS,
                   .groupBy("prior_account_id").agg(F.sum("good").alias("good3pmt_count")))
 
 
-def feature_payment_history(people: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
+def feature_payment_history(accounts: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
                             prior_payments: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q12: per opened PCL line, the fewest good payments among the last 3 bills
     of any open prior personal loan of the applicant (lines without one are absent)."""
@@ -189,7 +191,7 @@ def feature_payment_history(people: DataFrame, chain: DataFrame, prior_accounts:
                         .agg(F.sum(F.coalesce(F.col("good3pmt_count"), F.lit(0).cast("long")))
                              .alias("good3pmt_count")))
     per_app = per_prior.groupBy("applicant_id").agg(F.min("good3pmt_count").alias("good3pmt_count"))
-    lines = _line_applicants(people, chain, codes)
+    lines = _line_applicants(accounts, chain, codes)
     return (lines.join(per_app, "applicant_id", "inner")
                  .groupBy("line_id").agg(F.min("good3pmt_count").alias("good3pmt_count")))
 

@@ -108,11 +108,12 @@ class Pipeline:
         return features.feature_snapshot(self.r.positions, self.as_of)
 
     def prior_accounts(self) -> DataFrame:
-        return features.feature_prior_accounts(self.people(), self.chain(), self.r.prior_accounts, self.codes)
+        # only account columns are needed: no person resolution
+        return features.feature_prior_accounts(self.r.accounts, self.chain(), self.r.prior_accounts, self.codes)
 
     def payment_history(self) -> DataFrame:
         r = self.r
-        return features.feature_payment_history(self.people(), self.chain(), r.prior_accounts,
+        return features.feature_payment_history(r.accounts, self.chain(), r.prior_accounts,
                                                 r.prior_payments, self.codes)
 
     def trade_lines(self) -> DataFrame:
