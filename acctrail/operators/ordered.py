@@ -29,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..codes import HORIZON_MONTHS, Products, count_col
 
@@ -47,7 +48,8 @@ def _is(product: str, code: str) -> Column:
 
 
 def hot_blocks(block_stats: DataFrame, block_cols: Sequence[str], count_name: str, *,
-               hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+               hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS,
+               extra: Sequence[str] = ()) -> DataFrame:
     """Blocks holding more than ``max(hot_min_rows, hot_share * total)`` rows.
 
     ``block_stats`` has one row per block with its row count and the range
@@ -64,7 +66,14 @@ def hot_blocks(block_stats: DataFrame, block_cols: Sequence[str], count_name: st
     total = keyed.agg(F.struct(F.sum(count_name).alias("n"), F.min("_lo").alias("lo"),
                                F.max("_hi").alias("hi")).alias("t")).scalar()["n"]
     limit = F.greatest(F.lit(float(hot_min_rows)), total.cast("double") * F.lit(hot_share))
-    return keyed.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi")
+    return keyed.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi", *extra)
+
+
+def _equal_width(value: Column, lo: Column, hi: Column, splits: int) -> Column:
+    """Index (0 .. splits-1) of ``value``'s equal-width range between ``lo`` and ``hi``."""
+    width = (hi - lo).cast("double") + F.lit(1.0)
+    idx = F.floor((value - lo).cast("double") / width * F.lit(splits)).cast("int")
+    return F.least(idx, F.lit(splits - 1))
 
 
 def with_sub_block(rows: DataFrame, hot: DataFrame, block_cols: Sequence[str], order_value: Column,
@@ -77,9 +86,8 @@ def with_sub_block(rows: DataFrame, hot: DataFrame, block_cols: Sequence[str], o
     list is a broadcast (bounded size), fused into the scan of the rows.
     """
     j = rows.join(F.broadcast(hot), list(block_cols), "left")
-    width = (F.col("_hi") - F.col("_lo")).cast("double") + F.lit(1.0)
-    idx = F.floor((order_value - F.col("_lo")).cast("double") / width * F.lit(splits)).cast("int")
-    sub = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(F.least(idx, F.lit(splits - 1)))
+    sub = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_equal_width(order_value, F.col("_lo"),
+                                                                         F.col("_hi"), splits))
     return j.withColumn("_sub", sub).withColumn("_hot", F.col("_lo").isNotNull()).drop("_lo", "_hi")
 
 
@@ -209,8 +217,8 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
     day by ``ts`` quantiles): lags inside a block come from a block window;
     the first rows of a block take their predecessors from the *halo*, the
     last ``n`` rows before the block, found by a per-key window over block
-    tails (at most ``n`` rows per block). Hot days are cut by time of day;
-    rows sharing one exact ``ts`` stay in one sub-block.
+    tails (at most ``n`` rows per block). Hot days are cut by time of day,
+    or by a numeric ``tie`` when all their rows share one timestamp.
     """
     d, kcols = _null_safe_key(df, key)
     t = F.col(ts)
@@ -219,10 +227,23 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
           .withColumn("_tod", F.hour(t) * 3600 + F.minute(t) * 60
                       + F.date_part(F.lit("SECOND"), t).cast("double")))
     day_cols = kcols + ["_blk"]
+    numeric_tie = isinstance(df.schema[tie].dataType, T.NumericType)
+    tie_range = ([F.min(tie).alias("_tlo"), F.max(tie).alias("_thi")] if numeric_tie
+                 else [F.lit(None).cast("long").alias("_tlo"), F.lit(None).cast("long").alias("_thi")])
     stats = d.groupBy(*day_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_tod").alias("_lo"),
-                                     F.max("_tod").alias("_hi"))
-    hot = hot_blocks(stats, day_cols, "_n", hot_share=hot_share, hot_min_rows=hot_min_rows)
-    d = with_sub_block(d, hot, day_cols, F.col("_tod"), splits).drop("_hot", "_tod")
+                                     F.max("_tod").alias("_hi"), *tie_range)
+    hot = hot_blocks(stats, day_cols, "_n", hot_share=hot_share, hot_min_rows=hot_min_rows,
+                     extra=("_tlo", "_thi"))
+    d = d.join(F.broadcast(hot), day_cols, "left")
+    # a hot day is cut by time of day; when all its rows share one timestamp
+    # (a bulk load at midnight), by the tie column instead, which then is the
+    # whole in-block order
+    by_time = _equal_width(F.col("_tod"), F.col("_lo"), F.col("_hi"), splits)
+    by_tie = _equal_width(F.col(tie), F.col("_tlo"), F.col("_thi"), splits)
+    d = d.withColumn("_sub", F.when(F.col("_lo").isNull(), F.lit(0))
+                                .when(F.col("_hi") > F.col("_lo"), by_time)
+                                .when(F.col("_thi").isNotNull(), by_tie)
+                                .otherwise(F.lit(0))).drop("_lo", "_hi", "_tlo", "_thi", "_tod")
     part = day_cols + ["_sub"]
     wb = Window.partitionBy(*part).orderBy(ts, tie)
     d = d.select("*",

@@ -189,3 +189,18 @@ def test_null_person_rows_are_spread_and_zero(spark):
     out = {r["id"]: r for r in res.collect()}
     assert all(out[9000 + i][count_col("tot", "12month")] == 0 for i in range(300))
     assert out[1][count_col("tot", "12month")] == 1
+
+
+def test_previous_rows_hot_day_at_one_timestamp(spark):
+    """A bulk-loaded day (every row at midnight) is split by id and stays exact."""
+    midnight = dt.datetime(2021, 7, 1)
+    rows = [("m", 50 + i, midnight, "PCL" if i % 3 else "PL") for i in range(120)]
+    rows += [("m", 10, midnight - dt.timedelta(days=1), "DEP"), ("m", 500, midnight + dt.timedelta(days=1), "HM")]
+    schema = T.StructType([T.StructField("person", T.StringType()), T.StructField("id", T.LongType()),
+                           T.StructField("ts", T.TimestampNTZType()), T.StructField("prod", T.StringType())])
+    df = spark.createDataFrame(rows, schema)
+    res = previous_rows(df, key="person", ts="ts", tie="id", cols=["prod"], n=5, prefix="p",
+                        hot_share=0.3, hot_min_rows=10, splits=6)
+    got = {r["id"]: [r[f"p{k}"]["prod"] if r[f"p{k}"] is not None else None for k in range(1, 6)]
+           for r in res.collect()}
+    assert got == brute_previous(rows)
