@@ -64,7 +64,8 @@ def hot_blocks(block_stats: DataFrame, block_cols: Sequence[str], count_name: st
     for c in block_cols:
         keyed = keyed.filter(F.col(c).isNotNull())
     total = keyed.agg(F.struct(F.sum(count_name).alias("n"), F.min("_lo").alias("lo"),
-                               F.max("_hi").alias("hi")).alias("t")).scalar()["n"]
+                               F.max("_hi").alias("hi"), *[F.max(c).alias(c) for c in extra])
+                      .alias("t")).scalar()["n"]
     limit = F.greatest(F.lit(float(hot_min_rows)), total.cast("double") * F.lit(hot_share))
     return keyed.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi", *extra)
 
