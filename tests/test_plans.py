@@ -78,3 +78,21 @@ def test_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_feature_tables_have_unique_keys(spark):
+    """Reduced feature tables hold one row per key, so the mart's lookups never fan out."""
+    from pyspark.sql import functions as F
+    qs = E.queries()
+    for name, keys in [("feature_deposit", ["line_id"]), ("feature_transfers", ["line_id"]),
+                       ("feature_snapshot", ["line_id"]), ("feature_prior_accounts", ["line_id"]),
+                       ("feature_payment_history", ["line_id"]), ("feature_autopay", ["line_id"]),
+                       ("feature_trade_lines", ["decision_id", "line_id"])]:
+        df = qs[name](spark, SF)
+        assert df.groupBy(*keys).count().filter(F.col("count") > 1).count() == 0, name
+
+
+def test_mart_has_one_row_per_repeat_purchase(spark):
+    qs = E.queries()
+    assert qs["mart_repeat_purchase"](spark, SF).count() == qs["repeat_purchase"](spark, SF).count()
+    assert qs["mart_front_end"](spark, SF).count() == qs["scan_accounts"](spark, SF).count()
