@@ -55,26 +55,30 @@ def q_product_history_counts(spark, sf_dir):
     return H.product_history(_hist(spark, sf_dir, materialize=True), as_of=AS_OF)
 
 
-def _only(include):
+def _only(include, doc):
     def q(spark, sf_dir):
         return product_history_counts(_hist(spark, sf_dir, materialize=True), as_of=AS_OF, include=include)
+    q.__doc__ = doc
     return q
 
 
-register("product_history_prior")(_only(("orig",)))
+register("product_history_prior")(_only(
+    ("orig",), "W5: per account, the person's earlier accounts in (day, id) order, per known product."))
 
 
 def _months(n):
     def q(spark, sf_dir):
         return product_history_counts(_hist(spark, sf_dir, materialize=True), include=("months",),
                                       horizons=(n,))
+    q.__doc__ = f"W6: per account, the person's accounts dated before add_months(day, {n}) (strict)."
     return q
 
 
 register("product_history_3m")(_months(3))
 register("product_history_6m")(_months(6))
 register("product_history_12m")(_months(12))
-register("product_history_today")(_only(("today",)))
+register("product_history_today")(_only(
+    ("today",), "W7: per account, the person's accounts dated before the as-of date."))
 
 
 @register("product_history_pcl")
