@@ -300,7 +300,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: Fraction = Fract
     wanted = (groups.join(classes.select(F.col("cls").alias("node"), "doc", "n"), "node")
               .select(F.col("node").alias("cls"), "root", "doc", "n"))
     wanted = stored(wanted, "wanted")
-    sets = (base.join(wanted.select("cls", "root", "doc"), "doc").select("cls", "root", "text")
+    # wanted grows with the corpus, so it is never broadcast: the plan is the same at every size
+    sets = (base.join(wanted.select("cls", "root", "doc").hint("merge"), "doc").select("cls", "root", "text")
             .mapInPandas(_fetch(k), "cls binary, root binary, grams binary").dropDuplicates(["cls"]))
     blocks = wanted.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     sets = (sets.join(blocks, "root")
