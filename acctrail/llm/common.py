@@ -43,3 +43,13 @@ def fold(key: Column, folds: int) -> Column:
 
 def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
+
+
+def hash_sample(df: DataFrame, key: str, rows: int, name: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is among the ``rows`` keys with the smallest hash, stored.
+
+    At most ``rows`` keys are broadcast; null keys are never drawn.
+    """
+    keys = (df.select(key).where(F.col(key).isNotNull()).distinct()
+            .orderBy(F.xxhash64(key), key).limit(rows))
+    return stored(df.join(F.broadcast(stored(keys, f"{name}-keys")), key).dropDuplicates([key]), name)

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import token_digests
-from .common import table
+from .common import fold, table
 from .jaccard_join import jaccard_components
 from .substring_dedup import dedup_substrings
+from .toxicity import score_toxicity, train_toxicity
 from .url_filter import filter_urls
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,13 +39,21 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(90, 100))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return score_toxicity(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), 20).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def registry() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op6_ngram_jaccard, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op6_ngram_jaccard, op7_toxicity, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

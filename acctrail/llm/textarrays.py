@@ -65,7 +65,7 @@ class Words:
         sums = prefix_sums(data.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
         self.hash = span_hash(sums, _BYTE_BASE, self.start, self.end)
         size = np.fromiter(map(len, texts), np.int64, len(texts))
-        text_start = np.concatenate(([0], np.cumsum(size + 1)))
+        self.text_start = text_start = np.concatenate(([0], np.cumsum(size + 1)))
         #: index of each text's first word, and the number of words at the end
         self.first = np.searchsorted(self.start, text_start)
         self.count = np.diff(self.first)
