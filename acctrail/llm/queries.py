@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import token_digests
 from .common import fold, table
 from .jaccard_join import jaccard_components
+from .langid import identify_language, train_language_id
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity, train_toxicity
 from .url_filter import filter_urls
@@ -47,13 +48,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_language(docs, train_language_id(docs, folds=4, held_out=2))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), 20).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def registry() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op6_ngram_jaccard, op7_toxicity, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op6_ngram_jaccard, op7_toxicity, op8_language_id, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
