@@ -12,6 +12,8 @@ from .bpe import token_digests
 from .common import fold, table
 from .jaccard_join import jaccard_components
 from .langid import identify_language, train_language_id
+from .license_scan import oracle as license_oracle
+from .license_scan import scan_licenses
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity, train_toxicity
 from .url_filter import filter_urls
@@ -36,6 +38,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), *rank_file())
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(90, 100))
 
@@ -60,8 +66,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op6_ngram_jaccard, op7_toxicity, op8_language_id, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op4_license_scan, op6_ngram_jaccard, op7_toxicity, op8_language_id, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_license_scan": license_oracle()}
