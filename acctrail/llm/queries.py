@@ -14,6 +14,7 @@ from .jaccard_join import jaccard_components
 from .langid import identify_language, train_language_id
 from .license_scan import oracle as license_oracle
 from .license_scan import scan_licenses
+from .pii import KINDS, count_kind, find_pii, spans_text, train_pii
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity, train_toxicity
 from .url_filter import filter_urls
@@ -34,6 +35,13 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = find_pii(docs, train_pii(docs))
+    return found.select("doc_id", *(count_kind(F.col("base"), k).alias(f"n_{k}") for k in KINDS),
+                        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), *rank_file())
 
@@ -66,7 +74,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_url_filter, op3_byte_bpe, op4_license_scan, op6_ngram_jaccard, op7_toxicity, op8_language_id, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_byte_bpe, op4_license_scan, op6_ngram_jaccard, op7_toxicity, op8_language_id, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
