@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
@@ -170,6 +170,27 @@ def _blocks(items: DataFrame):
         yield block
 
 
+def contaminated_column(text: Column, benchmark: DataFrame, edits: float = 0.2, tables: int = 24, samples: int = 2,
+                        seed: int = 11) -> Column:
+    """Whether the text matches any item, as a column expression, so that all columns of a table stay."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text"))
+    out = F.lit(False)
+    for block in _blocks(items):
+        out = out | _matching(Index(block, edits, tables, samples, seed))(F.coalesce(text, F.lit("")))
+    return out
+
+
+def _matching(index: Index):
+    @F.pandas_udf("boolean")
+    def hit(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts), bool)
+        for at, part in chunks([_normal(t) for t in texts]):
+            out[[at + doc for doc, *_ in index.matches(Words(part))]] = True
+        return pd.Series(out)
+
+    return hit
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, tables: int = 24, samples: int = 2, seed: int = 11) -> DataFrame:
     """doc_id, item_id, distance, first_word, n_words: best verified match of each row of ``docs`` and item.
 

@@ -81,7 +81,7 @@ def _points(k: int):
                        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 rows = pdf.iloc[at:at + len(part)]
                 yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "doc": rows["doc"].to_numpy(),
-                                    "cls": _class_keys(gram, off), "n": size.astype(np.int64), "vec": vec})
+                                    "text_id": rows["text_id"].to_numpy(), "cls": _class_keys(gram, off), "n": size.astype(np.int64), "vec": vec})
     return run
 
 
@@ -272,11 +272,36 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: Fraction = Fract
     Repeated rows and different texts under one doc_id are rows of their own.
     Other columns of ``docs`` are not read. Runs jobs (see ``common.stored``).
     """
+    return _joined(docs, k, similarity).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, similarity: Fraction = Fraction(80, 100)) -> DataFrame:
+    """``docs`` with one row of each component of :func:`jaccard_components`, all columns kept.
+
+    The row with the smallest (doc_id, hash of the text) stays; a null doc_id comes after all others.
+    Texts without words are no duplicates of each other, but rows equal in
+    doc_id and text are one.
+    """
+    joined = _joined(docs, k, similarity)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id", "doc")
+    first = (joined.where("n > 0").groupBy("root").agg(F.min(place).alias("p")).select("p.doc", "p.text_id")
+             .unionByName(joined.where("n = 0").select("doc", "text_id").distinct()))
+    text = text_of(docs)
+    key, text_id = "__jaccard_doc", "__jaccard_text"
+    keyed = docs.withColumn(text_id, F.xxhash64(F.lit(1), text)).withColumn(
+        key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)))
+    first = first.select(F.col("doc").alias(key), F.col("text_id").alias(text_id))
+    return keyed.join(first, [key, text_id], "left_semi").dropDuplicates([key, text_id]).select(*docs.columns)
+
+
+def _joined(docs: DataFrame, k: int, similarity: Fraction) -> DataFrame:
+    """doc_id, doc, text_id, n, root, component_id of every row; root names the component of rows with n > 0."""
     num, den = similarity.numerator, similarity.denominator
     least = -(-num // (den - num))  # a link between different sets needs den*o >= num*u with u > o
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    base = base.withColumn("doc", F.coalesce("doc_id", F.xxhash64("text")))
-    rows = stored(base.mapInPandas(_points(k), "doc_id long, doc long, cls binary, n long, vec binary"), "points")
+    base = (base.withColumn("doc", F.coalesce("doc_id", F.xxhash64("text")))
+            .withColumn("text_id", F.xxhash64(F.lit(1), "text")))
+    rows = stored(base.mapInPandas(_points(k), "doc_id long, doc long, text_id long, cls binary, n long, vec binary"), "points")
     classes = stored(rows.where("n > 0").groupBy("cls")
                      .agg(F.min("doc_id").alias("rep"), F.min("doc").alias("doc"), F.first("n").alias("n"),
                           F.first("vec").alias("vec")), "classes")
@@ -315,10 +340,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: Fraction = Fract
     class_root = (classes.select("cls", "rep").join(linked.withColumnRenamed("node", "cls"), "cls", "left")
                   .select("cls", "rep", F.coalesce("root", "cls").alias("root")))
     named = class_root.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = class_root.join(named, "root").select("cls", "component_id")
-    full = rows.where("n > 0").select("doc_id", "n", "cls").join(named, "cls").select("doc_id", "n", "component_id")
-    empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    named = class_root.join(named, "root").select("cls", "root", "component_id")
+    columns = ["doc_id", "doc", "text_id", "n", "root", "component_id"]
+    full = rows.where("n > 0").join(named, "cls").select(*columns)
+    empty = (rows.where("n = 0").withColumn("root", F.lit(None).cast("binary"))
+             .withColumn("component_id", F.col("doc_id")).select(*columns))
+    return full.unionByName(empty)
 
 
 def _with_sign(batches):

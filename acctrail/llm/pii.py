@@ -296,6 +296,33 @@ def find_pii(docs: DataFrame, model: PiiModel, threshold: float = 0.5) -> DataFr
     return base.mapInPandas(run, f"doc_id long, text string, base {SPANS}, spans {SPANS}")
 
 
+def masked_column(text: Column, model: PiiModel, threshold: float = 0.5) -> Column:
+    """The text with every rule span and field span replaced by its upper-case kind in angle brackets; null stays null.
+
+    Overlapping spans are replaced once, as the kind that starts first.
+    """
+    def mask(text, spans):
+        out, at = [], 0
+        for a, k, b in spans:
+            if a >= at:
+                out += [text[at:a], f"<{KINDS[k].upper()}>"]
+            at = max(at, b)
+        return "".join([*out, text[at:]])
+
+    @F.pandas_udf("string")
+    def column(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            if not isinstance(t, str):
+                out.append(None)
+                continue
+            base, added = _all_spans([t], model, threshold)
+            out.append(mask(t, sorted(base[0] + added[0])))
+        return pd.Series(out, dtype=object)
+
+    return column(text)
+
+
 def spans_text(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -303,19 +330,3 @@ def spans_text(spans: Column) -> Column:
 
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
-
-
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its upper-case kind in angle brackets.
-
-    Overlapping spans are replaced once, as the kind that starts first.
-    """
-    state = "struct<text: string, at: int>"
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at")).cast(state)
-
-    def step(s, x):
-        piece = F.concat(s["text"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
-        return (F.when(x["start"] >= s["at"], F.struct(piece.alias("text"), x["end"].alias("at")))
-                .otherwise(F.struct(s["text"].alias("text"), F.greatest(s["at"], x["end"]).alias("at")))).cast(state)
-
-    return F.aggregate(spans, start, step, lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text))))

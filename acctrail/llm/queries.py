@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import token_digests
 from .common import fold, table
+from .decontaminate import find_passages
 from .jaccard_join import jaccard_components
 from .langid import identify_language, train_language_id
 from .license_scan import oracle as license_oracle
@@ -18,6 +19,7 @@ from .pii import KINDS, count_kind, find_pii, spans_text, train_pii
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity, train_toxicity
 from .url_filter import filter_urls
+from .vector_dedup import dedup_vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +52,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), 3, Fraction(90, 100))
 
@@ -68,13 +74,19 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), 20).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def registry() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_byte_bpe, op4_license_scan, op6_ngram_jaccard, op7_toxicity, op8_language_id, op10_substring_dedup)}
+    return {f.__name__: f for f in (
+        op1_url_filter, op2_pii, op3_byte_bpe, op4_license_scan, op5_embedding_dedup, op6_ngram_jaccard, op7_toxicity,
+        op8_language_id, op9_decontamination, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

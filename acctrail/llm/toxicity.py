@@ -7,7 +7,7 @@ Learning sees a bounded sample of labelled texts:
 2. a two-state chain over the tokens learns weights of these log odds (own and
    neighbours') and its transitions by the exact gradient from forward-backward;
 3. a logistic regression maps what the marginals of a text add up to (expected
-   toxic tokens, their share, the largest marginal) to its label.
+   count of likely toxic tokens, its share, the largest marginal) to its label.
 
 Forward and backward messages are iterated over all tokens of many texts at
 once until they stop changing, which gives the forward-backward result.
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, hash_sample, stored, text_of
@@ -84,10 +84,12 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-(u + f + b)))
 
     def doc_sums(self, t: Tokens, p: np.ndarray, texts: int) -> np.ndarray:
-        total = np.bincount(t.doc, p, texts)
+        sure = p >= 0.5
+        total = np.bincount(t.doc[sure], p[sure], texts)
         top = np.zeros(texts)
-        np.maximum.at(top, t.doc[p > 0.05], p[p > 0.05])
-        share = total / np.maximum(t.count, 1)
+        np.maximum.at(top, t.doc[sure], p[sure])
+        # the 20 keeps the share of a very short text from resting on one token
+        share = total / (t.count + 20)
         return np.stack([np.ones(texts), np.log1p(total), np.log(share + 1e-3), top], axis=1)
 
     def score(self, sums: np.ndarray) -> np.ndarray:
@@ -267,6 +269,17 @@ def _scored_ids(model):
     return run
 
 
+def toxicity_column(text: Column, model: ToxicityModel) -> Column:
+    """The score as a column expression, so that all columns of a table stay; null text as empty."""
+    scored = _scored(model, [])
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return next(scored(iter([pd.DataFrame({"text": texts.reset_index(drop=True)})])))["score"]
+
+    return score(text)
+
+
 def toxic_spans(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
     """doc_id, score and ``spans``: [start, end) code points and marginal of each run of toxic tokens."""
     def run(batches):

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from acctrail.llm.pii import KINDS, Field, PiiModel, _luhn, find_pii, fit_field, masked, rule_spans, train_pii
+from acctrail.llm.pii import KINDS, Field, PiiModel, _luhn, find_pii, fit_field, masked_column, rule_spans, train_pii
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
@@ -93,9 +93,9 @@ def test_edges(trained, spark):
 
 def test_mask(trained, spark):
     _, _, model = trained
-    text = "é a@b.co, 10.0.0.1 +1 (555) 555-1234."
-    df = find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), model)
-    assert df.select(masked(F.col("text"), F.col("base"))).first()[0] == "é <EMAIL>, <IP> <PHONE>."
+    df = spark.createDataFrame([("é a@b.co, 10.0.0.1 +1 (555) 555-1234.",), (None,), ("",)], "text string")
+    got = [r[0] for r in df.select(masked_column(F.col("text"), model)).collect()]
+    assert got == ["é <EMAIL>, <IP> <PHONE>.", None, ""]
 
 
 def test_empty(spark):
