@@ -37,24 +37,27 @@ def _normal(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass").translate(_KEEP)
 
 
-def _keys(words: np.ndarray, start: np.ndarray, end: np.ndarray, size: int, tables: int, samples: int, seed: int) -> np.ndarray:
-    """Keys (window x table) of windows of ``size`` words at ``start``; past ``end`` they are padded."""
-    out = np.zeros((len(start), tables), np.uint64)
-    limit = np.minimum(start + size, end)
-    rnd = np.random.default_rng([seed, size])
-    for t in range(tables):
-        # the walk ends near 2 * size steps, so positions beyond it would be padding
-        picks = np.sort(rnd.integers(0, max(1, 2 * size - size // 4), samples))
-        salt = rnd.integers(0, 1 << 63, picks[-1] + 1).astype(np.uint64)
-        at = start.copy()
-        key = np.full(len(start), np.uint64(t + 1))
-        for j in range(picks[-1] + 1):
-            w = np.where(at < limit, words[np.minimum(at, len(words) - 1)], _PAD)
-            for _ in range(int((picks == j).sum())):
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + w)
-            at += (mix(w ^ salt[j]) & np.uint64(1)).astype(np.int64)
-        out[:, t] = key
-    return out
+def _keys(words: np.ndarray, start: np.ndarray, end: np.ndarray, size: np.ndarray, tables: int, samples: int, seed: int) -> np.ndarray:
+    """Keys (window x table) of windows of ``size`` words at ``start``; past ``end`` they are padded.
+
+    All windows and tables walk together, one step of their CGK walks at a time.
+    """
+    share = np.sort(np.random.default_rng(seed).random((tables, samples)), axis=1)
+    # a walk ends near 2 * size steps, so positions beyond would be padding
+    picks = (share[None] * (2 * size - size // 4)[:, None, None]).astype(np.int64)
+    at = np.repeat(start[:, None], tables, axis=1)
+    limit = np.minimum(start + size, end)[:, None]
+    table = np.arange(tables, dtype=np.uint64) + np.uint64(seed << 8)
+    key = mix(size.astype(np.uint64))[:, None] + table[None]
+    for j in range(int(picks.max()) + 1 if picks.size else 0):
+        w = np.where(at < limit, words[np.minimum(at, len(words) - 1)], _PAD)
+        for s in range(samples):
+            hit = picks[:, :, s] == j
+            if hit.any():
+                key[hit] = mix(key[hit] * np.uint64(0x9E3779B97F4A7C15) + w[hit])
+        salt = mix(table * np.uint64(0xD1B54A32D192ED03) + np.uint64(j))
+        at += (mix(w ^ salt) & np.uint64(1)).astype(np.int64)
+    return key
 
 
 def best_run(pattern: list, text: list) -> tuple[int, int]:
@@ -98,13 +101,10 @@ class Index:
         doc = w.doc[start]
         place = pd.DataFrame({"gram": gram, "at": start - w.first[doc], "size": w.count[doc]}).drop_duplicates().sort_values("gram", kind="stable")
         self.gram, self.at, self.size = (place[c].to_numpy() for c in ("gram", "at", "size"))
-        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for size in np.unique(w.count[use]) if len(use) else []:
-            own = [k for k, x in enumerate(self.words) if len(x) == size]
-            first = w.first[use[own]]
-            keys = _keys(w.hash, first, first + size, int(size), tables, samples, seed)
-            order = np.argsort(keys, axis=None, kind="stable")
-            self.keys[int(size)] = keys.ravel()[order], np.repeat(np.array(own), tables)[order]
+        first = w.first[use]
+        keys = _keys(w.hash, first, first + w.count[use], w.count[use], tables, samples, seed)
+        order = np.argsort(keys, axis=None, kind="stable")
+        self.keys, self.owner = keys.ravel()[order], np.repeat(np.arange(len(use)), tables)[order]
 
     def windows(self, w: Words):
         """(first word, size) of item-sized windows aligned with a run of some item."""
@@ -125,25 +125,21 @@ class Index:
     def matches(self, w: Words):
         """(text, item, distance, first word, words) of verified candidates, the best of each text and item."""
         best: dict = {}
-        begin, sizes = self.windows(w)
-        for size in np.unique(sizes).tolist():
-            s = begin[sizes == size]
-            end = w.first[w.doc[s]] + w.count[w.doc[s]]
-            item_keys, owner = self.keys[size]
-            keys = _keys(w.hash, s, end, size, self.tables, self.samples, self.seed)
-            lo, hi = np.searchsorted(item_keys, keys.ravel(), "left"), np.searchsorted(item_keys, keys.ravel(), "right")
-            found = np.flatnonzero(hi > lo)
-            seen = {(int(x) // self.tables, int(k)) for x in found for k in owner[lo[x]:hi[x]]}
-            for i, k in sorted(seen):
-                doc, slack = int(w.doc[s[i]]), self.edits[k]
-                a, b = max(int(w.first[doc]), int(s[i]) - slack), min(int(end[i]), int(s[i]) + size + slack)
-                text = w.hash[a:b].tolist()
-                d, stop = best_run(self.words[k], text)
-                if d <= slack and (d, a) < best.get((doc, k), (slack + 1, 0))[:2]:
-                    back, _ = best_run(self.words[k][::-1], text[:stop][::-1])
-                    length = next(n for n in range(max(1, size - slack), min(stop, size + slack) + 1)
-                                  if _distance(self.words[k], text[stop - n:stop]) == back)
-                    best[doc, k] = d, a, a + stop - length - int(w.first[doc]), length
+        s, sizes = self.windows(w)
+        end = w.first[w.doc[s]] + w.count[w.doc[s]]
+        keys = _keys(w.hash, s, end, sizes, self.tables, self.samples, self.seed).ravel()
+        lo, hi = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+        seen = {(int(x) // self.tables, int(k)) for x in np.flatnonzero(hi > lo) for k in self.owner[lo[x]:hi[x]]}
+        for i, k in sorted(seen):
+            doc, size, slack = int(w.doc[s[i]]), int(sizes[i]), self.edits[k]
+            a, b = max(int(w.first[doc]), int(s[i]) - slack), min(int(end[i]), int(s[i]) + size + slack)
+            text = w.hash[a:b].tolist()
+            d, stop = best_run(self.words[k], text)
+            if d <= slack and (d, a) < best.get((doc, k), (slack + 1, 0))[:2]:
+                back, _ = best_run(self.words[k][::-1], text[:stop][::-1])
+                length = next(n for n in range(max(1, size - slack), min(stop, size + slack) + 1)
+                              if _distance(self.words[k], text[stop - n:stop]) == back)
+                best[doc, k] = d, a, a + stop - length - int(w.first[doc]), length
         return [(doc, self.ids[k], d, first, n) for (doc, k), (d, _, first, n) in sorted(best.items())]
 
 
