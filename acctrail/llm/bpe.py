@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .textarrays import as_bytes
 
 SQL_WORD_BYTES = 256
-SQL_ROWS = 400_000
-CACHED_PIECES = 500_000
+SQL_ROWS = 150_000
+CACHED_PIECES = 250_000
 
 _ENCODE = """
 WITH RECURSIVE state(round, w, pos, tok, next_tok, next_pos) AS (
@@ -79,7 +79,7 @@ class Tokenizer:
                 if a is not None and b is not None:
                     pairs.append(a << 32 | b)
                     merged.append(rank)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "256MB"})
         for name, columns in (("merges", {"pair": pairs, "merged": pa.array(merged, pa.int32())}),
                               ("vocabulary", {"tok": pa.array(list(self.ranks.values()), pa.int32()),
                                               "hex": [t.hex() for t in self.ranks]})):
