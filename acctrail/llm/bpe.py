@@ -5,9 +5,9 @@ non-space characters (the tokenizer's pattern always has a boundary there)
 and looks the pieces up in a cache. New pieces are split by the pattern, and the
 words not met yet go to an in-process DuckDB: token-position rows join the merge
 table, each word's leftmost pair of minimum rank is contracted, and the
-recursion goes on with the words that changed until none does. Decoding cuts id
-runs before ids that begin with a space and puts new pieces together by an
-ordered aggregation over position rows. Texts are never shuffled.
+recursion goes on with the words that changed until none does. Decoding puts each
+run of ids together by an ordered aggregation over its position rows. Texts are
+never shuffled.
 
 A word of L bytes takes up to L rounds over L rows, so words over
 ``SQL_WORD_BYTES`` bytes (unbroken runs, rare in any corpus) take a heap over
@@ -27,11 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textarrays import as_bytes
-
 SQL_WORD_BYTES = 256
-SQL_ROWS = 150_000
-CACHED_PIECES = 250_000
+SQL_ROWS = 250_000
+CACHED_PIECES = 600_000
 
 _ENCODE = """
 WITH RECURSIVE state(round, w, pos, tok, next_tok, next_pos) AS (
@@ -86,14 +84,11 @@ class Tokenizer:
             self.db.register("given", pa.table(columns))
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        #: word -> ids, piece after a space -> ids, id run -> bytes
+        #: word -> ids, piece after a space -> ids
         self.ids: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
-        self.text: dict[bytes, bytes] = {}
         self.odd_space = regex.compile(r" (?!\S)|[^\S ] |^ ").search
         self.cut = regex.compile(r"(?<=\S) (?=\S)").finditer
-        self.spacious = np.zeros(1 + max(self.ranks.values()), bool)
-        self.spacious[[r for t, r in self.ranks.items() if t[:1] == b" "]] = True
 
     def _long_word(self, word: bytes) -> list[int]:
         """The same merge rule by a heap over neighbouring parts."""
@@ -172,50 +167,32 @@ class Tokenizer:
         if len(self.ids) > CACHED_PIECES:
             self.ids.clear()
         cut = [self._pieces(t) for t in texts]
-        fresh = set()
-        for pieces in cut:
-            fresh.update(pieces[1:])
-        fresh -= self.spaced.keys()
-        split = {p: self.split(" " + p) for p in fresh}
         heads = [self.split(pieces[0]) for pieces in cut]
+        found = [list(map(self.spaced.get, pieces[1:])) for pieces in cut]
+        fresh = {p for pieces, ids in zip(cut, found, strict=True) if None in ids
+                 for p, x in zip(pieces[1:], ids, strict=True) if x is None}
+        split = {p: self.split(" " + p) for p in fresh}
         self.learn(sorted(set().union(*split.values(), *heads) - self.ids.keys()))
-        ids = self.ids.__getitem__
+        ids, spaced = self.ids.__getitem__, self.spaced.__getitem__
         for piece, words in split.items():
             self.spaced[piece] = b"".join(map(ids, words))
-        spaced = self.spaced.__getitem__
-        return [b"".join([*map(ids, head), *map(spaced, pieces[1:])])
-                for head, pieces in zip(heads, cut, strict=True)]
-
-    def _runs_sql(self, runs: list[bytes]) -> None:
-        size = np.array([len(r) // 4 for r in runs])
-        tok = np.frombuffer(b"".join(runs), "<u4").astype(np.int32)
-        w = np.repeat(np.arange(len(runs), dtype=np.int32), size)
-        self.db.register("ids", pa.table({"w": w, "pos": np.arange(len(tok)), "tok": tok}))
-        for i, text in self.db.execute(_DECODE).fetchall():
-            self.text[runs[i]] = bytes.fromhex(text)
-        self.db.unregister("ids")
+        return [b"".join([*map(ids, head), *(map(spaced, pieces[1:]) if None in known else known)])
+                for head, pieces, known in zip(heads, cut, found, strict=True)]
 
     def decode(self, runs: list[bytes]) -> list[bytes]:
-        """The bytes that each run of ids stands for."""
-        if len(self.text) > CACHED_PIECES:
-            self.text.clear()
-        cut, fresh = [], set()
-        for run in runs:
-            at = [0, *(np.flatnonzero(self.spacious[np.frombuffer(run, "<u4")[1:]]) * 4 + 4).tolist(), len(run)]
-            pieces = [run[a:b] for a, b in zip(at[:-1], at[1:], strict=True)] if run else []
-            cut.append(pieces)
-            fresh.update(pieces)
-        fresh, held, rows = sorted(fresh - self.text.keys()), [], 0
-        for piece in fresh:
-            held.append(piece)
-            rows += len(piece) // 4
-            if rows >= SQL_ROWS:
-                self._runs_sql(held)
-                held, rows = [], 0
-        if held:
-            self._runs_sql(held)
-        text = self.text.__getitem__
-        return [b"".join(map(text, pieces)) for pieces in cut]
+        """The bytes that each run of ids stands for: position rows, ordered aggregation."""
+        out, at = [b""] * len(runs), 0
+        size = np.cumsum([len(r) // 4 for r in runs])
+        while at < len(runs):
+            upto = max(at + 1, int(np.searchsorted(size, SQL_ROWS + (size[at - 1] if at else 0))))
+            tok = np.frombuffer(b"".join(runs[at:upto]), "<u4").astype(np.int32)
+            w = np.repeat(np.arange(at, upto, dtype=np.int32), [len(r) // 4 for r in runs[at:upto]])
+            self.db.register("ids", pa.table({"w": w, "pos": np.arange(len(tok)), "tok": tok}))
+            for i, text in self.db.execute(_DECODE).fetchall():
+                out[i] = bytes.fromhex(text)
+            self.db.unregister("ids")
+            at = upto
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -240,41 +217,48 @@ def encode_texts(df: DataFrame, rank_file: str, pattern: str, text: str = "text"
     Each match of ``pattern`` is encoded on its own, without special tokens. Null
     text gives no ids. Rows, their number and the other columns stay as they are.
     """
-    def run(batches):
+    @F.pandas_udf("binary")
+    def encode(texts: pd.Series) -> pd.Series:
         tok = _tokenizer(rank_file, pattern)
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else "" for t in pdf[text]]
-            pdf[ids] = [x for a, b in _pieces(texts) for x in tok.encode(texts[a:b])]
-            yield pdf
+        texts = [t if isinstance(t, str) else "" for t in texts]
+        return pd.Series([x for a, b in _pieces(texts) for x in tok.encode(texts[a:b])], dtype=object)
 
-    return _with_binary(df, ids, run)
+    return df.withColumn(ids, encode(F.col(text)))
 
 
 def decode_ids(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with a binary column ``decoded``: the bytes that ``ids`` stand for; null ids give none."""
-    def run(batches):
+    @F.pandas_udf("binary")
+    def decode(runs: pd.Series) -> pd.Series:
         tok = _tokenizer(rank_file, pattern)
-        for pdf in batches:
-            runs = [b"" if x is None else bytes(x) for x in pdf[ids]]
-            pdf[decoded] = [x for a, b in _pieces(runs) for x in tok.decode(runs[a:b])]
-            yield pdf
+        runs = [b"" if x is None else bytes(x) for x in runs]
+        return pd.Series([x for a, b in _pieces(runs) for x in tok.decode(runs[a:b])], dtype=object)
 
-    return _with_binary(df, decoded, run)
+    return df.withColumn(decoded, decode(F.col(ids)))
 
 
-def _with_binary(df: DataFrame, name: str, run) -> DataFrame:
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != name]
-    return df.select(*(df[f.name] for f in df.schema if f.name != name)).mapInPandas(run, ", ".join([*fields, f"`{name}` binary"]))
+def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """doc_id, ids, n_tokens, ids_sha256, decoded_sha256 of every row's ``text``.
 
+    Encodes the text, then decodes the ids it got, in one Python process per
+    task. Null text counts as empty, a null doc_id stays null, repeated rows give
+    repeated results; other columns are not read.
+    """
+    def run(batches):
+        tok = _tokenizer(rank_file, pattern)
+        for pdf in batches:
+            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
+            for a, b in _pieces(texts):
+                ids = tok.encode(texts[a:b])
+                yield pd.DataFrame({
+                    "doc_id": pdf["doc_id"].iloc[a:b].astype("Int64"), "ids": ids, "n_tokens": [len(x) // 4 for x in ids],
+                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
+                    "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in tok.decode(ids)]})
 
-def token_digests(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row's ``text``.
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return base.mapInPandas(run, "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
-    Encodes the text, then decodes the ids it got. Null text counts as empty, a
-    null doc_id stays null, repeated rows give repeated results.
-    """
-    coded = encode_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                         rank_file, pattern).select("doc_id", "ids")
-    return decode_ids(coded, rank_file, pattern).select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+def token_digests(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of :func:`round_trip`."""
+    return round_trip(docs, rank_file, pattern).drop("ids")
