@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrail.llm.bpe import decode_ids, encode_texts
+from acctrail.llm.bpe import round_trip
 from acctrail.llm.common import stored, table
 from acctrail.llm.decontaminate import contaminated_column
 from acctrail.llm.jaccard_join import drop_near_duplicates
@@ -51,11 +51,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit integers) and the digests of ids and decoded bytes."""
-    coded = encode_texts(docs.select("doc_id", "lang", "source", "text"), *rank_file()).drop("text")
-    return decode_ids(coded, *rank_file()).select(
-        "doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, ids (little-endian unsigned 32-bit integers), n_tokens and the digests of ids and decoded bytes."""
+    return round_trip(docs, *rank_file())
 
 
 STAGES: list[tuple[str, Stage]] = [
