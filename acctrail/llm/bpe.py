@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SQL_WORD_BYTES = 256
-SQL_ROWS = 250_000
-CACHED_PIECES = 600_000
+SQL_ROWS = 150_000
+CACHED_PIECES = 400_000
 
 _ENCODE = """
 WITH RECURSIVE state(round, w, pos, tok, next_tok, next_pos) AS (
