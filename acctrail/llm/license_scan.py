@@ -128,9 +128,9 @@ shingle AS (SELECT DISTINCT license, array_to_string(w[i:i + {k - 1}], ' ') AS s
 size AS (SELECT license, count(*) AS n, power(2, ceil(log2(count(*))))::BIGINT AS class FROM shingle GROUP BY license),
 d AS (SELECT DISTINCT doc_id, md5(coalesce(text, '')) AS text_id,
              string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS w FROM documents),
-p AS (SELECT doc_id, text_id, i - 1 AS at, array_to_string(w[i:i + {k - 1}], ' ') AS s
+p AS (SELECT doc_id, text_id, i - 1 AS spot, array_to_string(w[i:i + {k - 1}], ' ') AS s
       FROM (SELECT doc_id, text_id, w, unnest(range(1, len(w) - {k - 2})) AS i FROM d)),
-hit AS (SELECT p.doc_id, p.text_id, license, s, unnest([at // class, at // class - 1]) AS slot, n
+hit AS (SELECT p.doc_id, p.text_id, license, s, unnest([spot // class, spot // class - 1]) AS slot, n
         FROM p JOIN shingle USING (s) JOIN size USING (license)),
 win AS (SELECT doc_id, text_id, license, slot, count(DISTINCT s) / any_value(n)::DOUBLE AS c
         FROM hit WHERE slot >= 0 GROUP BY doc_id, text_id, license, slot)
