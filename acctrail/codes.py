@@ -55,7 +55,7 @@ class ChannelRules:
     """Ordered channel classification; the first matching branch wins."""
 
     direct_mail_label: str = "DM"
-    partner_source: str = "lightbox"
+    partner_source: str = "partner_a"
     partner_rewards_label: str = "Partner Rewards"
     partner_label: str = "Partner"
     touch_prefix: str = "RAS-"
@@ -65,7 +65,7 @@ class ChannelRules:
     # pattern with the one-character wildcard: '_' must precede "ub"
     high_risk_source_like: str = "%_ub%"
     high_risk_referrers: tuple[str, ...] = ("REF_A",)
-    high_risk_referrer_like: str = "%PLFLOW%"
+    high_risk_referrer_like: str = "%REF_B%"
     high_risk_referrer_exact: str = "REF_CARD"
     phone_source_system: str = "PHONE"
     high_risk_label: str = "High Risk Channel"

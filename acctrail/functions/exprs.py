@@ -41,14 +41,19 @@ def null_or_ne(col: ColumnOrName, value: object) -> Column:
     return c.isNull() | (c != F.lit(value))
 
 
-def local_date(col: ColumnOrName, zone: str) -> Column:
+def local_date(col: ColumnOrName, zone: str, date_first: bool = False) -> Column:
     """Calendar date in ``zone`` of a UTC instant.
 
+    ``date_first`` cuts the time of day off before the shift, as the source's
+    cast does: the result is the local date of that day's midnight UTC.
+
     Dates are read as midnight UTC, as the warehouse does after a ``::date``
     cast, so a western zone moves them to the previous day. Works on
     TIMESTAMP_NTZ input and does not depend on the session time zone.
     """
     ts = _c(col).cast("timestamp_ntz")
+    if date_first:
+        ts = ts.cast("date").cast("timestamp_ntz")
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), ts))
 
 

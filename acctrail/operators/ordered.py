@@ -107,8 +107,11 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
       including this one and all earlier ones; the total counts any product.
     * ``today``: accounts dated before ``as_of``; same value on each of the
       person's rows. Requires ``as_of``.
-    Rows with a NULL person get 0 everywhere. Output: input columns + counts
-    (BIGINT), named ``cnt_<tot|pcl|pl|dep|hm>_post_accts1_<suffix>``.
+    Rows with a NULL person get 0 everywhere. A row with a NULL day has no place
+    in the order and is never dated before anything: no other row counts it,
+    and its own ``orig`` and month counts are 0; its ``today`` counts are the
+    person's. Output: every input row with its columns + counts (BIGINT),
+    named ``cnt_<tot|pcl|pl|dep|hm>_post_accts1_<suffix>``.
     """
     cats = products.items()
     keys = [k for k, _ in cats]
@@ -128,7 +131,7 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
     # for the (person, day[, sub-block]) windows and histograms, so those rows are
     # spread by day like any other person's; their counts are forced to 0 at the
     # end. No second pass over the input is needed for them.
-    valid = history
+    valid = history.filter(F.col(day).isNotNull())
 
     # 1. day histogram: one row per (person, day), map-side partial aggregation
     hist = valid.groupBy(person, day).agg(
@@ -160,8 +163,14 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
 
     if "orig" in suffixes:
         # 3. the positional part inside a day: split hot days into sub-blocks by id
+        if not isinstance(history.schema[id_col].dataType, T.NumericType):
+            # ids without arithmetic are not cut into ranges: a day stays one block
+            hist = hist.withColumns({c: F.lit(0) for c in ("_lo", "_hi")})
+            valid = valid.withColumn("_id_value", F.lit(0))
+        else:
+            valid = valid.withColumn("_id_value", F.col(id_col))
         hot = hot_blocks(hist, [person, day], "_n_tot", hot_share=hot_share, hot_min_rows=hot_min_rows)
-        rows = with_sub_block(valid, hot, [person, day], F.col(id_col), splits)
+        rows = with_sub_block(valid, hot, [person, day], F.col("_id_value"), splits)
         # rows without a person never match the hot list (NULL keys do not join) and
         # their counts are 0 anyway: spread them over the sub-blocks by a hash of the
         # id, so a day with many such rows is not one task either
@@ -194,6 +203,17 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
     finals += [F.col(c) for c in out_cols if not c.endswith("_orig")]
     no_person = F.col(person).isNull()
     counted = joined.select(*[F.col(c) for c in base_cols], *finals)
+
+    # rows without a day: only the person's today counts apply to them
+    undated = history.filter(F.col(day).isNull())
+    if "today" in suffixes:
+        today = hist.groupBy(person).agg(*[
+            F.sum(F.when(F.col(day) < F.lit(as_of).cast("date"), F.col(f"_n_{k}")).otherwise(F.lit(0)))
+            .alias(count_col(k, "today")) for k in ["tot"] + keys])
+        undated = undated.join(today, person, "left")
+    counted = counted.unionByName(undated.select(*base_cols, *[
+        (F.coalesce(F.col(c), F.lit(0)) if c.endswith("_today") else F.lit(0)).cast("long").alias(c)
+        for c in out_cols]))
     return counted.select(*base_cols, *[F.when(no_person, F.lit(0).cast("long")).otherwise(F.col(c)).alias(c)
                                         for c in out_cols])
 
@@ -212,10 +232,11 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
                   hot_min_rows: int = HOT_MIN_ROWS, splits: int = SPLITS) -> DataFrame:
     """Values of ``cols`` on the 1st..n-th earlier row of the same key.
 
-    Order is (ts, tie) ascending; rows of a NULL key form one group, as in SQL.
+    Order is (ts, tie) ascending, rows with a NULL ``ts`` before all others;
+    rows of a NULL key form one group, as in SQL. Every input row comes out.
     Adds struct columns ``{prefix}1`` .. ``{prefix}{n}`` (NULL where fewer
     earlier rows exist). Blocks are (key, day of ``ts``, sub-block of a hot
-    day by ``ts`` quantiles): lags inside a block come from a block window;
+    day): lags inside a block come from a block window;
     the first rows of a block take their predecessors from the *halo*, the
     last ``n`` rows before the block, found by a per-key window over block
     tails (at most ``n`` rows per block). Hot days are cut by time of day,
@@ -223,11 +244,18 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
     """
     d, kcols = _null_safe_key(df, key)
     t = F.col(ts)
-    # time of day in seconds (with fractions): the in-block order value
-    d = (d.withColumn("_blk", F.to_date(t)).withColumn("_row", F.struct(*cols))
-          .withColumn("_tod", F.hour(t) * 3600 + F.minute(t) * 60
-                      + F.date_part(F.lit("SECOND"), t).cast("double")))
-    day_cols = kcols + ["_blk"]
+    # the in-block order value never decreases as ``ts`` grows: the instant itself
+    # (across a clock change the wall clock goes back), or the wall clock of types
+    # without a zone
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        at = F.unix_micros(t).cast("double")
+    else:
+        at = F.hour(t) * 3600 + F.minute(t) * 60 + F.date_part(F.lit("SECOND"), t).cast("double")
+    # rows without a time are one block per key, ahead of the dated ones
+    d = (d.withColumn("_dated", t.isNotNull())
+          .withColumn("_blk", F.coalesce(F.to_date(t), F.lit("1970-01-01").cast("date")))
+          .withColumn("_row", F.struct(*cols)).withColumn("_tod", F.coalesce(at, F.lit(0.0))))
+    day_cols = kcols + ["_dated", "_blk"]
     numeric_tie = isinstance(df.schema[tie].dataType, T.NumericType)
     tie_range = ([F.min(tie).alias("_tlo"), F.max(tie).alias("_thi")] if numeric_tie
                  else [F.lit(None).cast("long").alias("_tlo"), F.lit(None).cast("long").alias("_thi")])
@@ -253,7 +281,7 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
                  *[F.lag("_row", i).over(wb).alias(f"_l{i}") for i in range(1, n + 1)])
 
     tails = d.filter(F.col("_pos") > F.col("_cnt") - F.lit(n)).select(*part, ts, tie, "_row", "_pos", "_cnt")
-    wt = Window.partitionBy(*kcols).orderBy("_blk", "_sub", ts, tie)
+    wt = Window.partitionBy(*kcols).orderBy("_dated", "_blk", "_sub", ts, tie)
     halo = (tails.select(*part, "_pos", "_cnt",
                          *[F.lag("_row", i).over(wt).alias(f"_h{i}") for i in range(1, n + 1)])
             .filter(F.col("_pos") == F.greatest(F.col("_cnt") - F.lit(n - 1), F.lit(1)))
@@ -279,10 +307,12 @@ def horizon_counts_merge(history: DataFrame, *, person: str = "person", day: str
     with the person's day histogram in key order, probes ahead of data on
     equal keys; a running sum read at each probe is the strict count. Both
     sides have one row per (person, day), so the per-person merge is bounded
-    by the number of days. Rows with a NULL person get 0.
+    by the number of days. Rows with a NULL person or a NULL day get 0 (no bound
+    to be dated before), and no other row counts a NULL day.
     """
     cats = ["tot"] + [k for k, _ in products.items()]
-    valid = history.filter(F.col(person).isNotNull())
+    placed = F.col(person).isNotNull() & F.col(day).isNotNull()
+    valid = history.filter(placed)
     hist = valid.groupBy(person, day).agg(
         F.count(F.lit(1)).alias("_n_tot"),
         *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in products.items()])
@@ -307,6 +337,6 @@ def horizon_counts_merge(history: DataFrame, *, person: str = "person", day: str
                             for n in horizons for k in cats])
     out_cols = [count_col(k, f"{n}month") for n in horizons for k in cats]
     counted = valid.join(renamed, [person, day], "inner").select(*history.columns, *out_cols)
-    zeros = history.filter(F.col(person).isNull()).select(
+    zeros = history.filter(~placed).select(
         *history.columns, *[F.lit(0).cast("long").alias(c) for c in out_cols])
     return counted.unionByName(zeros)

@@ -1,6 +1,7 @@
 """The whole pipeline wired over the role views, one method per stage.
 
-Every stage is a lazy DataFrame. Two resolved tables feed most stages: the
+Stages are lazy DataFrames, but with ``materialize=True`` building a stage runs the
+jobs that write its shared inputs. Two resolved tables feed most stages: the
 accounts with their application and person (``people``) and the application
 -> offer -> credit-decision chain (``chain``). With ``materialize=True`` each
 is computed once, written as parquet under the cluster's shared checkpoint

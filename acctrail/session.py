@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,11 +21,16 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "acctrail", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with BASE_CONF; master and partition count only where the caller names
+    them, so that spark-submit's settings hold on a cluster."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -38,19 +42,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder under the cluster's shared checkpoint location.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only a
-    local-mode session without one gets a fresh private folder, as in tests;
-    on a cluster a missing setting is an error, since a machine-local folder
-    would not be visible to other executors.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Without one
+    this is an error, in local mode too: a machine-local folder would not be
+    visible to other executors.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="acctrail-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

@@ -37,10 +37,10 @@ ROLES: dict[str, tuple[str, list[str]]] = {
     "app_attrs": ("orders", [
         "o_orderkey AS app_id",
         "CASE WHEN o_orderkey % 11 = 0 THEN 'true' ELSE 'false' END AS is_direct_mail",
-        "CASE o_orderkey % 7 WHEN 0 THEN 'lightbox' WHEN 1 THEN 'x_ub1' WHEN 2 THEN '' "
+        "CASE o_orderkey % 7 WHEN 0 THEN 'partner_a' WHEN 1 THEN 'x_ub1' WHEN 2 THEN '' "
         "WHEN 3 THEN NULL WHEN 4 THEN 'xub' ELSE 'search' END AS utm_source",
         "CASE WHEN o_orderkey % 2 = 0 THEN 'false' ELSE 'true' END AS good_source",
-        "CASE o_orderkey % 13 WHEN 0 THEN 'REF_A' WHEN 1 THEN 'XPLFLOWX' WHEN 2 THEN 'REF_CARD' "
+        "CASE o_orderkey % 13 WHEN 0 THEN 'REF_A' WHEN 1 THEN 'XREF_BX' WHEN 2 THEN 'REF_CARD' "
         "ELSE NULL END AS api_referrer",
         "CASE o_orderkey % 5 WHEN 0 THEN 'PHONE' WHEN 1 THEN 'WEB' ELSE NULL END AS source_system",
         "CASE o_orderpriority WHEN '1-URGENT' THEN 'PCL' WHEN '2-HIGH' THEN 'CORE' ELSE 'OTHER' END AS program",

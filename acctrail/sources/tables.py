@@ -15,20 +15,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCHEMAS: dict[str, object] = {}
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    The schema found on the first read of a path is reused for later reads in
-    the same process, which skips the footer-reading job each read would
-    otherwise start.
-    """
-    path = table_path(sf_dir, name)
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+def named(spark: SparkSession, name: str) -> DataFrame:
+    """A table of the session's catalog."""
+    return spark.table(name)

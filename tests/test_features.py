@@ -76,14 +76,14 @@ def test_channel_branches(spark):
                                     for i in ids], PEOPLE)
     app = spark.createDataFrame([
         # app_id, direct_mail, utm, good_source, referrer, source_system, program, offer_id
-        (1, "true", "lightbox", "false", None, None, "PCL", None),   # DM wins over partner (two branches)
-        (2, "false", "lightbox", "true", None, None, "PCL", None),   # partner + enrolled
-        (3, "false", "lightbox", "true", None, None, "PCL", None),   # partner
+        (1, "true", "partner_a", "false", None, None, "PCL", None),   # DM wins over partner (two branches)
+        (2, "false", "partner_a", "true", None, None, "PCL", None),   # partner + enrolled
+        (3, "false", "partner_a", "true", None, None, "PCL", None),   # partner
         (4, "false", "search", "true", None, None, "PCL", None),     # touch: existing campaign
         (5, "false", "x_ub1", "false", None, "WEB", "PCL", None),    # high risk, first group
         (6, "false", "search", "true", None, None, "PCL", None),     # touch: purchase label
         (7, "false", "", "false", None, None, "PCL", 70),            # issued prior loan: not high risk
-        (8, "false", "search", "true", "XPLFLOWX", None, "PCL", None),  # high risk by referrer pattern
+        (8, "false", "search", "true", "XREF_BX", None, "PCL", None),  # high risk by referrer pattern
         (9, "false", "search", "true", None, None, "PCL", None),     # cross-sell initiator
     ], schema(("app_id", L), ("is_direct_mail", S), ("utm_source", S), ("good_source", S), ("api_referrer", S),
               ("source_system", S), ("program", S), ("offer_id", L)))
