@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from acctrail.plans.catalog import registry
+from oracle.sql import queries as oracle_queries
 from acctrail.sources.tables import TABLES, table_path
 from tools.check_oracle import digest
 
@@ -20,13 +22,13 @@ def plan(df):
 
 
 def test_no_python_in_any_plan(spark):
-    for name, fn in E.queries().items():
+    for name, fn in registry().items():
         text = plan(fn(spark, SF))  # some write their inputs to the checkpoint folder first
         assert not any(n in text for n in PY_NODES), name
 
 
 def test_history_windows_are_blocked(spark):
-    text = E.queries()["product_history_counts"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    text = registry()["product_history_counts"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
     windows = re.findall(r"Window \[.*?\], \[([^\]]*)\]", text)
     assert windows, text
     seen = set()
@@ -41,12 +43,12 @@ def test_history_windows_are_blocked(spark):
 
 
 def test_topk_uses_group_limit(spark):
-    text = E.queries()["topk_rank_per_key"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    text = registry()["topk_rank_per_key"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
     assert "WindowGroupLimit" in text
 
 
 def test_first_touch_is_an_aggregate(spark):
-    text = E.queries()["first_touch_join"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    text = registry()["first_touch_join"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
     assert "Window" not in text and "Aggregate" in text
 
 
@@ -64,11 +66,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_queries()))
 def test_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF)
+    sdf = registry()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(oracle_queries()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
@@ -77,13 +79,13 @@ def test_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry()) == set(oracle_queries())
 
 
 def test_feature_tables_have_unique_keys(spark):
     """Reduced feature tables hold one row per key, so the mart's lookups never fan out."""
     from pyspark.sql import functions as F
-    qs = E.queries()
+    qs = registry()
     for name, keys in [("feature_deposit", ["line_id"]), ("feature_transfers", ["line_id"]),
                        ("feature_snapshot", ["line_id"]), ("feature_prior_accounts", ["line_id"]),
                        ("feature_payment_history", ["line_id"]), ("feature_autopay", ["line_id"]),
@@ -93,6 +95,6 @@ def test_feature_tables_have_unique_keys(spark):
 
 
 def test_mart_has_one_row_per_repeat_purchase(spark):
-    qs = E.queries()
+    qs = registry()
     assert qs["mart_repeat_purchase"](spark, SF).count() == qs["repeat_purchase"](spark, SF).count()
     assert qs["mart_front_end"](spark, SF).count() == qs["scan_accounts"](spark, SF).count()
