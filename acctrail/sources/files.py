@@ -60,6 +60,24 @@ def split_rejects(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def reject_report(spark: SparkSession, paths, schema: T.StructType = HISTORY_SCHEMA, *, header: bool = True) -> DataFrame:
+    """Rejected lines with their file, the file's modification time, the line and the reason; newest file first.
+
+    The reason names the fields that hold text but did not parse, or says that the number of fields is wrong.
+    """
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    loaded = load_typed_csv(spark, paths, schema, header=header).select(*full.fieldNames(), "_metadata")
+    given = F.from_csv(F.col(CORRUPT), ", ".join(f"f{i} string" for i in range(len(schema.fields))))
+    unparsed = F.array_compact(F.array(*(
+        F.when(F.col(f.name).isNull() & given[f"f{i}"].isNotNull(), F.lit(f.name)) for i, f in enumerate(schema.fields))))
+    reason = (F.when(F.size(unparsed) > 0, F.concat(F.lit("not parsed: "), F.array_join(unparsed, ", ")))
+              .otherwise(F.lit(f"not {len(schema.fields)} fields")))
+    return (loaded.where(F.col(CORRUPT).isNotNull())
+            .select(F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file"),
+                    F.col(CORRUPT).alias("raw_line"), reason.alias("reason"))
+            .orderBy(F.col("file_time").desc(), "file", "raw_line"))
+
+
 def write_history_csv(df: DataFrame, path: str, schema: T.StructType = HISTORY_SCHEMA) -> str:
     """The history table as CSV, columns in ``schema`` order (CSV binds by position)."""
     return write_csv(df.select(*schema.fieldNames()), path)
@@ -81,7 +99,13 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def materialize(df: DataFrame, path: str) -> str:
-    """Create-table-as-select as an idempotent replace (parquet folder)."""
-    df.write.mode("overwrite").parquet(path)
-    return path
+def materialize(df: DataFrame, target: str) -> str:
+    """Create-table-as-select as an idempotent replace.
+
+    ``target`` is a folder when it holds a ``/``, else the name of a catalog table.
+    """
+    if "/" in target:
+        df.write.mode("overwrite").parquet(target)
+    else:
+        df.write.mode("overwrite").format("parquet").saveAsTable(target)
+    return target

@@ -55,7 +55,8 @@ ROLES: dict[str, tuple[str, list[str]]] = {
         "event_id",
         "user_id AS asset_id",
         "ts AS updated_at",
-        "event_type AS utm_source",
+        # a source spelled otherwise than the excluded one keeps its code
+        "CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'Error' ELSE event_type END AS utm_source",
         "CASE WHEN event_id % 3 = 0 THEN 'app_create' ELSE 'other' END AS event",
     ]),
     "offers": ("orders", [

@@ -2,9 +2,13 @@
 
 import datetime as dt
 
+import duckdb
+
 from acctrail.codes import count_cols
 from acctrail.session import fresh_dir, shared_dir
 from acctrail.sources import files
+from acctrail.sources.tables import named
+from oracle.sql import queries
 
 
 def _line(person, id_, prod, date, counts="0"):
@@ -27,6 +31,10 @@ def test_typed_load_and_rejects(spark):
     assert g[5]["person"] == "p,5" and g[5]["created"] == dt.date(2024, 2, 29)
     b = sorted(r["raw_line"][:6] for r in bad.collect())
     assert b == ["p2,x9,", "p3,3,P", "p4,4,P"]
+    report = files.reject_report(spark, path).collect()
+    assert [r["raw_line"][:2] for r in report] == ["p2", "p3", "p4"]
+    assert [r["reason"] for r in report] == ["not parsed: id", "not parsed: created", "not 29 fields"]
+    assert all(r["file"].endswith("part-00000") and r["file_time"] is not None for r in report)
 
 
 def test_materialize_replaces(spark):
@@ -37,6 +45,22 @@ def test_materialize_replaces(spark):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_materialize_replaces_a_named_table(spark):
+    spark.sql(f"CREATE DATABASE named_fixture LOCATION '{fresh_dir(spark, 'named_fixture')}'")
+    files.materialize(spark.range(7), "named_fixture.kept")
+    files.materialize(spark.range(5), "named_fixture.kept")
+    assert named(spark, "named_fixture.kept").count() == 5
+    spark.sql("DROP DATABASE named_fixture CASCADE")
+
+
+def test_every_channel_label_occurs():
+    con = duckdb.connect()
+    for name in ("orders", "customer", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.01/{name}.parquet'")
+    labels = con.sql(queries()["channel_classify"]).select("pcl_channel").distinct().fetchall()
+    assert len(labels) == 10 and ("RAS-ERROR",) in labels
+
+
 def test_shared_dir_uses_checkpoint_dir(spark):
     assert shared_dir(spark).rstrip("/").endswith(spark.sparkContext.getCheckpointDir().rstrip("/").split("/")[-1])
 
