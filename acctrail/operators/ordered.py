@@ -2,25 +2,22 @@
 
 A single person (or the NULL person) may own a large share of all rows, and a
 single day of one person may too (a bulk migration day). No window here is
-partitioned by the person alone over raw rows. Work is split into *blocks*:
-
-* a block is (person, calendar day); a block holding more than a set share
-  of all rows is *hot* and is cut into ``splits`` sub-blocks, equal-width
-  ranges of the in-day order value (id, or time of day) between its
-  minimum and maximum, so every row-level window is partitioned by (person,
-  day, sub-block) and a hot day is spread over many tasks;
-* person-level windows run only over one row per (person, day) (a day
-  histogram) or at most ``n`` rows per block (block tails), whose size per
-  person is bounded by the number of calendar days (plus sub-blocks), not by
-  the number of rows;
-* a per-day window runs only over one row per sub-block of a hot day;
-* results return to the rows through one equi-join on the rows' own window
-  partitioning, so the big side is shuffled once.
-
-Histograms and the per-block order ranges come from one map-side partial
-aggregation, so hot keys are collapsed before any shuffle. The hot-block list
-is broadcast: it has at most 1/hot_share entries by construction, so its size
-is bounded independently of the data.
+partitioned by the person alone over raw rows. :func:`in_ranges` deals the rows
+out by their full order (person, time, id) into ranges of about equal row counts
+and writes them with the number of their range, ``_part``:
+
+* the range bounds are quantiles of the rows themselves, so a person or a day
+  with many rows spans as many ranges as its share of the rows asks for, at
+  every size and for every orderable type;
+* every row-level window is partitioned by (person, [day,] ``_part``), so it
+  never holds more than one range;
+* person-level windows run only over one row per (person, day, range) (a day
+  histogram) or over the last ``n`` rows of the ranges of a person that spans
+  several; both are bounded per person by the numbers of calendar days and
+  ranges, not by the number of rows.
+
+The written copy makes ``_part`` the same for every reader and after a lost
+executor. Calling an operator therefore runs the job that writes it.
 """
 
 from __future__ import annotations
@@ -29,67 +26,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..codes import HORIZON_MONTHS, Products, count_col
+from ..session import written
 
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
-# a block is hot above max(HOT_MIN_ROWS, HOT_SHARE * all rows); at most
-# 1 / HOT_SHARE blocks can be hot, which bounds the broadcast table of hot blocks
-HOT_SHARE = 1e-4
-HOT_MIN_ROWS = 2_000_000
-SPLITS = 64
-
 
 def _is(product: str, code: str) -> Column:
     return F.when(F.col(product) == F.lit(code), F.lit(1)).otherwise(F.lit(0))
 
 
-def hot_blocks(block_stats: DataFrame, block_cols: Sequence[str], count_name: str, *,
-               hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS,
-               extra: Sequence[str] = ()) -> DataFrame:
-    """Blocks holding more than ``max(hot_min_rows, hot_share * total)`` rows.
+def in_ranges(rows: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``rows`` plus ``_part``, the number of their range in ``order`` (NULLs first).
 
-    ``block_stats`` has one row per block with its row count and the range
-    ``_lo``/``_hi`` of the in-block order value (both from the same map-side
-    aggregation that builds the block histogram). Output: block columns,
-    ``_lo``, ``_hi``; at most ``1 / hot_share`` rows.
+    Ranges are contiguous and ascending, rows equal in all of ``order`` share one.
+    There are ``ranges`` of them, by default at most ``spark.sql.shuffle.partitions``.
+    The result is written under the shared working folder and read back.
     """
-    # Blocks with a NULL key cannot join the hot list, so they are left out of both
-    # the list and the total; the subquery then reads the very same filtered
-    # histogram as the list (same columns too), and the two share one exchange.
-    keyed = block_stats
-    for c in block_cols:
-        keyed = keyed.filter(F.col(c).isNotNull())
-    total = keyed.agg(F.struct(F.sum(count_name).alias("n"), F.min("_lo").alias("lo"),
-                               F.max("_hi").alias("hi"), *[F.max(c).alias(c) for c in extra])
-                      .alias("t")).scalar()["n"]
-    limit = F.greatest(F.lit(float(hot_min_rows)), total.cast("double") * F.lit(hot_share))
-    return keyed.filter(F.col(count_name) > limit).select(*block_cols, "_lo", "_hi", *extra)
-
-
-def _equal_width(value: Column, lo: Column, hi: Column, splits: int) -> Column:
-    """Index (0 .. splits-1) of ``value``'s equal-width range between ``lo`` and ``hi``."""
-    width = (hi - lo).cast("double") + F.lit(1.0)
-    idx = F.floor((value - lo).cast("double") / width * F.lit(splits)).cast("int")
-    return F.least(idx, F.lit(splits - 1))
-
-
-def with_sub_block(rows: DataFrame, hot: DataFrame, block_cols: Sequence[str], order_value: Column,
-                   splits: int = SPLITS) -> DataFrame:
-    """Add ``_sub``: 0 outside hot blocks; inside, one of ``splits`` equal-width
-    ranges of ``order_value`` between the block's ``_lo`` and ``_hi``.
-
-    The index never decreases as the order value grows, so sub-blocks are
-    contiguous, ordered ranges of the in-block order. The join with the hot
-    list is a broadcast (bounded size), fused into the scan of the rows.
-    """
-    j = rows.join(F.broadcast(hot), list(block_cols), "left")
-    sub = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_equal_width(order_value, F.col("_lo"),
-                                                                         F.col("_hi"), splits))
-    return j.withColumn("_sub", sub).withColumn("_hot", F.col("_lo").isNotNull()).drop("_lo", "_hi")
+    cut = rows.repartitionByRange(*([ranges] if ranges else []), *order)
+    return written(cut.withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def product_history_counts(history: DataFrame, *, person: str = "person", id_col: str = "id",
@@ -97,8 +54,7 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
                            products: Products = Products(), as_of=None,
                            horizons: Sequence[int] = HORIZON_MONTHS,
                            include: Sequence[str] = ("orig", "months", "today"),
-                           hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS,
-                           splits: int = SPLITS) -> DataFrame:
+                           ranges: int | None = None) -> DataFrame:
     """Counts of each person's accounts around every account.
 
     * ``orig``: accounts strictly before this one in (day, id) order, per known
@@ -128,21 +84,21 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
 
     base_cols = history.columns
     # Rows without a person stay in the same flow: NULL is an ordinary group key
-    # for the (person, day[, sub-block]) windows and histograms, so those rows are
-    # spread by day like any other person's; their counts are forced to 0 at the
-    # end. No second pass over the input is needed for them.
-    valid = history.filter(F.col(day).isNotNull())
+    # for the windows and the histogram, so those rows are dealt out by day and id
+    # like any other person's; their counts are forced to 0 at the end.
+    valid = in_ranges(history.filter(F.col(day).isNotNull()), [person, day, id_col], ranges)
+    block = [person, day, "_part"]
 
-    # 1. day histogram: one row per (person, day), map-side partial aggregation
-    hist = valid.groupBy(person, day).agg(
+    # 1. day histogram: one row per (person, day, range), map-side partial aggregation
+    hist = valid.groupBy(*block).agg(
         F.count(F.lit(1)).alias("_n_tot"),
-        *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in cats],
-        F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
+        *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in cats])
 
-    # 2. person-level windows over the histogram (size per person <= number of days)
+    # 2. person-level windows over the histogram (size per person <= days + ranges);
+    # the month frames are by day, so they take all ranges of a day together
     spec = f"PARTITION BY `{person}` ORDER BY `{day}`"
-    feats = [F.col(person), F.col(day)]
-    wd = Window.partitionBy(person).orderBy(day)
+    feats = [F.col(c) for c in block]
+    wd = Window.partitionBy(person).orderBy(day, "_part")
     if "orig" in suffixes:
         for k in keys:
             feats.append(F.coalesce(F.sum(f"_n_{k}").over(wd.rowsBetween(_UNB, -1)),
@@ -162,43 +118,19 @@ def product_history_counts(history: DataFrame, *, person: str = "person", id_col
     day_feats = hist.select(*feats)
 
     if "orig" in suffixes:
-        # 3. the positional part inside a day: split hot days into sub-blocks by id
-        if not isinstance(history.schema[id_col].dataType, T.NumericType):
-            # ids without arithmetic are not cut into ranges: a day stays one block
-            hist = hist.withColumns({c: F.lit(0) for c in ("_lo", "_hi")})
-            valid = valid.withColumn("_id_value", F.lit(0))
-        else:
-            valid = valid.withColumn("_id_value", F.col(id_col))
-        hot = hot_blocks(hist, [person, day], "_n_tot", hot_share=hot_share, hot_min_rows=hot_min_rows)
-        rows = with_sub_block(valid, hot, [person, day], F.col("_id_value"), splits)
-        # rows without a person never match the hot list (NULL keys do not join) and
-        # their counts are 0 anyway: spread them over the sub-blocks by a hash of the
-        # id, so a day with many such rows is not one task either
-        rows = rows.withColumn("_sub", F.when(F.col(person).isNull(),
-                                              F.pmod(F.xxhash64(id_col), F.lit(splits)).cast("int"))
-                                        .otherwise(F.col("_sub")))
-        # earlier sub-blocks of a hot day (one row per sub-block)
-        sub_hist = rows.filter("_hot").groupBy(person, day, "_sub").agg(
-            *[F.sum(_is(product, code)).alias(f"_s_{k}") for k, code in cats])
-        ws = Window.partitionBy(person, day).orderBy("_sub").rowsBetween(_UNB, -1)
-        sub_feats = sub_hist.select(person, day, "_sub", *[
-            F.coalesce(F.sum(f"_s_{k}").over(ws), F.lit(0)).alias(f"_sub_before_{k}") for k in keys])
-        keyed = (day_feats.join(sub_feats, [person, day], "left")
-                          .withColumn("_sub", F.coalesce(F.col("_sub"), F.lit(0))))
-        # earlier rows of the same sub-block
-        wb = Window.partitionBy(person, day, "_sub").orderBy(id_col).rowsBetween(_UNB, -1)
-        rows = rows.select("*", *[F.count(F.when(F.col(product) == F.lit(code), F.lit(1)))
-                                  .over(wb).alias(f"_same_{k}") for k, code in cats])
-        joined = rows.join(keyed, [person, day, "_sub"], "left")
-        per = [(F.col(f"_before_{k}") + F.coalesce(F.col(f"_sub_before_{k}"), F.lit(0))
-                + F.col(f"_same_{k}")).cast("long") for k in keys]
+        # 3. earlier rows of the same day and range
+        wb = Window.partitionBy(*block).orderBy(id_col).rowsBetween(_UNB, -1)
+        rows = valid.select("*", *[F.count(F.when(F.col(product) == F.lit(code), F.lit(1)))
+                                   .over(wb).alias(f"_same_{k}") for k, code in cats])
+        joined = rows.join(day_feats, block, "left")
+        per = [(F.col(f"_before_{k}") + F.col(f"_same_{k}")).cast("long") for k in keys]
         total = per[0]
         for p in per[1:]:
             total = total + p
         finals = [total.alias(count_col("tot", "orig"))] + [p.alias(count_col(k, "orig"))
                                                              for p, k in zip(per, keys)]
     else:
-        joined = valid.join(day_feats, [person, day], "left")
+        joined = valid.join(day_feats, block, "left")
         finals = []
     finals += [F.col(c) for c in out_cols if not c.endswith("_orig")]
     no_person = F.col(person).isNull()
@@ -228,66 +160,42 @@ def _null_safe_key(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
 
 
 def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[str],
-                  n: int = 5, prefix: str = "_prev", hot_share: float = HOT_SHARE,
-                  hot_min_rows: int = HOT_MIN_ROWS, splits: int = SPLITS) -> DataFrame:
+                  n: int = 5, prefix: str = "_prev", ranges: int | None = None) -> DataFrame:
     """Values of ``cols`` on the 1st..n-th earlier row of the same key.
 
     Order is (ts, tie) ascending, rows with a NULL ``ts`` before all others;
-    rows of a NULL key form one group, as in SQL. Every input row comes out.
-    Adds struct columns ``{prefix}1`` .. ``{prefix}{n}`` (NULL where fewer
-    earlier rows exist). Blocks are (key, day of ``ts``, sub-block of a hot
-    day): lags inside a block come from a block window;
-    the first rows of a block take their predecessors from the *halo*, the
-    last ``n`` rows before the block, found by a per-key window over block
-    tails (at most ``n`` rows per block). Hot days are cut by time of day,
-    or by a numeric ``tie`` when all their rows share one timestamp.
+    rows of a NULL key form one group, as in SQL; rows equal in both are ordered
+    by a hash of ``cols``. Every input row comes out. Adds struct columns
+    ``{prefix}1`` .. ``{prefix}{n}`` (NULL where fewer earlier rows exist).
+    Blocks are (key, range of :func:`in_ranges`): lags inside a block come from a
+    block window; the first rows of a block that continues a key take their
+    predecessors from the *halo*, the last ``n`` rows before the block, found by a
+    per-key window over the block tails of the keys that span several ranges.
     """
     d, kcols = _null_safe_key(df, key)
-    t = F.col(ts)
-    # the in-block order value never decreases as ``ts`` grows: the instant itself
-    # (across a clock change the wall clock goes back), or the wall clock of types
-    # without a zone
-    if isinstance(df.schema[ts].dataType, T.TimestampType):
-        at = F.unix_micros(t).cast("double")
-    else:
-        at = F.hour(t) * 3600 + F.minute(t) * 60 + F.date_part(F.lit("SECOND"), t).cast("double")
-    # rows without a time are one block per key, ahead of the dated ones
-    d = (d.withColumn("_dated", t.isNotNull())
-          .withColumn("_blk", F.coalesce(F.to_date(t), F.lit("1970-01-01").cast("date")))
-          .withColumn("_row", F.struct(*cols)).withColumn("_tod", F.coalesce(at, F.lit(0.0))))
-    day_cols = kcols + ["_dated", "_blk"]
-    numeric_tie = isinstance(df.schema[tie].dataType, T.NumericType)
-    tie_range = ([F.min(tie).alias("_tlo"), F.max(tie).alias("_thi")] if numeric_tie
-                 else [F.lit(None).cast("long").alias("_tlo"), F.lit(None).cast("long").alias("_thi")])
-    stats = d.groupBy(*day_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_tod").alias("_lo"),
-                                     F.max("_tod").alias("_hi"), *tie_range)
-    hot = hot_blocks(stats, day_cols, "_n", hot_share=hot_share, hot_min_rows=hot_min_rows,
-                     extra=("_tlo", "_thi"))
-    d = d.join(F.broadcast(hot), day_cols, "left")
-    # a hot day is cut by time of day; when all its rows share one timestamp
-    # (a bulk load at midnight), by the tie column instead, which then is the
-    # whole in-block order
-    by_time = _equal_width(F.col("_tod"), F.col("_lo"), F.col("_hi"), splits)
-    by_tie = _equal_width(F.col(tie), F.col("_tlo"), F.col("_thi"), splits)
-    d = d.withColumn("_sub", F.when(F.col("_lo").isNull(), F.lit(0))
-                                .when(F.col("_hi") > F.col("_lo"), by_time)
-                                .when(F.col("_thi").isNotNull(), by_tie)
-                                .otherwise(F.lit(0))).drop("_lo", "_hi", "_tlo", "_thi", "_tod")
-    part = day_cols + ["_sub"]
-    wb = Window.partitionBy(*part).orderBy(ts, tie)
-    d = d.select("*",
-                 F.row_number().over(wb).alias("_pos"),
-                 F.count(F.lit(1)).over(wb.rowsBetween(_UNB, _UNF)).alias("_cnt"),
-                 *[F.lag("_row", i).over(wb).alias(f"_l{i}") for i in range(1, n + 1)])
-
-    tails = d.filter(F.col("_pos") > F.col("_cnt") - F.lit(n)).select(*part, ts, tie, "_row", "_pos", "_cnt")
-    wt = Window.partitionBy(*kcols).orderBy("_dated", "_blk", "_sub", ts, tie)
-    halo = (tails.select(*part, "_pos", "_cnt",
+    order = [ts, tie, "_tie_hash"]
+    rows = in_ranges(d.withColumn("_tie_hash", F.xxhash64(*cols)), kcols + order, ranges)
+    rows = rows.withColumn("_row", F.struct(*cols))
+    part = kcols + ["_part"]
+    wb = Window.partitionBy(*part).orderBy(*order)
+    d = rows.select("*", F.row_number().over(wb).alias("_pos"),
+                    *[F.lag("_row", i).over(wb).alias(f"_l{i}") for i in range(1, n + 1)])
+
+    # ranges are contiguous in the key, so each bound between two of them is crossed
+    # by at most one key: ``spans`` and ``halo`` have fewer rows than there are
+    # ranges, whatever the data, which is the size bound of their broadcasts
+    spans = (rows.groupBy(*kcols).agg(F.min("_part").alias("_first"), F.max("_part").alias("_last"))
+                 .filter(F.col("_first") < F.col("_last")).select(*kcols))
+    back = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
+    tails = (rows.join(F.broadcast(spans), kcols, "left_semi")
+                 .select(*part, *order, "_row", F.row_number().over(back).alias("_back"))
+                 .filter(F.col("_back") <= F.lit(n)))
+    wt = Window.partitionBy(*kcols).orderBy("_part", *order)
+    halo = (tails.select(*part, F.lag("_part").over(wt).alias("_before"),
                          *[F.lag("_row", i).over(wt).alias(f"_h{i}") for i in range(1, n + 1)])
-            .filter(F.col("_pos") == F.greatest(F.col("_cnt") - F.lit(n - 1), F.lit(1)))
-            .select(*part, *[f"_h{i}" for i in range(1, n + 1)]))
+            .filter(F.col("_before") < F.col("_part")).drop("_before"))
 
-    j = d.join(halo, part, "inner")
+    j = d.join(F.broadcast(halo), part, "left")
     prevs = []
     for i in range(1, n + 1):
         c = F.when(F.col("_pos") > F.lit(i), F.col(f"_l{i}"))
@@ -299,27 +207,29 @@ def previous_rows(df: DataFrame, *, key: str, ts: str, tie: str, cols: Sequence[
 
 def horizon_counts_merge(history: DataFrame, *, person: str = "person", day: str = "created",
                          product: str = "product_type", products: Products = Products(),
-                         horizons: Sequence[int] = HORIZON_MONTHS) -> DataFrame:
+                         horizons: Sequence[int] = HORIZON_MONTHS,
+                         ranges: int | None = None) -> DataFrame:
     """W6 as a range join computed by merging, not by pairing rows.
 
     For each account: the person's accounts dated before ``add_months(day, n)``.
-    Probe rows (one per person, day and horizon, keyed at the bound) are merged
-    with the person's day histogram in key order, probes ahead of data on
+    Probe rows (one per person, day, range and horizon, keyed at the bound) are
+    merged with the person's day histogram in key order, probes ahead of data on
     equal keys; a running sum read at each probe is the strict count. Both
-    sides have one row per (person, day), so the per-person merge is bounded
-    by the number of days. Rows with a NULL person or a NULL day get 0 (no bound
+    sides have one row per (person, day, range of :func:`in_ranges`), so the
+    per-person merge is bounded by the numbers of days and ranges. Rows with a NULL person or a NULL day get 0 (no bound
     to be dated before), and no other row counts a NULL day.
     """
     cats = ["tot"] + [k for k, _ in products.items()]
     placed = F.col(person).isNotNull() & F.col(day).isNotNull()
-    valid = history.filter(placed)
-    hist = valid.groupBy(person, day).agg(
+    valid = in_ranges(history.filter(placed).withColumn("_tie_hash", F.xxhash64(*history.columns)),
+                      [person, day, "_tie_hash"], ranges)
+    hist = valid.groupBy(person, day, "_part").agg(
         F.count(F.lit(1)).alias("_n_tot"),
         *[F.sum(_is(product, code)).alias(f"_n_{k}") for k, code in products.items()])
-    data = hist.select(person, F.col(day).alias("_key"), F.lit(1).alias("_is_data"),
+    data = hist.select(person, "_part", F.col(day).alias("_key"), F.lit(1).alias("_is_data"),
                        F.lit(None).cast("date").alias("_probe_day"), F.lit(None).cast("int").alias("_h"),
                        *[F.col(f"_n_{k}") for k in cats])
-    probes = [hist.select(person, F.add_months(F.col(day), n).alias("_key"), F.lit(0).alias("_is_data"),
+    probes = [hist.select(person, "_part", F.add_months(F.col(day), n).alias("_key"), F.lit(0).alias("_is_data"),
                           F.col(day).alias("_probe_day"), F.lit(n).alias("_h"),
                           *[F.lit(0).cast("long").alias(f"_n_{k}") for k in cats])
               for n in horizons]
@@ -327,16 +237,16 @@ def horizon_counts_merge(history: DataFrame, *, person: str = "person", day: str
     for p in probes:
         merged = merged.unionByName(p)
     w = Window.partitionBy(person).orderBy("_key", "_is_data").rowsBetween(_UNB, 0)
-    running = merged.select(person, "_probe_day", "_h", "_is_data",
+    running = merged.select(person, "_part", "_probe_day", "_h", "_is_data",
                             *[F.sum(f"_n_{k}").over(w).alias(f"_c_{k}") for k in cats])
     at_probe = running.filter(F.col("_is_data") == 0)
-    wide = at_probe.groupBy(person, "_probe_day").pivot("_h", list(horizons)).agg(
+    wide = at_probe.groupBy(person, "_probe_day", "_part").pivot("_h", list(horizons)).agg(
         *[F.first(f"_c_{k}").alias(k) for k in cats])
-    renamed = wide.select(F.col(person), F.col("_probe_day").alias(day),
+    renamed = wide.select(F.col(person), F.col("_probe_day").alias(day), "_part",
                           *[F.col(f"{n}_{k}").cast("long").alias(count_col(k, f"{n}month"))
                             for n in horizons for k in cats])
     out_cols = [count_col(k, f"{n}month") for n in horizons for k in cats]
-    counted = valid.join(renamed, [person, day], "inner").select(*history.columns, *out_cols)
+    counted = valid.join(renamed, [person, day, "_part"], "inner").select(*history.columns, *out_cols)
     zeros = history.filter(~placed).select(
         *history.columns, *[F.lit(0).cast("long").alias(c) for c in out_cols])
     return counted.unionByName(zeros)

@@ -16,21 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..codes import AccountCodes, ChannelRules, Products
-from ..session import fresh_dir
+from ..session import written
 from ..sources.roles import Roles
 from . import channels, features, history, mart, purchases
 
 AS_OF = "2000-01-01"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 class Pipeline:
     def __init__(self, roles: Roles, *, as_of: str = AS_OF, products: Products = Products(),
                  codes: AccountCodes = AccountCodes(), rules: ChannelRules = ChannelRules(),
@@ -90,9 +82,8 @@ class Pipeline:
         return self._classify(history.keep_product(self.history(), self.products.pcl))
 
     def previous(self) -> DataFrame:
-        prepare = (lambda df: written(df, "previous_input")) if self.materialize else None
         return purchases.previous_products(self.people(), self.channels(), products=self.products,
-                                           codes=self.codes, prepare=prepare)
+                                           codes=self.codes)
 
     def repeats(self) -> DataFrame:
         return purchases.repeat_purchase(self.previous(), products=self.products)

@@ -7,7 +7,7 @@ from dateutil.relativedelta import relativedelta
 from pyspark.sql import types as T
 
 from acctrail.codes import Products, count_col
-from acctrail.operators.ordered import horizon_counts_merge, previous_rows, product_history_counts
+from acctrail.operators.ordered import horizon_counts_merge, in_ranges, previous_rows, product_history_counts
 
 D = dt.date
 AS_OF = D(2024, 6, 1)
@@ -98,8 +98,9 @@ def test_merge_formulation_matches_frames(spark):
     rows = random_rows(11) + EDGE_ROWS
     df = spark.createDataFrame(rows, SCHEMA)
     a = {r["id"]: r.asDict() for r in product_history_counts(df, include=("months",)).collect()}
-    b = {r["id"]: r.asDict() for r in horizon_counts_merge(df).collect()}
-    assert a == b
+    for ranges in (None, 7):
+        b = {r["id"]: r.asDict() for r in horizon_counts_merge(df, ranges=ranges).collect()}
+        assert a == b
 
 
 def brute_previous(rows, n=5):
@@ -135,14 +136,14 @@ def test_products_default_codes():
 
 
 def test_counts_with_hot_day_split(spark):
-    """One person holds most rows on a single day; forcing tiny thresholds makes
-    that day hot, so it is cut into sub-blocks; results must not change."""
+    """One person holds most rows on a single day, which spans several ranges;
+    results must not change."""
     rnd = random.Random(5)
     rows = [("hot", 5000 + i, D(2022, 3, 1), rnd.choice(KNOWN + ("OTHER",))) for i in range(400)]
     rows += [("hot", 6000 + i, D(2022, 3, 2 + i % 20), rnd.choice(KNOWN)) for i in range(60)]
     rows += random_rows(13, n_people=4, hot_rows=30)
     df = spark.createDataFrame(rows, SCHEMA)
-    res = product_history_counts(df, as_of=AS_OF.isoformat(), hot_share=0.2, hot_min_rows=10, splits=8)
+    res = product_history_counts(df, as_of=AS_OF.isoformat(), ranges=8)
     got = {r["id"]: r.asDict() for r in res.collect()}
     want = brute_counts(rows)
     for i, w in want.items():
@@ -161,38 +162,70 @@ def test_previous_rows_with_hot_day_split(spark):
                            T.StructField("ts", T.TimestampNTZType()), T.StructField("prod", T.StringType())])
     df = spark.createDataFrame(rows, schema)
     res = previous_rows(df, key="person", ts="ts", tie="id", cols=["prod"], n=5, prefix="p",
-                        hot_share=0.2, hot_min_rows=10, splits=16)
+                        ranges=16)
     got = {r["id"]: [r[f"p{k}"]["prod"] if r[f"p{k}"] is not None else None for k in range(1, 6)]
            for r in res.collect()}
     assert got == brute_previous(rows)
 
 
-def test_hot_day_is_really_split(spark):
-    """The sub-block machinery is active: a forced-hot day spreads over several sub-blocks."""
-    from pyspark.sql import functions as F
+def _range_sizes(df, order, n):
+    return sorted(r["count"] for r in in_ranges(df, order, n).groupBy("_part").count().collect())
 
-    from acctrail.operators.ordered import hot_blocks, with_sub_block
-    rows = [("hot", 7000 + i, D(2022, 3, 1), "PCL") for i in range(200)] + [("cold", 1, D(2022, 3, 1), "PL")]
-    df = spark.createDataFrame(rows, SCHEMA)
-    stats = df.groupBy("person", "created").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("_lo"),
-                                                F.max("id").alias("_hi"))
-    hot = hot_blocks(stats, ["person", "created"], "n", hot_share=0.5, hot_min_rows=10)
-    subs = with_sub_block(df, hot, ["person", "created"], F.col("id"), splits=8)
-    per = {r["person"]: r["k"] for r in subs.groupBy("person").agg(F.countDistinct("_sub").alias("k")).collect()}
-    assert per == {"hot": 8, "cold": 1}
+
+def test_ranges_follow_the_rows(spark):
+    """No range holds much more than the mean: one day with nearly all rows, one outlier
+    id, string ids, rows without a person."""
+    n = 1600
+    hot = [("hot", i if i else 10 ** 15, D(2022, 3, 1), "PCL") for i in range(n - 100)]
+    hot += [(None, n + i, D(2022, 3, 1), "PL") for i in range(100)]
+    for rows, ids in ((hot, "long"), ([(p, f"x{i}", d, t) for p, i, d, t in hot], "string")):
+        df = spark.createDataFrame(rows, f"person string, id {ids}, created date, product_type string")
+        sizes = _range_sizes(df, ["person", "created", "id"], 8)
+        assert sum(sizes) == n and max(sizes) <= 2 * n / 8
+
+
+def test_previous_rows_one_timestamp_with_string_tie(spark):
+    at = dt.datetime(2021, 7, 1)
+    rows = [("m", f"{i:04d}", at, f"P{i}") for i in range(300)] + [("a", "z", at, "A"), ("z", "a", at, "Z")]
+    df = spark.createDataFrame(rows, "person string, id string, ts timestamp_ntz, prod string")
+    assert max(_range_sizes(df, ["person", "ts", "id"], 8)) <= 2 * len(rows) / 8
+    res = previous_rows(df, key="person", ts="ts", tie="id", cols=["prod"], n=5, prefix="p", ranges=8)
+    got = {r["id"] + r["person"]: [r[f"p{k}"]["prod"] if r[f"p{k}"] is not None else None for k in range(1, 6)]
+           for r in res.collect()}
+    assert len(got) == len(rows)
+    for i in range(300):
+        assert got[f"{i:04d}m"] == [f"P{i - k}" if i >= k else None for k in range(1, 6)]
+    assert got["za"] == got["az"] == [None] * 5
+
+
+def test_previous_rows_with_repeated_rows(spark):
+    """Rows equal in time and tie still get one predecessor each, across ranges too."""
+    at = dt.datetime(2021, 7, 1)
+    rows = [("m", 1, at, f"P{i:03d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "person string, id long, ts timestamp_ntz, prod string")
+    res = previous_rows(df, key="person", ts="ts", tie="id", cols=["prod"], n=1, prefix="p", ranges=6).collect()
+    before = [r["p1"]["prod"] for r in res if r["p1"] is not None]
+    assert len(res) == 200 and len(before) == len(set(before)) == 199
+
+
+def test_empty_history(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert product_history_counts(df, as_of=AS_OF.isoformat()).count() == 0
+    assert horizon_counts_merge(df).count() == 0
+    assert previous_rows(df, key="person", ts="created", tie="id", cols=["id"]).count() == 0
 
 
 def test_null_person_rows_are_spread_and_zero(spark):
     rows = [(None, 9000 + i, D(2022, 5, 5), "PCL") for i in range(300)] + [("z", 1, D(2022, 5, 5), "PL")]
     df = spark.createDataFrame(rows, SCHEMA)
-    res = product_history_counts(df, as_of=AS_OF.isoformat(), splits=8)
+    res = product_history_counts(df, as_of=AS_OF.isoformat(), ranges=8)
     out = {r["id"]: r for r in res.collect()}
     assert all(out[9000 + i][count_col("tot", "12month")] == 0 for i in range(300))
     assert out[1][count_col("tot", "12month")] == 1
 
 
 def test_previous_rows_hot_day_at_one_timestamp(spark):
-    """A bulk-loaded day (every row at midnight) is split by id and stays exact."""
+    """A bulk-loaded day (every row at midnight) spans several ranges and stays exact."""
     midnight = dt.datetime(2021, 7, 1)
     rows = [("m", 50 + i, midnight, "PCL" if i % 3 else "PL") for i in range(120)]
     rows += [("m", 10, midnight - dt.timedelta(days=1), "DEP"), ("m", 500, midnight + dt.timedelta(days=1), "HM")]
@@ -200,7 +233,7 @@ def test_previous_rows_hot_day_at_one_timestamp(spark):
                            T.StructField("ts", T.TimestampNTZType()), T.StructField("prod", T.StringType())])
     df = spark.createDataFrame(rows, schema)
     res = previous_rows(df, key="person", ts="ts", tie="id", cols=["prod"], n=5, prefix="p",
-                        hot_share=0.3, hot_min_rows=10, splits=6)
+                        ranges=6)
     got = {r["id"]: [r[f"p{k}"]["prod"] if r[f"p{k}"] is not None else None for k in range(1, 6)]
            for r in res.collect()}
     assert got == brute_previous(rows)

@@ -35,7 +35,7 @@ def brute(rows, row, keep):
 def test_counts(spark, ids):
     rows = [(p, i if ids == "long" else f"{i:05d}", d, t) for p, i, d, t in history()]
     df = spark.createDataFrame(rows, f"person string, id {ids}, created date, product_type string")
-    got = {r["id"]: r for r in product_history_counts(df, as_of=str(AS_OF), hot_min_rows=3, hot_share=0.0, splits=4).collect()}
+    got = {r["id"]: r for r in product_history_counts(df, as_of=str(AS_OF), ranges=4).collect()}
     merged = {r["id"]: r for r in horizon_counts_merge(df).collect()}
     assert len(got) == len(merged) == len(rows)
     for r in rows:
@@ -58,7 +58,7 @@ def test_previous_rows(spark, hot):
     times = [None, *(dt.datetime(2020, 1, 1 + i % 3, i % 24) for i in range(12))]
     rows = [(rnd.choice([None, "a", "b"]), i, rnd.choice(times)) for i in range(150)]
     df = spark.createDataFrame(rows, "k string, id long, ts timestamp")
-    kw = {"hot_min_rows": 3, "hot_share": 0.0, "splits": 4} if hot else {}
+    kw = {"ranges": 5} if hot else {}
     got = {r["id"]: [r[f"_prev{i}"]["id"] if r[f"_prev{i}"] else None for i in (1, 2, 3)]
            for r in previous_rows(df, key="k", ts="ts", tie="id", cols=["id"], n=3, **kw).collect()}
     assert len(got) == len(rows)
@@ -74,7 +74,7 @@ def test_previous_rows_across_a_clock_change(spark):
     try:
         start = 1604214000  # 2020-11-01 00:00 there; the clock goes back at 02:00
         df = spark.range(240).select(F.lit("a").alias("k"), "id", F.timestamp_seconds(F.lit(start) + F.col("id") * 60).alias("ts"))
-        rows = previous_rows(df, key="k", ts="ts", tie="id", cols=["id"], n=1, hot_min_rows=10, hot_share=0.0, splits=16).collect()
+        rows = previous_rows(df, key="k", ts="ts", tie="id", cols=["id"], n=1, ranges=16).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert {r["id"]: r["_prev1"] and r["_prev1"]["id"] for r in rows} == {i: i - 1 if i else None for i in range(240)}
