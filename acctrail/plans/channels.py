@@ -72,7 +72,7 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
                      rules: ChannelRules = ChannelRules(),
                      codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Q4: ``base`` (rows keyed by account ``id`` with a DATE ``created``) plus
-    ``contract_month`` and ``pcl_channel``.
+    the account's ``fico_score``, ``contract_month`` and ``pcl_channel``.
 
     ``people`` is :func:`acctrail.plans.history.resolve_people` and ``chain``
     is :func:`decision_chain`. Join shape: every lookup is a left join keyed
@@ -81,7 +81,7 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
     resolved on the application side before it meets the accounts.
     """
     lir = people.select("id", F.col("status").alias("lir_status"), F.col("program").alias("lir_program"),
-                        "lap_id", "initiator")
+                        "fico_score", "lap_id", "initiator")
     issued = (loans.filter(F.col("loan_status").isin(*codes.issued_loan_statuses))
                    .select(F.col("loan_id").alias("issued_prior_loan_id")).distinct())
     app = (app_attrs.select("app_id", "is_direct_mail", "utm_source", "good_source", "api_referrer",
@@ -102,6 +102,6 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
     # the application id equals the account id whenever it exists, so the touch
     # lookup stays keyed (and co-partitioned) on id; no application, no touch
     j = j.join(ras, (F.col("id") == F.col("asset_id")) & F.col("lap_id").isNotNull(), "left")
-    return j.select(*base.columns,
+    return j.select(*base.columns, "fico_score",
                     year_month(local_date("created", ZONE_LOS_ANGELES)).alias("contract_month"),
                     channel_label(rules, codes).alias("pcl_channel"))

@@ -13,7 +13,7 @@ from ..sources.roles import Roles
 
 
 PEOPLE_COLUMNS = ["id", "created_at", "product_type", "status", "program", "program_code",
-                  "lap_id", "borrower_id", "initiator", "person"]
+                  "fico_score", "lap_id", "borrower_id", "initiator", "person"]
 
 
 def resolve_people(accounts: DataFrame, applications: DataFrame, borrowers: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def resolve_people(accounts: DataFrame, applications: DataFrame, borrowers: Data
     application's borrower; an account without a borrower keeps a NULL person.
     Many stages read this; the pipeline builds it once.
     """
-    a = accounts.select("id", "created_at", "product_type", "status", "program", "program_code")
+    a = accounts.select("id", "created_at", "product_type", "status", "program", "program_code",
+                        "fico_score")
     ap = applications.select("id", F.col("id").alias("lap_id"), "borrower_id", "initiator")
     b = borrowers.select(F.col("id").alias("_b_id"), "person")
     # accounts without an application have a NULL borrower: spread, not piled up

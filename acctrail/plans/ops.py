@@ -71,8 +71,8 @@ def q_csv_typed_load(spark, sf_dir):
 
 @register("csv_load_rejects")
 def q_csv_load_rejects(spark, sf_dir):
-    """The rejected lines of a load whose unknown-product rows carry a date
-    the declared format cannot parse."""
+    """The rejected lines of a load whose dated unknown-product rows carry
+    a date the declared format cannot parse; an empty date is a NULL, no reject."""
     path = _load_file(spark, sf_dir, "OTHER")
     _, bad = files.split_rejects(files.load_typed_csv(spark, path))
     return bad
@@ -80,10 +80,10 @@ def q_csv_load_rejects(spark, sf_dir):
 
 @register("union_all_outputs")
 def q_union_all_outputs(spark, sf_dir):
-    """Counts written as two partial outputs (before / from the as-of
-    date), merged back by one multi-path read."""
+    """Counts written as two partial outputs (before the as-of date / from
+    it or without a date), merged back by one multi-path read."""
     counts = _pipe(spark, sf_dir, materialize=True).counts()
-    before = F.col("created") < F.lit(AS_OF).cast("date")
+    before = F.coalesce(F.col("created") < F.lit(AS_OF).cast("date"), F.lit(False))
     p1 = files.write_history_csv(counts.filter(before), fresh_dir(spark, "out_part"))
     p2 = files.write_history_csv(counts.filter(~before), fresh_dir(spark, "out_part"))
     return files.merge_outputs(spark, [p1, p2], files.HISTORY_SCHEMA)

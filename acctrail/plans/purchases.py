@@ -20,7 +20,7 @@ def project_flags(channelled: DataFrame) -> DataFrame:
     itself, so their flags need > 1.
     """
     return channelled.select(
-        "person", "id", "created", "contract_month", "product_type", "pcl_channel", *count_cols(),
+        "person", "id", "created", "contract_month", "product_type", "fico_score", "pcl_channel", *count_cols(),
         flag(F.col(count_col("tot", "orig")) > 0).alias("orig_flag"),
         flag(F.col(count_col("tot", "3month")) > 1).alias("post3m_flag"),
         flag(F.col(count_col("tot", "6month")) > 1).alias("post6m_flag"),

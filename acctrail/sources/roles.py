@@ -16,13 +16,15 @@ ROLES: dict[str, tuple[str, list[str]]] = {
     # loan-in-review: one row per account the customer opened or applied for
     "accounts": ("orders", [
         "o_orderkey AS id",
-        "o_orderdate AS created_at",
-        "CAST(o_orderdate AS DATE) AS created",
+        # some accounts carry no creation date
+        "CASE WHEN o_orderkey % 97 <> 5 THEN o_orderdate END AS created_at",
+        "CAST(CASE WHEN o_orderkey % 97 <> 5 THEN o_orderdate END AS DATE) AS created",
         "CASE o_orderpriority WHEN '1-URGENT' THEN 'PCL' WHEN '2-HIGH' THEN 'PL' "
         "WHEN '3-MEDIUM' THEN 'DEP' WHEN '4-NOT SPECIFIED' THEN 'HM' ELSE 'OTHER' END AS product_type",
         "CASE o_orderstatus WHEN 'F' THEN 'OPENED' WHEN 'O' THEN 'ISSUED' ELSE 'DECLINED' END AS status",
         "CASE o_orderpriority WHEN '1-URGENT' THEN 'PCL' WHEN '2-HIGH' THEN 'CORE' ELSE 'OTHER' END AS program",
         "CASE WHEN o_orderkey % 3 = 0 THEN 'DEP_SV_01' ELSE 'DEP_CK_01' END AS program_code",
+        "CAST(CASE WHEN o_orderkey % 13 > 0 THEN 550 + o_orderkey % 300 END AS INT) AS fico_score",
     ]),
     "applications": ("orders", [
         "o_orderkey AS id",
