@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctrail.codes import ChannelRules
@@ -73,7 +74,8 @@ def test_channel_branches(spark):
     rules = ChannelRules()
     ids = list(range(1, 11))
     people = spark.createDataFrame([person_row(i, f"p{i}", initiator="INTERNAL" if i == 9 else "CUSTOMER")
-                                    for i in ids], PEOPLE)
+                                    for i in ids], PEOPLE).withColumn(
+        "fico_score", F.when(F.col("id") != 3, F.col("id").cast("int") + 600))
     app = spark.createDataFrame([
         # app_id, direct_mail, utm, good_source, referrer, source_system, program, offer_id
         (1, "true", "partner_a", "false", None, None, "PCL", None),   # DM wins over partner (two branches)
@@ -99,8 +101,9 @@ def test_channel_branches(spark):
     ], schema(("event_id", L), ("asset_id", L), ("updated_at", TS), ("utm_source", S), ("event", S)))
     loans = spark.createDataFrame([(7, "ISSUED")], schema(("loan_id", L), ("loan_status", S)))
     base = spark.createDataFrame([(i, D(2020, 3, 1)) for i in ids], schema(("id", L), ("created", DT)))
-    got = {r["id"]: (r["pcl_channel"], r["contract_month"]) for r in
-           channel_classify(base, people, app, chain, enrol, touches, loans).collect()}
+    rows = channel_classify(base, people, app, chain, enrol, touches, loans).collect()
+    assert {r["id"]: r["fico_score"] for r in rows} == {i: None if i == 3 else 600 + i for i in ids}
+    got = {r["id"]: (r["pcl_channel"], r["contract_month"]) for r in rows}
     assert {i: c for i, (c, _) in got.items()} == {
         1: rules.direct_mail_label, 2: rules.partner_rewards_label, 3: rules.partner_label,
         4: rules.existing_campaign_label, 5: rules.high_risk_label, 6: "RAS-PURCHASE",
