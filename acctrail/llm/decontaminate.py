@@ -7,12 +7,16 @@ of m words when some run of its words has word edit distance at most
 * With at most a fifth of the words edited, items of at least ``MIN_WORDS``
   words keep a run of three words unchanged (pigeonhole), so only windows
   aligned with a three-word run of some item are looked at. This loses nothing.
-* Each such item-sized window, and each item, is embedded by ``tables``
+* Key agreement falls as the number of edits grows, so an item of more than
+  ``PIECE`` words is cut into equal pieces of at most ``PIECE`` words. The
+  edits of a match spread over the pieces, so at least one piece is within
+  the same edit rate, whatever the length of the item.
+* Each such piece-sized window, and each piece, is embedded by ``tables``
   independent CGK random walks, which turn edit distance into Hamming
   distance; a table's key is the words at ``samples`` sampled walk positions. Windows and
-  items that share a key in any table are candidates.
-* A candidate is verified by the exact edit distance of the item to the best
-  run around the window (bit-parallel).
+  pieces that share a key in any table are candidates.
+* A candidate is verified by the exact edit distance of the whole item to the best
+  run around the place that the window gives it (bit-parallel).
 
 Items are handled in blocks of bounded size, each sent to all tasks;
 documents are scanned where they lie, without a shuffle.
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import text_of
 from .textarrays import Words, chunks, mix
 
-RUN, MIN_WORDS, BLOCK_WORDS = 3, 6, 2_000_000
+RUN, MIN_WORDS, PIECE, BLOCK_WORDS = 3, 6, 40, 2_000_000
 _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _PAD = np.uint64(0x1F83D9ABFB41BD6B)
 
@@ -60,10 +64,10 @@ def _keys(words: np.ndarray, start: np.ndarray, end: np.ndarray, size: np.ndarra
     return key
 
 
-def best_run(pattern: list, text: list) -> tuple[int, int]:
+def best_run(pattern: list, text: list, anchored: bool = False) -> tuple[int, int]:
     """(least edit distance of ``pattern`` to a run of ``text``, end of the first such run).
 
-    Bit-parallel over the pattern (one integer of len(pattern) bits per step).
+    ``anchored`` runs begin with the text. Bit-parallel over the pattern (one integer of len(pattern) bits per step).
     """
     m = len(pattern)
     places: dict = {}
@@ -78,7 +82,7 @@ def best_run(pattern: list, text: list) -> tuple[int, int]:
         d = ((((x & plus) + plus) ^ plus) | x) & full
         up, down = minus | ~(d | plus) & full, plus & d
         score += (up & top != 0) - (down & top != 0)
-        up, down = up << 1 & full, down << 1 & full
+        up, down = (up << 1 | anchored) & full, down << 1 & full
         plus, minus = (down | ~(d | up)) & full, up & d
         if score < best:
             best, end = score, j + 1
@@ -95,19 +99,26 @@ class Index:
         self.ids = [items[i][0] for i in use]
         self.words = [w.hash[w.first[i]:w.first[i] + w.count[i]].tolist() for i in use]
         self.edits = [int(edits * len(x)) for x in self.words]
+        n = -(-w.count[use] // PIECE)
+        self.item = np.repeat(np.arange(len(use)), n)
+        number, n, m = np.arange(len(self.item)) - np.repeat(np.cumsum(n) - n, n), n[self.item], w.count[use][self.item]
+        self.offset = number * m // n
+        size = (number + 1) * m // n - self.offset
+        first = w.first[use][self.item] + self.offset
+        piece = np.full(len(w.hash), -1)
+        piece[np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)] = np.repeat(np.arange(len(size)), size)
         start, gram = w.grams(RUN)
-        keep = w.count[w.doc[start]] >= MIN_WORDS
+        keep = (piece[start] >= 0) & (piece[start] == piece[start + RUN - 1])
         start, gram = start[keep], gram[keep]
-        doc = w.doc[start]
-        place = pd.DataFrame({"gram": gram, "at": start - w.first[doc], "size": w.count[doc]}).drop_duplicates().sort_values("gram", kind="stable")
+        own = piece[start]
+        place = pd.DataFrame({"gram": gram, "at": start - first[own], "size": size[own]}).drop_duplicates().sort_values("gram", kind="stable")
         self.gram, self.at, self.size = (place[c].to_numpy() for c in ("gram", "at", "size"))
-        first = w.first[use]
-        keys = _keys(w.hash, first, first + w.count[use], w.count[use], tables, samples, seed)
+        keys = _keys(w.hash, first, first + size, size, tables, samples, seed)
         order = np.argsort(keys, axis=None, kind="stable")
-        self.keys, self.owner = keys.ravel()[order], np.repeat(np.arange(len(use)), tables)[order]
+        self.keys, self.owner = keys.ravel()[order], np.repeat(np.arange(len(size)), tables)[order]
 
     def windows(self, w: Words):
-        """(first word, size) of item-sized windows aligned with a run of some item."""
+        """(first word, size) of piece-sized windows aligned with a run of some piece."""
         start, gram = w.grams(RUN)
         lo = np.searchsorted(self.gram, gram, "left")
         known = lo < len(self.gram)
@@ -124,23 +135,34 @@ class Index:
 
     def matches(self, w: Words):
         """(text, item, distance, first word, words) of verified candidates, the best of each text and item."""
-        best: dict = {}
         s, sizes = self.windows(w)
         end = w.first[w.doc[s]] + w.count[w.doc[s]]
         keys = _keys(w.hash, s, end, sizes, self.tables, self.samples, self.seed).ravel()
         lo, hi = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-        seen = {(int(x) // self.tables, int(k)) for x in np.flatnonzero(hi > lo) for k in self.owner[lo[x]:hi[x]]}
-        for i, k in sorted(seen):
-            doc, size, slack = int(w.doc[s[i]]), int(sizes[i]), self.edits[k]
-            a, b = max(int(w.first[doc]), int(s[i]) - slack), min(int(end[i]), int(s[i]) + size + slack)
-            text = w.hash[a:b].tolist()
-            d, stop = best_run(self.words[k], text)
-            if d <= slack and (d, a) < best.get((doc, k), (slack + 1, 0))[:2]:
-                back, _ = best_run(self.words[k][::-1], text[:stop][::-1])
-                length = next(n for n in range(max(1, size - slack), min(stop, size + slack) + 1)
-                              if _distance(self.words[k], text[stop - n:stop]) == back)
-                best[doc, k] = d, a, a + stop - length - int(w.first[doc]), length
-        return [(doc, self.ids[k], d, first, n) for (doc, k), (d, _, first, n) in sorted(best.items())]
+        seen = {(int(x) // self.tables, int(p)) for x in np.flatnonzero(hi > lo) for p in self.owner[lo[x]:hi[x]]}
+        regions = set()
+        for i, p in seen:
+            doc, k, at = int(w.doc[s[i]]), int(self.item[p]), int(s[i]) - int(self.offset[p])
+            slack = self.edits[k]
+            regions.add((doc, k, max(int(w.first[doc]), at - slack), min(int(end[i]), at + len(self.words[k]) + slack)))
+        # overlapping regions of one item are verified as one
+        joined: list = []
+        for doc, k, a, b in sorted(regions):
+            if joined and joined[-1][:2] == [doc, k] and a <= joined[-1][3]:
+                joined[-1][3] = max(b, joined[-1][3])
+            else:
+                joined.append([doc, k, a, b])
+        best: dict = {}
+        for doc, k, a, b in joined:
+            d, stop = best_run(self.words[k], w.hash[a:b].tolist())
+            if d <= self.edits[k] and d < best.get((doc, k), (len(self.words[k]),))[0]:
+                best[doc, k] = d, a, a + stop
+        out = []
+        for (doc, k), (d, a, stop) in best.items():
+            # the shortest run of that distance and end
+            _, length = best_run(self.words[k][::-1], w.hash[a:stop].tolist()[::-1], anchored=True)
+            out.append((doc, self.ids[k], d, stop - length - int(w.first[doc]), length))
+        return out
 
 
 def _distance(a: list, b: list) -> int:

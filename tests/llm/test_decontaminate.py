@@ -64,6 +64,31 @@ def test_recall_and_precision(spark):
         assert _distance(by[r.item_id].lower().strip(".").split(), run) == r.distance
 
 
+def test_recall_does_not_fall_with_length(spark):
+    rnd = random.Random(13)
+    vocab = [f"v{i}" for i in range(3000)]
+    items, docs = {}, {}
+    for size in (20, 40, 41, 150, 300, 600, 1000):
+        for uneven in (False, True):
+            for _ in range(15):
+                k = len(items)
+                p = items[k] = rnd.choices(vocab, k=size)
+                part = size // 2 if uneven else size
+                docs[k] = rnd.choices(vocab, k=30) + edited(rnd, p[:part], size // 5, vocab) + p[part:] + rnd.choices(vocab, k=30)
+    bench = spark.createDataFrame([(k, " ".join(p)) for k, p in items.items()], ITEMS)
+    rows = find_passages(spark.createDataFrame([(k, " ".join(t)) for k, t in docs.items()], DOCS), bench).collect()
+    found = {r.doc_id: r for r in rows}
+    assert len(found) == len(rows) and all(r.doc_id == r.item_id for r in rows)
+    for size in {len(p) for p in items.values()}:
+        same = [k for k, p in items.items() if len(p) == size]
+        assert sum(k in found for k in same) >= 0.95 * len(same), size
+    for k, r in found.items():
+        d = best_run(items[k], docs[k])[0]
+        assert r.distance == d <= len(items[k]) // 5
+        if len(items[k]) <= 150:
+            assert _distance(items[k], docs[k][r.first_word:r.first_word + r.n_words]) == d
+
+
 def test_edges(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = [(1, None), (2, ""), (3, "?"), (4, item.upper()), (4, item.upper()), (None, "x " * 50_000 + item), (5, item[:20])]
