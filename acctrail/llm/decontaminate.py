@@ -1,6 +1,7 @@
 """Benchmark passages in documents: CGK embedding, bit-sampling LSH, exact edit verification.
 
-Texts are lower-cased words of letters and digits. A document matches an item
+Texts are lower-cased words of letters, marks and digits; characters of scripts
+written without spaces are words of their own. A document matches an item
 of m words when some run of its words has word edit distance at most
 ``floor(edits * m)`` to the item.
 
@@ -17,6 +18,8 @@ of m words when some run of its words has word edit distance at most
   pieces that share a key in any table are candidates.
 * A candidate is verified by the exact edit distance of the whole item to the best
   run around the place that the window gives it (bit-parallel).
+* Items under ``MIN_WORDS`` words allow one edit at most. All forms that a run within it
+  can take are looked up by their hashes, which loses nothing.
 
 Items are handled in blocks of bounded size, each sent to all tasks;
 documents are scanned where they lie, without a shuffle.
@@ -24,6 +27,9 @@ documents are scanned where they lie, without a shuffle.
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,10 +41,30 @@ from .textarrays import Words, chunks, mix
 RUN, MIN_WORDS, PIECE, BLOCK_WORDS = 3, 6, 40, 2_000_000
 _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _PAD = np.uint64(0x1F83D9ABFB41BD6B)
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+#: Thai and Lao, Myanmar, Khmer, kana and Bopomofo, Han, halfwidth kana
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31F0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+
+
+class _Units(dict):
+    """Code point to itself, to itself as a word (scripts without spaces), or to a space."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        word = unicodedata.category(c)[0] in "LMN"
+        self[code] = out = " " if not word else f" {c} " if any(a <= code <= b for a, b in _UNSPACED) else c
+        return out
+
+
+_UNITS = _Units()
 
 
 def _normal(text: str) -> bytes:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_KEEP)
+    text = text.lower()
+    if not text.isascii():
+        text = _BEYOND_ASCII.sub(lambda m: m[0].translate(_UNITS), text)
+    return text.encode("utf-8").translate(_KEEP)
 
 
 def _keys(words: np.ndarray, start: np.ndarray, end: np.ndarray, size: np.ndarray, tables: int, samples: int, seed: int) -> np.ndarray:
@@ -89,6 +115,71 @@ def best_run(pattern: list, text: list, anchored: bool = False) -> tuple[int, in
     return best, end
 
 
+def _forms(m: int, edits: int):
+    """(words of an item of ``m`` words, their places in a run, distance) of the runs within ``edits`` (0 or 1).
+
+    Runs with an edited word at an end are left out: without it they are one word shorter, at the same distance.
+    """
+    every = tuple(range(m))
+    yield every, every, 0
+    for i in every if edits else ():
+        less = every[:i] + every[i + 1:]
+        yield less, every[:-1], 1
+        if 0 < i < m - 1:
+            yield less, less, 1
+        if i:
+            yield every, every[:i] + tuple(x + 1 for x in every[i:]), 1
+
+
+def _spread(words: np.ndarray, start: np.ndarray, places: tuple) -> np.ndarray:
+    """Hash of the words at ``places`` after each start."""
+    key = np.full(len(start), len(places), np.uint64)
+    for j in places:
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + words[start + j])
+    return key
+
+
+def _equal(table: np.ndarray, keys: np.ndarray):
+    """(index of the key, index in the sorted table) of all equal pairs."""
+    lo = np.searchsorted(table, keys, "left")
+    n = np.searchsorted(table, keys, "right") - lo
+    hit = np.repeat(np.arange(len(keys)), n)
+    return hit, lo[hit] + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
+
+
+class ShortItems:
+    """Items of fewer than MIN_WORDS words: their forms by the places of the words."""
+
+    def __init__(self, w: Words, edits: float):
+        parts: dict = {}
+        for m in range(1, MIN_WORDS):
+            use = np.flatnonzero(w.count == m)
+            for words, places, d in _forms(m, int(edits * m)) if len(use) else ():
+                parts.setdefault(places, []).append((_spread(w.hash, w.first[use], words), use, np.full(len(use), d)))
+        self.forms = []
+        for places, part in parts.items():
+            key, item, d = map(np.concatenate, zip(*part, strict=True))
+            order = np.argsort(key, kind="stable")
+            self.forms.append((places, key[order], item[order], d[order]))
+
+    def matches(self, w: Words):
+        """(text, item, distance, first word, words): the least distance, then the first end, then the shortest run."""
+        found = []
+        for places, keys, item, d in self.forms:
+            n = places[-1] + 1
+            start = np.flatnonzero(w.doc[:len(w.doc) - n + 1] == w.doc[n - 1:]) if len(w.doc) >= n else np.zeros(0, np.int64)
+            hit, entry = _equal(keys, _spread(w.hash, start, places))
+            at = start[hit]
+            found.append(np.stack([w.doc[at], item[entry], d[entry], at + n, np.full(len(at), n)]))
+        if not found:
+            return []
+        rows = np.concatenate(found, axis=1)
+        rows = rows[:, np.lexsort(rows[::-1])]
+        new = np.ones(rows.shape[1], bool)
+        new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(0)
+        return [(doc, k, d, end - n - int(w.first[doc]), n) for doc, k, d, end, n in rows[:, new].T.tolist()]
+
+
 class Index:
     """Run hashes and LSH keys of a block of items; its size is bounded by BLOCK_WORDS."""
 
@@ -96,6 +187,7 @@ class Index:
         self.tables, self.samples, self.seed = tables, samples, seed
         w = Words([_normal(t) for _, t in items])
         use = np.flatnonzero(w.count >= MIN_WORDS)
+        self.short, self.short_ids = ShortItems(w, edits), [k for k, _ in items]
         self.ids = [items[i][0] for i in use]
         self.words = [w.hash[w.first[i]:w.first[i] + w.count[i]].tolist() for i in use]
         self.edits = [int(edits * len(x)) for x in self.words]
@@ -120,13 +212,7 @@ class Index:
     def windows(self, w: Words):
         """(first word, size) of piece-sized windows aligned with a run of some piece."""
         start, gram = w.grams(RUN)
-        lo = np.searchsorted(self.gram, gram, "left")
-        known = lo < len(self.gram)
-        known[known] = self.gram[lo[known]] == gram[known]
-        start, gram, lo = start[known], gram[known], lo[known]
-        n = np.searchsorted(self.gram, gram, "right") - lo
-        hit = np.repeat(np.arange(len(start)), n)
-        entry = lo[hit] + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
+        hit, entry = _equal(self.gram, gram)
         doc = w.doc[start[hit]]
         # an alignment that begins before the document is one with its start
         begin = np.maximum(start[hit] - self.at[entry], w.first[doc])
@@ -157,7 +243,7 @@ class Index:
             d, stop = best_run(self.words[k], w.hash[a:b].tolist())
             if d <= self.edits[k] and d < best.get((doc, k), (len(self.words[k]),))[0]:
                 best[doc, k] = d, a, a + stop
-        out = []
+        out = [(doc, self.short_ids[k], *rest) for doc, k, *rest in self.short.matches(w)]
         for (doc, k), (d, a, stop) in best.items():
             # the shortest run of that distance and end
             _, length = best_run(self.words[k][::-1], w.hash[a:stop].tolist()[::-1], anchored=True)
@@ -178,7 +264,7 @@ def _blocks(items: DataFrame):
     """Items in blocks of at most BLOCK_WORDS words (a longer item alone), read one by one."""
     block, size = [], 0
     for r in items.toLocalIterator():
-        n = len(r["text"].split())
+        n = len(_normal(r["text"]).split())
         if block and size + n > BLOCK_WORDS:
             yield block
             block, size = [], 0
@@ -213,7 +299,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, tab
     """doc_id, item_id, distance, first_word, n_words: best verified match of each row of ``docs`` and item.
 
     distance counts word edits; first_word and n_words place the matching run
-    among the document's normalised words. Items under MIN_WORDS words (null and empty ones too) match
+    among the document's normalised words. Items without words (null and empty ones too) match
     nothing, nor do null and empty texts. Null ids stay null, repeated rows of
     ``docs`` give repeated results, repeated items one row each. Other columns are not read.
     ``edits`` is at most 0.2: beyond that the three-word alignment could miss matches.

@@ -89,6 +89,32 @@ def test_recall_does_not_fall_with_length(spark):
             assert _distance(items[k], docs[k][r.first_word:r.first_word + r.n_words]) == d
 
 
+def test_short_items_are_matched_exactly(spark):
+    rnd = random.Random(17)
+    vocab = [f"v{i}" for i in range(12)]
+    items = {k: rnd.choices(vocab, k=1 + k % 5) for k in range(60)}
+    docs = {d: rnd.choices(vocab, k=rnd.randint(0, 25)) for d in range(150)}
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in docs.items()], DOCS)
+    for edits in (0.2, 0.1):
+        rows = find_passages(frame, spark.createDataFrame([(k, " ".join(p)) for k, p in items.items()], ITEMS), edits).collect()
+        best = {(d, k): best_run(p, t)[0] for d, t in docs.items() for k, p in items.items()}
+        assert sorted((r.doc_id, r.item_id, r.distance) for r in rows) == sorted(
+            (d, k, n) for (d, k), n in best.items() if n <= int(edits * len(items[k])))
+        for r in rows:
+            assert _distance(items[r.item_id], docs[r.doc_id][r.first_word:r.first_word + r.n_words]) == r.distance
+
+
+def test_unicode_words(spark):
+    han, thai = "敏捷的棕色狐狸跳過懶狗然後跑進黑暗的森林裡", "สุนัขจิ้งจอกสีน้ำตาลกระโดดข้ามสุนัขขี้เกียจ"
+    plain = "it's the well known story of one very old fox's long night"
+    bench = spark.createDataFrame([(1, han), (2, thai), (3, plain), (4, "नमस्ते दुनिया"), (5, "狐狸")], ITEMS)
+    docs = [(1, "x" + han[:7] + "紅" + han[8:] + "y"), (2, "ก" + thai + "a"),
+            (3, plain.replace("'", "\u2019").replace(" ", "\u00a0").replace("very\u00a0", "\u201cvery\u201d\u2014").upper()),
+            (4, "«नमस्ते\u3000दुनिया»"), (5, "नमस्त दुनिया, 狐 狗"), (6, han[::-1])]
+    rows = find_passages(spark.createDataFrame(docs, DOCS), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in rows) == [(1, 1, 1), (1, 5, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0)]
+
+
 def test_edges(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = [(1, None), (2, ""), (3, "?"), (4, item.upper()), (4, item.upper()), (None, "x " * 50_000 + item), (5, item[:20])]
