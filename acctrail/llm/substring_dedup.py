@@ -223,6 +223,11 @@ def _cut(k: int, variants: bool):
     return run
 
 
+def _placed(spans: DataFrame) -> DataFrame:
+    """With ``place``, the checksum of the text that ``_place`` put into the high bits of positions."""
+    return spans.withColumn("place", F.shiftright("pos", 32))
+
+
 def dedup_substrings(docs: DataFrame, k: int = 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, n_removed, kept_text.
 
@@ -240,20 +245,24 @@ def dedup_substrings(docs: DataFrame, k: int = 20) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("doc"))
     variants = not base.groupBy("doc").count().where("count > 1").isEmpty()
+    # spans meet per text, not per id: rows without an id, or of one id, may be many
+    of_text = ["doc", "place"] if variants else ["doc"]
+    if variants:
+        base = base.withColumn("place", F.crc32("text").bitwiseAND(0x3FFFFFFF))
     order = ["low", "path", "doc", "pos"]
     paths = base.select("doc", "text").mapInPandas(_emit_paths(k, variants),
                                                    "low long, path long, doc long, pos long, edges int")
     marked = stored(paths.repartitionByRange(*order).sortWithinPartitions(*order)
                     .mapInPandas(_mark_paths, "doc long, pos long, edges int, copy boolean"), "paths")
-    firsts = marked.where("not copy").groupBy("doc").agg(F.collect_set(F.struct("pos", "edges")).alias("spans"))
+    firsts = _placed(marked.where("not copy")).groupBy(*of_text).agg(F.collect_set(F.struct("pos", "edges")).alias("spans"))
     order = ["h1", "h2", "doc", "pos"]
-    edges = (base.select("doc", "text").join(firsts, "doc")
+    edges = (base.select(*of_text, "text").join(firsts, of_text)
              .mapInPandas(_emit_edges(k, variants), "h1 long, h2 long, doc long, pos long"))
     repeated = _settle(stored(edges.repartitionByRange(*order).sortWithinPartitions(*order)
                               .mapInPandas(_mark_edges, "h1 long, h2 long, doc long, pos long, kind int, pid int"),
                               "edges"))
-    spans = (marked.where("copy").select("doc", "pos", (F.col("edges") + (k - 1)).alias("size"))
-             .unionByName(repeated.select("doc", "pos", F.lit(k).alias("size")))
-             .groupBy("doc").agg(F.collect_set(F.struct("pos", "size")).alias("spans")))
-    return (base.join(spans, "doc", "left").select("doc_id", "text", "spans")
+    spans = (_placed(marked.where("copy").select("doc", "pos", (F.col("edges") + (k - 1)).alias("size"))
+                     .unionByName(repeated.select("doc", "pos", F.lit(k).alias("size"))))
+             .groupBy(*of_text).agg(F.collect_set(F.struct("pos", "size")).alias("spans")))
+    return (base.join(spans, of_text, "left").select("doc_id", "text", "spans")
             .mapInPandas(_cut(k, variants), "doc_id long, n_words long, n_removed long, kept_text string"))

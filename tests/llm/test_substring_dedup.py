@@ -1,8 +1,10 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from acctrail.llm import substring_dedup
 from acctrail.llm.substring_dedup import dedup_substrings
 
 SCHEMA = "doc_id long, text string"
@@ -72,3 +74,19 @@ def test_one_id_two_texts_is_stable(spark, texts):
     df = spark.createDataFrame([(1, body + " " + t) for t in texts], SCHEMA)
     a, b = (sorted(map(tuple, dedup_substrings(df.repartition(n)).collect())) for n in (1, 3))
     assert a == b and sum(r[2] for r in a) == 25
+
+
+def test_spans_of_one_id_are_bounded_by_a_text(spark, monkeypatch):
+    body = " ".join(f"z{i}" for i in range(25))
+    df = spark.createDataFrame([(i % 2 or None, f"a{i} {body} b{i}") for i in range(60)], SCHEMA)
+    assert sum(r.n_removed for r in dedup_substrings(df).collect()) == 59 * 25
+
+    def sizes(k, variants):
+        def run(batches):
+            for pdf in batches:
+                n = [0 if x is None else len(x) for x in pdf["spans"]]
+                yield pd.DataFrame({"doc_id": pd.Series([0] * len(n), dtype="Int64"), "n_words": n, "n_removed": n, "kept_text": ""})
+        return run
+
+    monkeypatch.setattr(substring_dedup, "_cut", sizes)
+    assert max(r.n_words for r in dedup_substrings(df).collect()) <= 25
