@@ -1,7 +1,7 @@
 """Removal of word spans that already occurred earlier in the corpus.
 
 The graph is the de Bruijn graph of the corpus: an edge is a run of ``k``
-words. Its paths are compacted before any shuffle: consecutive edges of a
+words. Minimiser runs stand in for its nonbranching paths, before any shuffle: consecutive edges of a
 document that share a minimiser (the smallest hash among the ``ANCHOR``-word
 runs inside an edge) form one path row. Equal edges always have equal
 minimisers, so a path whose minimiser occurs once in the corpus holds no
@@ -13,6 +13,8 @@ repeated edge and is dropped after one range shuffle. Among the others,
   and each edge is held against the earliest edge with the same two
   independent 64-bit hashes by source coordinates (doc_id, start).
 
+Equality rests on these hashes; the words themselves are not compared.
+
 Both shuffles are by range over (hash, document, position), so the copies of a
 passage that a third of all documents share spread over many tasks, and
 each task streams through its rows in order.
