@@ -3,8 +3,10 @@
 The field's nodes are the tokens that hold a digit or an "@" (no kind can do
 without one). Neighbouring nodes are linked, and so are distant nodes that
 repeat each other (same digits, or same text): each occurrence with the
-next one, so that links stay linear in the text. Loopy belief propagation over
-the nodes of many texts at once gives the label marginals. The rule spans of a
+first one, so that links stay linear in the text and any two occurrences are at most two
+links apart. Loopy belief propagation over
+the nodes of many texts at once gives the label marginals; a text takes part until
+its messages settle. The rule spans of a
 bounded sample of texts are the labels it learns from.
 """
 
@@ -22,6 +24,8 @@ from .common import hash_sample, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 SLOTS = 1 << 14
+#: Messages have settled below TOLERANCE; texts that never settle are left after MOST_ROUNDS.
+TOLERANCE, MOST_ROUNDS = 1e-4, 2000
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -128,40 +132,60 @@ class Field:
                     kind.append(0 if a - self.span[last][1] <= 2 else 1)
                 digits = _NOT_DIGIT.sub("", text[a:b])
                 key = digits if len(digits) >= 7 else text[a:b].lower()
-                if key in seen and seen[key] != last:
+                if seen.setdefault(key, i) not in (i, last):
                     left.append(seen[key])
                     right.append(i)
                     kind.append(2)
-                last = seen[key] = i
+                last = i
         self.feats = np.array(feats, np.int64).reshape(-1, 6)
         self.left, self.right, self.kind = (np.array(x, np.int64) for x in (left, right, kind))
 
+    def messages(self) -> tuple[np.ndarray, np.ndarray]:
+        """Uniform messages of the links, to the right and to the left."""
+        return np.full((len(self.left), 5), 0.2), np.full((len(self.left), 5), 0.2)
+
 
 @dataclass
 class PiiModel:
     unary: np.ndarray     #: slot x label; label 0 is "none", then KINDS
     pair: np.ndarray      #: link kind (adjacent, next, repeat) x label x label
 
-    def beliefs(self, field: Field, rounds: int = 12):
-        """Label marginals of nodes and of links by loopy belief propagation."""
+    def beliefs(self, field: Field, rounds: int | None = None, messages: tuple[np.ndarray, np.ndarray] | None = None):
+        """Label marginals of nodes and of links by loopy belief propagation.
+
+        Each text goes on until its messages settle, for at most ``rounds``
+        rounds (None: enough for its longest chain of nodes, there and back).
+        ``messages`` are started from and updated in place.
+        """
         u = self.unary[field.feats].sum(1)
         n, e = len(u), len(field.left)
         psi = np.exp(self.pair)[field.kind]
-        to_right, to_left = np.full((e, 5), 0.2), np.full((e, 5), 0.2)
-        for _ in range(rounds if e else 0):
+        to_right, to_left = messages or field.messages()
+        doc = np.array(field.doc, np.int64)
+        nodes = np.bincount(doc)
+        text = doc[field.left] if e else np.zeros(0, np.int64)
+        if rounds is None:
+            rounds = min(12 + 2 * int(nodes.max(initial=0)), MOST_ROUNDS)
+        live = np.arange(e)
+        for _ in range(rounds):
+            if not len(live):
+                break
+            left, right, old_right, old_left = field.left[live], field.right[live], to_right[live], to_left[live]
+            log_right, log_left = np.log(old_right), np.log(old_left)
             total = u.copy()
-            np.add.at(total, field.right, np.log(to_right))
-            np.add.at(total, field.left, np.log(to_left))
-            a, b = total[field.left] - np.log(to_left), total[field.right] - np.log(to_right)
+            np.add.at(total, right, log_right)
+            np.add.at(total, left, log_left)
+            a, b = total[left] - log_left, total[right] - log_right
             a, b = (np.exp(x - x.max(1, keepdims=True)) for x in (a, b))
-            new_right = np.einsum("ei,eij->ej", a, psi)
-            new_left = np.einsum("ej,eij->ei", b, psi)
+            new_right = np.einsum("ei,eij->ej", a, psi[live])
+            new_left = np.einsum("ej,eij->ei", b, psi[live])
             new_right /= new_right.sum(1, keepdims=True)
             new_left /= new_left.sum(1, keepdims=True)
-            change = max(np.abs(new_right - to_right).max(), np.abs(new_left - to_left).max())
-            to_right, to_left = (np.maximum(0.5 * (x + y), 1e-9) for x, y in ((to_right, new_right), (to_left, new_left)))
-            if change < 1e-4:
-                break
+            change = np.maximum(np.abs(new_right - old_right).max(1), np.abs(new_left - old_left).max(1))
+            to_right[live], to_left[live] = (np.maximum(0.5 * (x + y), 1e-9) for x, y in ((old_right, new_right), (old_left, new_left)))
+            moving = np.zeros(len(nodes), bool)
+            moving[text[live][change >= TOLERANCE]] = True
+            live = live[moving[text[live]]]
         total = u.copy()
         np.add.at(total, field.right, np.log(to_right))
         np.add.at(total, field.left, np.log(to_left))
@@ -199,8 +223,10 @@ def fit_field(texts: list[str], steps: int = 60, rate: float = 0.4, l2: float =
     slot = slot.reshape(field.feats.shape)
     gu, gp = np.zeros((len(used), 5)), np.zeros((3, 5, 5))
     truth = np.eye(5)[y]
+    # messages go on from step to step, so they follow the weights over any distance
+    messages = field.messages()
     for _ in range(steps):
-        p, joint = model.beliefs(field, 6)
+        p, joint = model.beliefs(field, 6, messages)
         grad = np.zeros((len(used), 5))
         for c in range(field.feats.shape[1]):
             np.add.at(grad, slot[:, c], truth - p)

@@ -84,6 +84,32 @@ def test_trees_are_exact():
     assert np.allclose(p[1], z.sum((0, 2)) / z.sum(), atol=1e-3)
 
 
+def test_all_repeats_hear_of_the_clear_one():
+    words = [x for i in range(30) for x in ("5555551234", "x", f"{i}a", "y")]
+    field = Field([" ".join([*words, "tel", "5555551234"]), "5 6"])
+    model = PiiModel(np.zeros((1 << 14, 5)), np.zeros((3, 5, 5)))
+    model.pair[2] = 4 * np.eye(5)
+    model.unary[field.feats[60, 4], 4] = 8
+    p, _ = model.beliefs(field)
+    assert (p[0:61:2, 4] > 0.5).all() and (p[1:60:2, 4] < 0.5).all()
+
+
+def test_long_chains_are_exact():
+    rnd = np.random.default_rng(1)
+    field = Field([" ".join(f"{'abcdefgh'[i % 8]}{i}" for i in range(60)), "c3 d4"])
+    model = PiiModel(np.zeros((1 << 14, 5)), np.zeros((3, 5, 5)))
+    model.pair[0] = 5 * np.eye(5) + 0.1 * rnd.normal(size=(5, 5))
+    model.unary[field.feats[0, 4], 2] = 20
+    p, _ = model.beliefs(field)
+    u, psi = np.exp(model.unary[field.feats].sum(1)), np.exp(model.pair[0])
+    there, back = [np.ones(5)], [np.ones(5)]
+    for i in range(59):
+        there.append((x := (there[-1] * u[i]) @ psi) / x.sum())
+        back.append((x := psi @ (back[-1] * u[59 - i])) / x.sum())
+    want = np.array(there) * u[:60] * np.array(back[::-1])
+    assert np.allclose(p[:60], want / want.sum(1, keepdims=True), atol=0.01)
+
+
 def test_edges(trained, spark):
     _, _, model = trained
     rows = [(1, None), (2, ""), (None, "a@b.co"), (3, "9" * 20_000 + "." + "a" * 20_000 + "@"), (4, "a@b.co"), (4, "a@b.co")]
