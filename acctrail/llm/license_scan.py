@@ -11,6 +11,9 @@ below 0.82 ** BANDS (7e-5 at 48).
 A band can only collide in a window that holds a template shingle, so
 texts without any are dropped first and only windows around such shingles are
 hashed; this changes no result. Texts are not shuffled.
+
+A template under ``K`` words has its whole sequence as one shingle and is
+held against the runs of as many words.
 """
 
 from __future__ import annotations
@@ -54,11 +57,23 @@ def _signature(shingles: Column, bands: int) -> Column:
                        lambda b: F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, b))))
 
 
-def _templates(spark: SparkSession, licenses: list[tuple[str, str]], k: int) -> list[list]:
-    """Rows (license, shingles, class size), in blocks of at most BLOCK_SHINGLES shingles."""
+def _templates(spark: SparkSession, licenses: list[tuple[str, str]], k: int) -> list[tuple[int, list]]:
+    """(shingle length, rows (license, shingles, class size)) in blocks of at most BLOCK_SHINGLES shingles.
+
+    The length is ``k``, or that of the templates where they have fewer words.
+    """
     df = spark.createDataFrame(licenses, "license string, text string")
-    rows = (df.select("license", F.array_distinct(_shingles(F.col("text"), k)).alias("shingles"))
-            .where(F.size("shingles") > 0).collect())
+    words = F.split(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " ")), " ")
+    wide = df.select("license", "text", F.least(F.size(F.filter(words, lambda x: x != "")), F.lit(k)).alias("k"))
+    out = []
+    for length in sorted((r.k for r in wide.select("k").where("k > 0").distinct().collect()), reverse=True):
+        rows = wide.where(F.col("k") == length).select(
+            "license", F.array_distinct(_shingles(F.col("text"), length)).alias("shingles")).collect()
+        out += [(length, b) for b in _blocks(rows)]
+    return out
+
+
+def _blocks(rows: list) -> list[list]:
     blocks, size = [[]], 0
     for r in rows:
         if size and size + len(r.shingles) > BLOCK_SHINGLES:
@@ -75,18 +90,19 @@ def scan_licenses(docs: DataFrame, licenses: list[tuple[str, str]] = LICENSES, k
 
     One row per license and distinct (doc_id, text) of ``docs``; containment is the largest
     share of the template's distinct shingles in one window, windows counts
-    the windows that reach the threshold. Templates with fewer than ``k`` words have no shingle and are never found.
+    the windows that reach the threshold. Templates with fewer than ``k`` words have
+    one shingle of their own length; those without words are never found.
     Null, empty and short texts give no row; a null doc_id stays null; other columns are not read.
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    base = base.select("doc_id", F.xxhash64("text").alias("text_id"), _shingles(F.col("text"), k).alias("shingles"))
     found = None
-    for block in _templates(spark, licenses, k):
+    for length, block in _templates(spark, licenses, k):
         templates = stored(spark.createDataFrame(block, "license string, template array<long>, class int"), "licenses")
         keys = sorted({x for _, s, _ in block for x in s})
         sizes = sorted({c for *_, c in block})
-        part = _scan_block(base, templates, keys, sizes, containment, bands)
+        cut = base.select("doc_id", F.xxhash64("text").alias("text_id"), _shingles(F.col("text"), length).alias("shingles"))
+        part = _scan_block(cut, templates, keys, sizes, containment, bands)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "doc_id long, license string, containment double, windows long")

@@ -59,6 +59,15 @@ def test_edges(spark):
     check(spark, [(1, None), (2, ""), (3, "the MIT"), (4, mit), (4, mit), (5, mit + " " + mit), (None, mit), (6, "x " * 5000 + mit)])
 
 
+def test_templates_under_five_words(spark):
+    short = [("spdx", "SPDX-License-Identifier: MIT"), ("two", "All rights."), ("one", "WTFPL"), ("none", "--"), LICENSES[0]]
+    rows = [(1, "# spdx license identifier (MIT)"), (2, "SPDX-License-Identifier: Apache all right"), (3, "see WTFPL, wtfpl"),
+            (4, LICENSES[0][1] + " All rights reserved."), (5, None), (6, "wtfpl2"), (None, "all RIGHTS")]
+    got = [tuple(r) for r in scan_licenses(spark.createDataFrame(rows, SCHEMA), short).collect()]
+    assert sorted((r[:3] for r in got), key=key) == sorted(
+        [(1, "spdx", 1.0), (3, "one", 1.0), (4, "MIT", 1.0), (4, "two", 1.0), (None, "two", 1.0)], key=key)
+
+
 def test_plan_is_native(spark):
     plan = scan_licenses(spark.createDataFrame([(1, "a")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
