@@ -21,21 +21,23 @@ of m words when some run of its words has word edit distance at most
 * Items under ``MIN_WORDS`` words allow one edit at most. All forms that a run within it
   can take are looked up by their hashes, which loses nothing.
 
-Items are handled in blocks of bounded size, each sent to all tasks;
-documents are scanned where they lie, without a shuffle.
+Items are handled in blocks of bounded size, each sent to all tasks. The result of
+a block is written before the next block is read, so the driver and the plan hold one block, however
+large the benchmark. Documents are scanned where they lie, without a shuffle.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import shared_dir, stored, text_of
 from .textarrays import Words, chunks, mix
 
 RUN, MIN_WORDS, PIECE, BLOCK_WORDS = 3, 6, 40, 2_000_000
@@ -274,14 +276,20 @@ def _blocks(items: DataFrame):
         yield block
 
 
-def contaminated_column(text: Column, benchmark: DataFrame, edits: float = 0.2, tables: int = 24, samples: int = 2,
-                        seed: int = 11) -> Column:
-    """Whether the text matches any item, as a column expression, so that all columns of a table stay."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text"))
-    out = F.lit(False)
-    for block in _blocks(items):
-        out = out | _matching(Index(block, edits, tables, samples, seed))(F.coalesce(text, F.lit("")))
-    return out
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, tables: int = 24, samples: int = 2,
+                      seed: int = 11) -> DataFrame:
+    """The rows of ``docs`` whose text matches no item, with all columns. A job for every block but the last."""
+    later = False
+    for block in _blocks(_items(benchmark)):
+        if later:
+            docs = stored(docs, "decontaminated")
+        docs = docs.where(~_matching(Index(block, edits, tables, samples, seed))(text_of(docs)))
+        later = True
+    return docs
 
 
 def _matching(index: Index):
@@ -303,12 +311,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, tab
     nothing, nor do null and empty texts. Null ids stay null, repeated rows of
     ``docs`` give repeated results, repeated items one row each. Other columns are not read.
     ``edits`` is at most 0.2: beyond that the three-word alignment could miss matches.
+    Runs a job for every block of items but the last.
     """
     if not 0 <= edits <= 0.2:
         raise ValueError("edits must be between 0 and 0.2")
     schema = "doc_id long, item_id long, distance int, first_word long, n_words int"
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of(benchmark).alias("text"))
 
     def scan(index: Index):
         def run(batches):
@@ -322,8 +330,14 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, tab
                     yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
         return run
 
+    spark, path = docs.sparkSession, None
     found = None
-    for block in _blocks(items):
-        part = base.mapInPandas(scan(Index(block, edits, tables, samples, seed)), schema)
-        found = part if found is None else found.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if found is None else found
+    for block in _blocks(_items(benchmark)):
+        if found is not None:
+            path = path or f"{shared_dir(spark)}/llm/passages-{os.urandom(8).hex()}"
+            found.write.mode("append").option("compression", "zstd").parquet(path)
+            found = None  # and its index, before the next is built
+        found = base.mapInPandas(scan(Index(block, edits, tables, samples, seed)), schema)
+    if found is None:
+        return spark.createDataFrame([], schema)
+    return found.unionByName(spark.read.schema(schema).parquet(path)) if path else found

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from acctrail.llm.bpe import round_trip
 from acctrail.llm.common import stored, table
-from acctrail.llm.decontaminate import contaminated_column
+from acctrail.llm.decontaminate import drop_contaminated
 from acctrail.llm.jaccard_join import drop_near_duplicates
 from acctrail.llm.pii import masked_column, train_pii
 from acctrail.llm.queries import rank_file
@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage within a fifth of a benchmark item's words in edits."""
-    return docs.where(~contaminated_column(F.col("text"), table(spark, sf_dir, "benchmark")))
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
+import gc
 import random
+import weakref
 
 from pyspark.sql import functions as F
 
-from acctrail.llm.decontaminate import _distance, best_run, find_passages
+from acctrail.llm import decontaminate
+from acctrail.llm.decontaminate import _distance, best_run, drop_contaminated, find_passages
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
 
@@ -128,3 +131,28 @@ def test_empty(spark):
     none, some = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b c d e f g")], ITEMS)
     assert find_passages(none, some).collect() == []
     assert find_passages(spark.createDataFrame([(1, "a b c d e f g")], DOCS), spark.createDataFrame([], ITEMS)).collect() == []
+
+
+def test_driver_holds_one_block(spark, monkeypatch):
+    rnd = random.Random(23)
+    items = [(k, " ".join(rnd.choices([f"v{i}" for i in range(300)], k=20))) for k in range(5)]
+    docs = spark.createDataFrame([(d, f"a b {items[d][1]} c" if d < 5 else None if d == 5 else "x y") for d in range(7)], DOCS)
+    bench = spark.createDataFrame(items, ITEMS)
+    made, alive = [], []
+
+    def index(*args, real=decontaminate.Index):
+        gc.collect()
+        alive.append(sum(r() is not None for r in made))
+        out = real(*args)
+        made.append(weakref.ref(out))
+        return out
+
+    monkeypatch.setattr(decontaminate, "Index", index)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
+    found = find_passages(docs, bench)
+    assert len(alive) == 5 and max(alive) == 0
+    assert sorted(tuple(r) for r in found.collect()) == [(k, k, 0, 2, 20) for k in range(5)]
+    del found
+    kept = drop_contaminated(docs, bench)
+    assert len(alive) == 10 and max(alive) <= 1  # a row filter lives until the next is set
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [5, 6]
