@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from fractions import Fraction
+from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import token_digests
@@ -15,6 +16,7 @@ from .jaccard_join import jaccard_components
 from .langid import identify_language, train_language_id
 from .license_scan import oracle as license_oracle
 from .license_scan import scan_licenses
+from .merkle import merkle_manifest
 from .pii import KINDS, count_kind, find_pii, spans_text, train_pii
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity, train_toxicity
@@ -83,11 +85,79 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, nothing else."""
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampered rows: those whose id's crc32 is a multiple of 5; a null id is never tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    claims = {"text": F.when(tampered, ascii_lower(F.col("text"))).otherwise(F.col("text"))}
+    return merkle_manifest(table(spark, sf_dir, "documents"), claims=claims).drop("proof")
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE given AS (
+    SELECT *, row_number() OVER () AS rid, coalesce('s' || source, 'n') AS tree,
+        coalesce(xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+            lambda c: [ord(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda a, e: xor(xor(a, e) >> 1, 3988292384::UBIGINT * (xor(a, e) & 1))), 4294967295::UBIGINT) % 5 = 0, false) AS hit
+    FROM documents
+), fields AS (
+    SELECT rid, hit, text,
+        concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+            coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+        CASE WHEN hit THEN translate(text, '{ascii_uppercase}', '{ascii_lowercase}') ELSE text END AS told
+    FROM given
+), hashed AS (
+    SELECT g.doc_id, g.rid, g.tree, g.source, sha256(concat(head, coalesce(strlen(f.text) || ':' || f.text, '-'))) AS leaf,
+        sha256(concat(head, coalesce(strlen(told) || ':' || told, '-'))) AS claimed
+    FROM given g JOIN fields f USING (rid)
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed
+), nodes(tree, source, level, pos, digest, n) AS (
+    SELECT tree, source, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM leaves
+    UNION ALL
+    SELECT tree, any_value(source), level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 16
+), subroots AS (
+    SELECT tree, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1
+), crown(level, pos, digest, n) AS (
+    SELECT 0, pos, digest, count(*) OVER () FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM crown WHERE n > 1 GROUP BY level, pos // 16
+), runs AS (
+    SELECT tree, level, pos // 16 AS parent, string_agg(digest, '' ORDER BY pos) AS run FROM nodes WHERE n > 1 GROUP BY ALL
+), crown_runs AS (
+    SELECT level, pos // 16 AS parent, string_agg(digest, '' ORDER BY pos) AS run FROM crown WHERE n > 1 GROUP BY ALL
+), steps AS (
+    SELECT l.rid, r.level AS step, (l.pos >> (4 * r.level)) % 16 AS place, r.run
+    FROM leaves l JOIN runs r ON r.tree = l.tree AND r.parent = l.pos >> (4 * r.level + 4)
+    UNION ALL
+    SELECT l.rid, 1000 + r.level, (s.pos >> (4 * r.level)) % 16, r.run
+    FROM leaves l JOIN subroots s USING (tree) JOIN crown_runs r ON r.parent = s.pos >> (4 * r.level + 4)
+), ways AS (
+    SELECT rid, list(place || ':' || run ORDER BY step) AS way,
+        string_agg(substr(run, 1, 64 * place) || substr(run, 64 * place + 65), '' ORDER BY step) AS proof
+    FROM steps GROUP BY rid
+), folded AS (
+    SELECT l.*, s.digest AS subroot, (SELECT digest FROM crown WHERE n = 1) AS root, coalesce(proof, '') AS proof,
+        list_reduce(list_prepend(claimed, coalesce(way, [])), lambda a, e: sha256(concat(
+            substr(split_part(e, ':', 2), 1, 64 * split_part(e, ':', 1)::INTEGER), a,
+            substr(split_part(e, ':', 2), 64 * split_part(e, ':', 1)::INTEGER + 65)))) AS folded_root
+    FROM leaves l JOIN subroots s USING (tree) LEFT JOIN ways USING (rid)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
 def registry() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_url_filter, op2_pii, op3_byte_bpe, op4_license_scan, op5_embedding_dedup, op6_ngram_jaccard, op7_toxicity,
-        op8_language_id, op9_decontamination, op10_substring_dedup)}
+        op8_language_id, op9_decontamination, op10_substring_dedup, op12_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": license_oracle()}
+    return {"op4_license_scan": license_oracle(), "op12_merkle_manifest": MERKLE_SQL}
