@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .bpe import token_digests
 from .common import fold, table
+from .consistent_parse import document_fingerprints
 from .decontaminate import find_passages
 from .jaccard_join import jaccard_components
 from .langid import identify_language, train_language_id
@@ -90,6 +91,10 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ascii_uppercase, ascii_lowercase)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tampered rows: those whose id's crc32 is a multiple of 5; a null id is never tampered with."""
     tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -156,7 +161,8 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root,
 def registry() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_url_filter, op2_pii, op3_byte_bpe, op4_license_scan, op5_embedding_dedup, op6_ngram_jaccard, op7_toxicity,
-        op8_language_id, op9_decontamination, op10_substring_dedup, op12_merkle_manifest)}
+        op8_language_id, op9_decontamination, op10_substring_dedup, op11_fingerprints,
+        op12_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
