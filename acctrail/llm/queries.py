@@ -20,6 +20,7 @@ from .license_scan import scan_licenses
 from .merkle import merkle_manifest
 from .pii import KINDS, count_kind, find_pii, spans_text, train_pii
 from .substring_dedup import dedup_substrings
+from .token_alignment import alignment_report
 from .toxicity import score_toxicity, train_toxicity
 from .url_filter import filter_urls
 from .vector_dedup import dedup_vectors
@@ -86,6 +87,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def aligned_files() -> tuple[str, str]:
+    """Places of the public byte-level and sentence-piece tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, nothing else."""
     return F.translate(text, ascii_uppercase, ascii_lowercase)
@@ -158,11 +165,16 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root,
 """
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"), *aligned_files())
+
+
 def registry() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_url_filter, op2_pii, op3_byte_bpe, op4_license_scan, op5_embedding_dedup, op6_ngram_jaccard, op7_toxicity,
         op8_language_id, op9_decontamination, op10_substring_dedup, op11_fingerprints,
-        op12_merkle_manifest)}
+        op12_merkle_manifest,
+        op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
