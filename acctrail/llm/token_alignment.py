@@ -33,6 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import stored
 
 PIECE = 1 << 20
+CACHE_BYTES = 128 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -59,6 +60,7 @@ class Aligner:
 
     def __init__(self, a_file: str, b_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -76,6 +78,13 @@ class Aligner:
         self.shown = [f"{i}{c}" for i in range(len(self.a_bytes)) for c in ",|"] + [
             f"{i}{c}" for i in range(len(self.b_bytes)) for c in ",;"]
         self.pairs = self._pairs()
+        visible = r"[!-~\p{L}]"
+        self.space = regex.compile(f"(?<={visible}) (?={visible})").finditer
+        self.odd_space = regex.compile(rf"(?<!{visible}) | (?!{visible})").search
+        self.whole_only = any(" " in t.lstrip(b" ").decode(errors="replace") for t in self.b_bytes)
+        #: piece -> A ids and B ids, None where the bytes differ
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.kept = 0
 
     def _pairs(self) -> np.ndarray:
         """Every (A id << 32 | B id) of which one is a suffix of the other, ascending."""
@@ -88,23 +97,45 @@ class Aligner:
         found |= {a << 32 | b for a, t in enumerate(self.a_bytes) for k in range(1, len(t)) for b in b_of.get(t[k:], ())}
         return np.array(sorted(found), np.int64)
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """A ids of space + text and B ids of text; none where a side's joined bytes are not those of space + text."""
-        spaced = [" " + t for t in texts]
-        ours = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        theirs = self.b.encode(texts, num_threads=1)
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+    def _cut(self, text: str) -> list[str]:
+        """The text cut at each space between two visible characters (ASCII or letters); the pieces lose that space."""
+        if not self.whole_only and self.odd_space(text) is None:
+            return text.split(" ")
+        at = [] if self.whole_only else [m.start() for m in self.space(text)]
+        return [text[x:y] for x, y in zip([0, *(i + 1 for i in at)], [*at, len(text)], strict=True)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        spaced = [" " + p for p in pieces]
+        ours = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+        theirs = self.b.encode(pieces, num_threads=1)
+        for piece, full, a, b in zip(pieces, spaced, ours, theirs, strict=True):
+            data, a = full.encode("utf-8", "surrogatepass"), a.ids
+            same = b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b])
+            self.known[piece] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
+            self.kept += 300 + 4 * len(piece) + 4 * (len(a) + len(b))
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """A ids of space + text and B ids of text as 32-bit integers; none where a side's joined bytes are not those of space + text.
+
+        Both tokenizers always have a token border before a single space between visible characters: A's
+        pattern starts a new word there, and no piece of B has a space after another character (else texts are
+        not cut). So the pieces between such spaces are encoded once each and looked up from then on.
+        """
+        if self.kept > CACHE_BYTES:
+            self.known.clear()
+            self.kept = 0
+        cut = [self._cut(t) for t in texts]
+        self._learn(sorted(set().union(*cut) - self.known.keys()))
         out = []
-        for text, full, a, b in zip(texts, spaced, ours, theirs, strict=True):
-            data = full.encode("utf-8", "surrogatepass")
-            same = text and b"".join(map(a_bytes, a)) == data and b"".join(map(b_bytes, b)) == data
-            out.append((a, b) if same else ([], []))
+        for text, pieces in zip(texts, cut, strict=True):
+            ids = list(map(self.known.__getitem__, pieces))
+            out.append((b"".join([x[0] for x in ids]), b"".join([x[1] for x in ids])) if text and None not in ids else (b"", b""))
         return out
 
     def align(self, texts: list[str]) -> Aligned:
         ids = self.encode(texts)
-        n_a, n_b = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
-        a, b = (np.fromiter((i for x in ids for i in x[k]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
+        n_a, n_b = (np.array([len(x[k]) // 4 for x in ids], np.int64) for k in (0, 1))
+        a, b = (np.frombuffer(b"".join([x[k] for x in ids]), "<u4").astype(np.int64) for k in (0, 1))
         zeros = np.zeros(len(texts), np.int64)
         if not len(a):
             return Aligned(n_a, n_b, zeros, zeros, zeros, [""] * len(texts), np.empty(0, "<u4"))

@@ -18,7 +18,7 @@ A_FILE, B_FILE = queries.aligned_files()
 
 def some_texts():
     rnd = random.Random(1)
-    fixed = ["", " ", "a", "The quick brown fox.", "<|endoftext|> <s> </s> <unk> <0x41>", "a▁b", "\x00 nul", "naïve façade ½ ①",
+    fixed = ["", " ", "a", "x y", "x  y z ", "a \x1c b \x85c d \u2003e", "The quick brown fox.", "<|endoftext|> <s> </s> <unk> <0x41>", "a▁b", "\x00 nul", "naïve façade ½ ①",
              "  two  spaces   three ", "tab\tnew\nline\r\n", "日本語テキスト 한국어", "😀😃 emoji 👩‍👩‍👧", "a" * 700, "=" * 333 + " x",
              " nbsp em", "é combining", "ﬁ ligature Ⅷ", "﻿bom", "\x85\x1c odd   ends", "1234567890 12 3"]
     return fixed + ["".join(rnd.choices("abcdeé ñ😀\n.,THE", k=rnd.randint(1, 300))) for _ in range(40)]
