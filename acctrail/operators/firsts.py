@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .heavy import spread_join, unused
+
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """One row per non-NULL key: the row with the smallest ``order`` tuple.
@@ -31,8 +33,15 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str], payload: Sequen
 def latest_k(df: DataFrame, key: str, order: str, k: int, rank_col: str = "bills") -> DataFrame:
     """Rows whose rank by ``order`` descending (NULLs first, ties share a rank) is <= k.
 
-    ``rank() <= k`` lets Spark insert a partial WindowGroupLimit before the
-    shuffle, so each task forwards at most the top-k (plus ties) per key.
+    The rank is counted, not taken over raw rows: a value's rank is 1 + the rows of the greater values of its key.
+    Rows are counted per (key, value); the k greatest values of a key hold its ranks up to k (a partial
+    WindowGroupLimit before the shuffle); and the kept values are joined back to the rows with heavy (key, value)
+    groups dealt out. Ties of one key therefore never meet in one task. NULL keys form one group.
     """
-    w = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_first())
-    return df.withColumn(rank_col, F.rank().over(w)).filter(F.col(rank_col) <= k)
+    value, rows = unused("_value", df), unused("_rows", df)
+    counts = df.groupBy(key, order).agg(F.count(F.lit(1)).alias(rows))
+    newest = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_first())
+    kept = counts.withColumn(value, F.row_number().over(newest)).filter(F.col(value) <= k).drop(value)
+    before = F.sum(rows).over(newest.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = kept.withColumn(rank_col, (F.lit(1) + F.coalesce(before, F.lit(0))).cast("int"))
+    return spread_join(df, ranked.filter(F.col(rank_col) <= k).drop(rows), [key, order], "inner", nulls=True)

@@ -41,3 +41,14 @@ def left_anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     """Left rows with no match (NULL keys never match and are kept), NULL keys spread."""
     lhs, rhs, cond = _spread(left, right, left_key, right_key, salt)
     return lhs.join(rhs, cond, "left_anti").drop("_jk", "_jn")
+
+
+def keep_keys(df: DataFrame, column: str, keys: DataFrame | None) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among the values of the one-column frame ``keys``; all without ``keys``.
+
+    Values may repeat in ``keys``; NULLs are not kept. Spark broadcasts the keys where their size
+    (measured, for a written table) is under its threshold and shuffles both sides otherwise.
+    """
+    if keys is None:
+        return df
+    return df.join(keys.toDF("_kept"), F.col(column) == F.col("_kept"), "left_semi")

@@ -7,6 +7,10 @@ distributive (count of distinct ids per person, sums, maxes, mins), so here
 the big side is aggregated per person / applicant / report first (map-side
 partial aggregation absorbs hot keys), and the lines then join to one row per
 key. The results are identical; no pairs are formed.
+
+Every feature takes ``only``: a one-column frame of line ids. With it, the lines and the big side
+are reduced to the rows of those lines (by a semi-join on the line, person,
+applicant or report) before anything is aggregated.
 """
 
 from __future__ import annotations
@@ -16,7 +20,9 @@ from pyspark.sql import functions as F
 
 from ..codes import ZONE_PST_FIXED, AccountCodes
 from ..functions import days_between, first_code, flag, local_date, ratio
-from ..operators.joins import left_join
+from ..operators.heavy import spread_join
+from ..operators.joins import keep_keys, left_join
+from ..operators.unique import one_per_key
 
 MONEY = "decimal(28,2)"
 MONEY4 = "decimal(28,4)"
@@ -30,8 +36,8 @@ def pcl_lines(accounts: DataFrame, codes: AccountCodes = AccountCodes()) -> Data
 
 
 # --------------------------------------------------------------------- Q8
-def feature_deposit(people: DataFrame, deposit_apps: DataFrame,
-                    codes: AccountCodes = AccountCodes()) -> DataFrame:
+def feature_deposit(people: DataFrame, deposit_apps: DataFrame, codes: AccountCodes = AccountCodes(),
+                    only: DataFrame | None = None) -> DataFrame:
     """Q8: the person's opened deposit accounts, per opened PCL line.
 
     ``people`` is :func:`acctrail.plans.history.resolve_people`.
@@ -42,13 +48,16 @@ def feature_deposit(people: DataFrame, deposit_apps: DataFrame,
     lines = (people.filter((F.col("status") == F.lit(codes.opened))
                            & (F.col("program") == F.lit(codes.pcl_program)))
                    .select(F.col("id").alias("line_id"), "person"))
+    lines = keep_keys(lines, "line_id", only)
     dap = deposit_apps.select(F.col("account_id").alias("id"), "account_type")
-    deposits = (people.filter((F.col("status") == F.lit(codes.opened))
-                              & (F.col("product_type") == F.lit(codes.deposit_product))
-                              & F.col("person").isNotNull())
-                      .join(dap, "id", "left")
-                      .select("person", F.col("id").alias("account_id"),
-                              F.col("created_at").alias("open_date"), "account_type", "program_code"))
+    deposits = people.filter((F.col("status") == F.lit(codes.opened))
+                             & (F.col("product_type") == F.lit(codes.deposit_product))
+                             & F.col("person").isNotNull())
+    if only is not None:
+        deposits = keep_keys(deposits, "person", lines.select("person"))
+    deposits = (deposits.join(dap, "id", "left")
+                        .select("person", F.col("id").alias("account_id"),
+                                F.col("created_at").alias("open_date"), "account_type", "program_code"))
     has = F.col("account_id").isNotNull()
     premier = F.col("program_code").isin(*codes.premier_savings_codes)
     per_person = deposits.groupBy("person").agg(
@@ -59,8 +68,8 @@ def feature_deposit(people: DataFrame, deposit_apps: DataFrame,
         F.max(flag(has & F.col("account_type").isin(*codes.savings_types))).alias("savings_flag"),
         F.min("open_date").alias("first_deposit_open_date"),
         F.max("open_date").alias("last_deposit_open_date"))
-    # lines without a person (NULL key) are spread, not piled up in one task
-    j = left_join(lines, per_person.withColumnRenamed("person", "_pp"), "person", "_pp", salt="line_id")
+    # lines without a person and lines of one person with many are dealt out over the tasks
+    j = spread_join(lines, per_person, ["person"])
     return j.select(
         "line_id",
         F.coalesce("cnt_deposit_products", F.lit(0).cast("long")).alias("cnt_deposit_products"),
@@ -71,7 +80,7 @@ def feature_deposit(people: DataFrame, deposit_apps: DataFrame,
 
 # --------------------------------------------------------------------- Q9
 def feature_transfers(lines: DataFrame, draw_requests: DataFrame, draws: DataFrame,
-                      codes: AccountCodes = AccountCodes()) -> DataFrame:
+                      codes: AccountCodes = AccountCodes(), only: DataFrame | None = None) -> DataFrame:
     """Q9: count and amount of onboarded balance-transfer draws per line.
 
     The request's external id matches the draw id as text (J5). Draws are
@@ -79,6 +88,7 @@ def feature_transfers(lines: DataFrame, draw_requests: DataFrame, draws: DataFra
     """
     bt = (draw_requests.filter(F.col("draw_source").isin(codes.balance_transfer))
                        .select("line_id", "external_id", "draw_amount"))
+    bt = keep_keys(bt, "line_id", only)
     dr = (draws.filter(F.col("draw_status") == F.lit(codes.draw_onboarded))
                .select(F.col("id").cast("string").alias("external_id")))
     per_line = bt.join(dr, "external_id").groupBy("line_id").agg(
@@ -88,7 +98,7 @@ def feature_transfers(lines: DataFrame, draw_requests: DataFrame, draws: DataFra
 
 
 # -------------------------------------------------------------------- Q10
-def feature_snapshot(positions: DataFrame, as_of: str) -> DataFrame:
+def feature_snapshot(positions: DataFrame, as_of: str, only: DataFrame | None = None) -> DataFrame:
     """Q10: position snapshot two days before ``as_of``, per line.
 
     Worst days past due, totals, any-blacklist, averages (NULL when the
@@ -97,7 +107,7 @@ def feature_snapshot(positions: DataFrame, as_of: str) -> DataFrame:
     """
     day = F.date_sub(F.lit(as_of).cast("date"), 2)
     p = positions.filter((F.col("processing_date") == day) & F.col("term_in_months").isNotNull())
-    return p.groupBy("line_id").agg(
+    return keep_keys(p, "line_id", only).groupBy("line_id").agg(
         F.max("days_past_due").alias("days_past_due"),
         F.sum("line_amount").cast(MONEY).alias("sublinetotal"),
         F.max(flag(F.col("is_blacklisted") == F.lit("true"))).alias("blacklist"),
@@ -110,13 +120,14 @@ def feature_snapshot(positions: DataFrame, as_of: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- Q11
-def _line_applicants(accounts: DataFrame, chain: DataFrame, codes: AccountCodes) -> DataFrame:
-    c = chain.select(F.col("app_id").alias("line_id"), "applicant_id")
-    return pcl_lines(accounts, codes).join(c, "line_id", "left")
+def _line_applicants(accounts: DataFrame, chain: DataFrame, codes: AccountCodes,
+                     only: DataFrame | None = None) -> DataFrame:
+    c = keep_keys(chain.select(F.col("app_id").alias("line_id"), "applicant_id"), "line_id", only)
+    return keep_keys(pcl_lines(accounts, codes), "line_id", only).join(c, "line_id", "left")
 
 
 def feature_prior_accounts(accounts: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
-                           codes: AccountCodes = AccountCodes()) -> DataFrame:
+                           codes: AccountCodes = AccountCodes(), only: DataFrame | None = None) -> DataFrame:
     """Q11: the applicant's prior accounts, per opened PCL line.
 
     ``accounts`` needs only id, status and program (the accounts table, or
@@ -133,18 +144,24 @@ def feature_prior_accounts(accounts: DataFrame, chain: DataFrame, prior_accounts
     opened = serv == F.lit(codes.servicing_open)
     issued = status.isin(*codes.prior_issued_statuses)
     paid = serv == F.lit(codes.servicing_paidoff)
-    per_app = prior_accounts.filter(F.col("applicant_id").isNotNull()).groupBy("applicant_id").agg(
+    lines = _line_applicants(accounts, chain, codes, only)
+    # accounts of other programs change no column: left out at the scan
+    prior = prior_accounts.filter(F.col("applicant_id").isNotNull() & (pcl | pl))
+    if only is not None:
+        prior = keep_keys(prior, "applicant_id", lines.select("applicant_id"))
+    # the maximum over a string would sort all rows for the numeric sums: it is taken apart, over its own rows
+    rewards = (prior.filter(pcl & F.col("reward_codes").isNotNull()).groupBy("applicant_id")
+               .agg(F.max(first_code("reward_codes")).alias("priorpcl_reward_program_code")))
+    per_app = prior.groupBy("applicant_id").agg(
         F.sum(flag(pcl & opened & status.isin(*codes.prior_open_statuses))).alias("open_prior_pcl"),
         F.sum(flag(pl & opened & issued)).alias("open_prior_pl"),
         F.sum(F.when(pl & opened, F.col("principal_balance")).otherwise(F.lit(0))).alias("pl_pbal"),
         F.max(flag(pl & paid)).alias("paidoff"),
         F.max(flag((pl & issued & (serv != F.lit(codes.servicing_chargeoff))) | (pl & paid)))
          .alias("existingpl"),
-        F.max(F.when(pcl & serv.isNotNull(), F.col("contract_date"))).alias("priorpcl_contractdate"),
-        F.max(F.when(pcl & F.col("reward_codes").isNotNull(), first_code("reward_codes")))
-         .alias("priorpcl_reward_program_code"))
-    j = left_join(_line_applicants(accounts, chain, codes), per_app.withColumnRenamed("applicant_id", "_ap"),
-                  "applicant_id", "_ap", salt="line_id")
+        F.max(F.when(pcl & serv.isNotNull(), F.col("contract_date"))).alias("priorpcl_contractdate"))
+    per_app = per_app.join(rewards, "applicant_id", "left")
+    j = left_join(lines, per_app.withColumnRenamed("applicant_id", "_ap"), "applicant_id", "_ap", salt="line_id")
     return j.groupBy("line_id").agg(
         F.coalesce(F.sum("open_prior_pcl"), F.lit(0).cast("long")).alias("open_prior_pcl"),
         F.coalesce(F.sum("open_prior_pl"), F.lit(0).cast("long")).alias("open_prior_pl"),
@@ -179,19 +196,23 @@ def last_bills_good_count(prior_payments: DataFrame, k: int = LAST_BILLS,
 
 
 def feature_payment_history(accounts: DataFrame, chain: DataFrame, prior_accounts: DataFrame,
-                            prior_payments: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
+                            prior_payments: DataFrame, codes: AccountCodes = AccountCodes(),
+                            only: DataFrame | None = None) -> DataFrame:
     """Q12: per opened PCL line, the fewest good payments among the last 3 bills
     of any open prior personal loan of the applicant (lines without one are absent)."""
-    good3 = last_bills_good_count(prior_payments)
+    lines = _line_applicants(accounts, chain, codes, only)
     open_pl = (prior_accounts.filter(F.col("program").isin(*codes.pl_programs)
                                      & (F.col("servicing_status") == F.lit(codes.servicing_open)))
                              .select(F.col("id").alias("prior_account_id"), "applicant_id", "prior_lir_id"))
+    if only is not None:
+        open_pl = keep_keys(open_pl, "applicant_id", lines.select("applicant_id"))
+    # only the bills of those accounts are grouped and ranked
+    good3 = last_bills_good_count(keep_keys(prior_payments, "prior_account_id", open_pl.select("prior_account_id")))
     per_prior = (open_pl.join(good3, "prior_account_id", "left")
                         .groupBy("applicant_id", "prior_lir_id")
                         .agg(F.sum(F.coalesce(F.col("good3pmt_count"), F.lit(0).cast("long")))
                              .alias("good3pmt_count")))
     per_app = per_prior.groupBy("applicant_id").agg(F.min("good3pmt_count").alias("good3pmt_count"))
-    lines = _line_applicants(accounts, chain, codes)
     return (lines.join(per_app, "applicant_id", "inner")
                  .groupBy("line_id").agg(F.min("good3pmt_count").alias("good3pmt_count")))
 
@@ -238,15 +259,18 @@ TRADE_COLUMNS = [
 ]
 
 
-def feature_trade_lines(lines: DataFrame, chain: DataFrame, trade_lines: DataFrame) -> DataFrame:
+def feature_trade_lines(lines: DataFrame, chain: DataFrame, trade_lines: DataFrame,
+                        only: DataFrame | None = None) -> DataFrame:
     """Q13: trade-line measures per (credit decision, line).
 
     Trade lines are summed per credit report first; the line -> application ->
     offer -> decision chain then picks the report (inner joins throughout).
     """
-    keyed = (lines.select("line_id")
-                  .join(chain, F.col("line_id") == F.col("app_id"), "inner")
+    keyed = (keep_keys(lines.select("line_id"), "line_id", only)
+                  .join(keep_keys(chain, "app_id", only), F.col("line_id") == F.col("app_id"), "inner")
                   .select("decision_id", "line_id", "report_id"))
+    if only is not None:
+        trade_lines = keep_keys(trade_lines, "report_id", keyed.select("report_id"))
     # cluster by line_id before grouping by (decision_id, line_id): the rows are
     # already one per report, and the mart then joins on line_id without a reshuffle
     j = keyed.join(trade_line_sums(trade_lines), "report_id", "inner").repartition("line_id")
@@ -260,15 +284,17 @@ FIRST_PAYMENT_GRACE_DAYS = 5
 
 
 def feature_autopay(lines: DataFrame, autopay: DataFrame, positions: DataFrame, *,
-                    codes: AccountCodes = AccountCodes(), zone: str = ZONE_PST_FIXED) -> DataFrame:
+                    codes: AccountCodes = AccountCodes(), zone: str = ZONE_PST_FIXED,
+                    only: DataFrame | None = None) -> DataFrame:
     """Q14: autopay enrolment and cancellation timing per line.
 
     Dates are taken in ``zone``. ``ap_enrl_cancel_first_payment`` compares with
     the stored first-payment due date (the input column of that name, D11),
-    and is 0 when there is no autopay status.
+    and is 0 when there is no autopay status. ``autopay`` must have one row per line, or the run fails and names it.
     """
+    lines, autopay, positions = (keep_keys(t, "line_id", only) for t in (lines, autopay, positions))
     sub = positions.groupBy("line_id").agg(F.min("expected_first_payment").alias("first_due_raw"))
-    ap = autopay.select("line_id", "status", "authorized", "cancelled")
+    ap = one_per_key(autopay.select("line_id", "status", "authorized", "cancelled"), "line_id", "autopay")
     a = lines.join(ap, "line_id", "left").join(sub, "line_id", "left")
     auth = local_date("authorized", zone)
     canc = local_date("cancelled", zone)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..codes import ZONE_LOS_ANGELES
 from ..functions import (cashflow_band, days_between, days_between_band, flag, income_band,
                          local_date, score_band_coarse, score_band_fine, usage_mix)
+from ..operators.joins import keep_keys
+from ..operators.unique import one_per_key
 
 CYCLE_COLUMNS = ["mob", "contract_at", "income", "fcf_stated", "fcf_verified", "draw_cnt", "card_cnt",
                  "prior_reward_code", "enroll_reward_code", "funnel_reward_code"]
@@ -17,18 +19,25 @@ MART_MOB = 1
 def front_end_mart(front_end: DataFrame, cycles: DataFrame, scores: DataFrame, *,
                    deposit: DataFrame, transfers: DataFrame, snapshot: DataFrame,
                    prior_accounts: DataFrame, trade_lines: DataFrame, autopay: DataFrame,
-                   mob: int = MART_MOB) -> DataFrame:
-    """Q15: one row per driving line (more only where a feature table repeats a line).
+                   mob: int = MART_MOB, only: DataFrame | None = None) -> DataFrame:
+    """Q15: one row per driving line.
+
+    Cycles and scores must have one row per line, or the run fails and names the table and the line; the feature
+    tables are grouped by line already (autopay is checked where its feature is built).
+
+    ``only`` (a one-column frame of line ids) restricts the driving table, cycles and scores before they are joined.
 
     All lookups are left joins on ``line_id``; the feature tables are grouped
     by ``line_id`` already, so their hash partitioning is reused by the joins.
     The key is the driving table's, so lines without a cycle row keep it (D16).
     """
-    cyc = (cycles.filter(F.col("mob") == F.lit(mob))
+    front_end, cycles = (keep_keys(t, "line_id", only) for t in (front_end, cycles))
+    scores = keep_keys(scores, "loan_id", only)
+    cyc = (one_per_key(cycles.filter(F.col("mob") == F.lit(mob)).select("line_id", *CYCLE_COLUMNS), "line_id", "cycles")
                  .select(F.col("line_id").alias("cyc_line_id"), *CYCLE_COLUMNS)
                  .withColumnRenamed("contract_at", "cyc_contract_at"))
     mob_df = front_end.select("line_id", F.col("score").alias("vr1_score"), "contract_at")
-    sc = scores.select(F.col("loan_id").alias("score_loan_id"), F.col("score").alias("vr1_pcl_score"))
+    sc = one_per_key(scores.select("loan_id", "score"), "loan_id", "scores").select(F.col("loan_id").alias("score_loan_id"), F.col("score").alias("vr1_pcl_score"))
     dp = snapshot.select("line_id", F.col("blacklist").alias("blacklist_dpl"))
     pa = prior_accounts.select("line_id", "priorpcl_contractdate")
     tu = trade_lines.drop("decision_id")

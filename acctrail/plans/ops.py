@@ -16,7 +16,7 @@ from ..functions import (cashflow_band, classify, days_between, days_between_ban
 from ..operators.firsts import latest_k
 from ..operators.joins import left_anti_join, left_join
 from ..operators.ordered import horizon_counts_merge
-from ..session import fresh_dir
+from ..session import fresh_dir, written
 from ..sources import files
 from ..sources.roles import Roles
 from .catalog import AS_OF, _hist, _pipe, register
@@ -47,24 +47,23 @@ def q_csv_roundtrip(spark, sf_dir):
     return back.withColumnRenamed("Date", "created")
 
 
-def _load_file(spark, sf_dir, foreign_product: str | None):
+def _load_file(counts, foreign_product: str | None):
     """Write the history counts as CSV text lines; dates are ISO except, when
     ``foreign_product`` is given, that product's rows carry a US-style date."""
-    counts = _pipe(spark, sf_dir, materialize=True).counts()
     date_txt = F.date_format("created", "yyyy-MM-dd")
     if foreign_product is not None:
         date_txt = F.when(F.col("product_type") == F.lit(foreign_product),
                           F.date_format("created", "MM/dd/yyyy")).otherwise(date_txt)
     text = counts.select(*[date_txt.alias("created") if c == "created" else F.col(c).cast("string")
                            for c in counts.columns])
-    return files.write_history_csv(text, fresh_dir(spark, "history_load"))
+    return files.write_history_csv(text, fresh_dir(counts.sparkSession, "history_load"))
 
 
 @register("csv_typed_load")
 def q_csv_typed_load(spark, sf_dir):
     """S3, P5: typed load of the 29-column history file (header skipped, text
     dates parsed to DATE)."""
-    path = _load_file(spark, sf_dir, None)
+    path = _load_file(_pipe(spark, sf_dir, materialize=True).counts(), None)
     good, _ = files.split_rejects(files.load_typed_csv(spark, path))
     return good
 
@@ -73,11 +72,22 @@ def q_csv_typed_load(spark, sf_dir):
 def q_csv_load_rejects(spark, sf_dir):
     """The rejected lines of a load whose dated unknown-product rows carry
     a date the declared format cannot parse; an empty date is a NULL, no reject."""
-    path = _load_file(spark, sf_dir, "OTHER")
+    path = _load_file(_pipe(spark, sf_dir, materialize=True).counts(), "OTHER")
     _, bad = files.split_rejects(files.load_typed_csv(spark, path))
     return bad
 
 
+@register("csv_reject_log")
+def q_csv_reject_log(spark, sf_dir):
+    """The log of two loads of the history, newest first; in the first the unknown product's dates
+    cannot be parsed, in the second those of the mortgage rows."""
+    counts = written(_pipe(spark, sf_dir, materialize=True).counts(), "counts")
+    log = fresh_dir(spark, "reject_log")
+    for load_id, product in (("load1", "OTHER"), ("load2", P.hm)):
+        files.log_rejects(spark, _load_file(counts, product), log, load_id)
+    return files.reject_log(spark, log).select("load_id", "raw_line", "reason")
+
+
 @register("union_all_outputs")
 def q_union_all_outputs(spark, sf_dir):
     """Counts written as two partial outputs (before the as-of date / from
@@ -95,9 +105,9 @@ def q_ctas_roundtrip(spark, sf_dir):
     append) and read the table back."""
     mart = _pipe(spark, sf_dir, materialize=True).final()
     path = fresh_dir(spark, "ctas")
-    files.materialize(mart, path)
-    files.materialize(mart, path)
-    return spark.read.parquet(path)
+    files.publish(mart, path)
+    files.publish(mart, path)
+    return files.current(spark, path)
 
 
 # -------------------------------------------------------- projections / filters
@@ -347,8 +357,11 @@ def q_sort_recent(spark, sf_dir):
 
 @register("limit_preview")
 def q_limit_preview(spark, sf_dir):
-    """O3: a preview of the first rows under a total order (top-n, not a sort of all rows)."""
-    return _pipe(spark, sf_dir, materialize=True).counts().orderBy("id").limit(10)
+    """O3: a preview of the first rows of the loaded PCL table under a total order (top-n, not a sort of
+    all rows): the PCL counts are written as the load file, loaded, and previewed."""
+    path = files.write_history_csv(_pipe(spark, sf_dir, materialize=True).firstpcl(), fresh_dir(spark, "preview"))
+    good, _ = files.split_rejects(files.load_typed_csv(spark, path))
+    return good.orderBy("id").limit(10)
 
 
 # ------------------------------------------------------------------- functions

@@ -86,43 +86,49 @@ class Pipeline:
                                            codes=self.codes)
 
     def repeats(self) -> DataFrame:
-        return purchases.repeat_purchase(self.previous(), products=self.products)
+        return purchases.repeat_purchase(self.people(), self.channels(), products=self.products, codes=self.codes)
 
     # ------------------------------------------------------------ features
-    def deposit(self) -> DataFrame:
-        return features.feature_deposit(self.people(), self.r.deposit_apps, self.codes)
+    # ``only`` (a one-column frame of line ids) reduces a feature's inputs to those lines
+    def deposit(self, only: DataFrame | None = None) -> DataFrame:
+        return features.feature_deposit(self.people(), self.r.deposit_apps, self.codes, only)
 
-    def transfers(self) -> DataFrame:
+    def transfers(self, only: DataFrame | None = None) -> DataFrame:
         r = self.r
-        return features.feature_transfers(r.lines, r.draw_requests, r.draws, self.codes)
+        return features.feature_transfers(r.lines, r.draw_requests, r.draws, self.codes, only)
 
-    def snapshot(self) -> DataFrame:
-        return features.feature_snapshot(self.r.positions, self.as_of)
+    def snapshot(self, only: DataFrame | None = None) -> DataFrame:
+        return features.feature_snapshot(self.r.positions, self.as_of, only)
 
-    def prior_accounts(self) -> DataFrame:
+    def prior_accounts(self, only: DataFrame | None = None) -> DataFrame:
         # only account columns are needed: no person resolution
-        return features.feature_prior_accounts(self.r.accounts, self.chain(), self.r.prior_accounts, self.codes)
+        return features.feature_prior_accounts(self.r.accounts, self.chain(), self.r.prior_accounts, self.codes, only)
 
-    def payment_history(self) -> DataFrame:
+    def payment_history(self, only: DataFrame | None = None) -> DataFrame:
         r = self.r
         return features.feature_payment_history(r.accounts, self.chain(), r.prior_accounts,
-                                                r.prior_payments, self.codes)
+                                                r.prior_payments, self.codes, only)
 
-    def trade_lines(self) -> DataFrame:
+    def trade_lines(self, only: DataFrame | None = None) -> DataFrame:
         r = self.r
-        return features.feature_trade_lines(r.lines, self.chain(), r.trade_lines)
+        return features.feature_trade_lines(r.lines, self.chain(), r.trade_lines, only)
 
-    def autopay(self) -> DataFrame:
+    def autopay(self, only: DataFrame | None = None) -> DataFrame:
         r = self.r
-        return features.feature_autopay(r.lines, r.autopay, r.positions, codes=self.codes)
+        return features.feature_autopay(r.lines, r.autopay, r.positions, codes=self.codes, only=only)
 
     # --------------------------------------------------------------- marts
-    def front_end(self) -> DataFrame:
+    def front_end(self, only: DataFrame | None = None) -> DataFrame:
         r = self.r
-        return mart.front_end_mart(r.front_end, r.cycles, r.scores, deposit=self.deposit(),
-                                   transfers=self.transfers(), snapshot=self.snapshot(),
-                                   prior_accounts=self.prior_accounts(), trade_lines=self.trade_lines(),
-                                   autopay=self.autopay())
+        return mart.front_end_mart(r.front_end, r.cycles, r.scores, deposit=self.deposit(only),
+                                   transfers=self.transfers(only), snapshot=self.snapshot(only),
+                                   prior_accounts=self.prior_accounts(only), trade_lines=self.trade_lines(only),
+                                   autopay=self.autopay(only), only=only)
 
     def final(self, limit: int | None = None) -> DataFrame:
-        return mart.final_mart(self.repeats(), self.front_end(), limit=limit)
+        """Q16. With ``materialize`` the repeat purchases are written first, and the front end is
+        built for their ids only: every input is reduced to them before it is joined or aggregated."""
+        if not self.materialize:
+            return mart.final_mart(self.repeats(), self.front_end(), limit=limit)
+        repeats = self._shared("repeats", self.repeats)
+        return mart.final_mart(repeats, self.front_end(repeats.select("id")), limit=limit)

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..codes import AccountCodes, Products, count_col, count_cols
-from ..functions import classify, days_between, flag
+from ..functions import days_between, flag
+from ..operators.nearest import nearest_previous
 from ..operators.ordered import previous_rows
 
 N_PREVIOUS = 5
@@ -29,6 +30,15 @@ def project_flags(channelled: DataFrame) -> DataFrame:
     )
 
 
+def account_rows(people: DataFrame, channelled: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
+    """The opened and issued accounts with their person, and contract month and channel where ``channelled`` has them."""
+    a = (people.filter(F.col("status").isin(codes.opened, codes.issued))
+               .select("person", "id", "created_at", "product_type"))
+    prod = channelled.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
+    return (a.join(prod, "id", "left")
+             .select("person", "id", "created_at", "contract_month", "product_type", "channel"))
+
+
 def previous_products(people: DataFrame, channelled: DataFrame, *, products: Products = Products(),
                       codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
     """Q6: for each opened/issued account, the person's previous ``n`` accounts.
@@ -42,12 +52,7 @@ def previous_products(people: DataFrame, channelled: DataFrame, *, products: Pro
     boundaries crossed), channel_prev_prod{i}, and ``pcl_flag`` (any of the
     previous ``n`` is the PCL product).
     """
-    a = (people.filter(F.col("status").isin(codes.opened, codes.issued))
-               .select("person", "id", "created_at", "product_type"))
-    prod = channelled.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
-    rows = (a.join(prod, "id", "left")
-             .select("person", "id", "created_at", "contract_month", "product_type", "channel"))
-    prev = previous_rows(rows, key="person", ts="created_at", tie="id",
+    prev = previous_rows(account_rows(people, channelled, codes), key="person", ts="created_at", tie="id",
                          cols=["product_type", "created_at", "channel"], n=n, prefix="_p")
     out = []
     for i in range(1, n + 1):
@@ -64,18 +69,20 @@ def previous_products(people: DataFrame, channelled: DataFrame, *, products: Pro
                        *out, flag(any_pcl).alias("pcl_flag"))
 
 
-def repeat_purchase(prev: DataFrame, *, products: Products = Products(), n: int = N_PREVIOUS) -> DataFrame:
+def repeat_purchase(people: DataFrame, channelled: DataFrame, *, products: Products = Products(),
+                    codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
     """Q7: PCL accounts with a PCL among the previous ``n``, and the nearest one.
 
-    ``previous_product`` is 'prod{i} - <code>' for the nearest slot i;
-    ``days_diff_twopcl`` and ``prev_channel`` are that slot's gap and channel.
+    Inputs and order as in :func:`previous_products`. ``previous_product`` is 'prod{i} - <code>' where the nearest
+    is ``i`` accounts back; ``days_diff_twopcl`` and ``prev_channel`` are its gap and channel.
     """
-    is_pcl = [(F.col(f"prev_prod{i}") == F.lit(products.pcl), i) for i in range(1, n + 1)]
-    return (prev.filter((F.col("product_type") == F.lit(products.pcl)) & (F.col("pcl_flag") == 1))
-                .select("person", "id", "created_at", "product_type", "channel",
-                        classify([(p, f"prod{i} - {products.pcl}") for p, i in is_pcl])
-                        .alias("previous_product"),
-                        classify([(p, F.col(f"channel_prev_prod{i}")) for p, i in is_pcl])
-                        .alias("prev_channel"),
-                        classify([(p, F.col(f"days_prod{i}")) for p, i in is_pcl])
-                        .alias("days_diff_twopcl")))
+    rows = account_rows(people, channelled, codes).drop("contract_month")
+    is_pcl = F.col("product_type") == F.lit(products.pcl)
+    found = nearest_previous(rows, key="person", order=["created_at", "id"], pred=is_pcl,
+                             cols=["created_at", "channel"], max_back=n)
+    near = F.col("nearest")
+    return (found.filter(is_pcl & near.isNotNull())
+            .select("person", "id", "created_at", "product_type", "channel",
+                    F.concat(F.lit("prod"), near["back"].cast("string"), F.lit(f" - {products.pcl}")).alias("previous_product"),
+                    near["channel"].alias("prev_channel"),
+                    days_between("created_at", near["created_at"]).alias("days_diff_twopcl")))

@@ -6,9 +6,11 @@ Spark jobs (one file per task), never a single-process file.
 
 from __future__ import annotations
 
+import os
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,13 +101,104 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def log_rejects(spark: SparkSession, paths, log: str, load_id: str, schema: T.StructType = HISTORY_SCHEMA, *,
+                header: bool = True) -> None:
+    """Add the rejected lines of one load (see :func:`reject_report`) to the folder ``log``.
+
+    A load's rejects are one sub-folder, so loading again under the same ``load_id`` replaces them.
+    """
+    reject_report(spark, paths, schema, header=header).write.mode("overwrite").parquet(f"{log}/load_id={load_id}")
+
+
+def reject_log(spark: SparkSession, log: str) -> DataFrame:
+    """The rejects of all loads: load_id, file_time, file, raw_line, reason; newest first."""
+    return (spark.read.schema("file_time timestamp, file string, raw_line string, reason string, load_id string").parquet(log)
+            .select("load_id", "file_time", "file", "raw_line", "reason")
+            .orderBy(F.col("file_time").desc(), F.col("load_id").desc(), "file", "raw_line"))
+
+
+def write_sorted(df: DataFrame, by: Sequence[Column | str], path: str, ranges: int | None = None) -> str:
+    """O1/O2: ``df`` as Parquet in the order of ``by``: files numbered in the order, rows in order inside each.
+
+    One range shuffle into ``ranges`` (by default as many as the size asks for); no task sorts more than its range.
+    """
+    df.repartitionByRange(*([ranges] if ranges else []), *by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    return path
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path object) of a folder on whatever storage holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _fresh() -> str:
+    """Names that ascend with time and never meet."""
+    return f"{time.time_ns():020d}-{os.urandom(4).hex()}"
+
+
+def publish(df: DataFrame, target: str) -> str:
+    """The new content of ``target``, for readers by :func:`current`; at no time is there none.
+
+    The rows go to a fresh sub-folder, which counts from the moment its job has committed. A job that dies leaves
+    the version before it in place. The last two versions are kept, so that running readers end.
+    """
+    spark = df.sparkSession
+    path = f"{target}/{_fresh()}"
+    df.write.parquet(path)
+    fs, _ = _folder(spark, target)
+    for old in versions(spark, target)[:-2]:
+        fs.delete(_folder(spark, old)[1], True)
+    return path
+
+
+def versions(spark: SparkSession, target: str) -> list[str]:
+    """The complete versions of a published folder, oldest first."""
+    fs, at = _folder(spark, target)
+    if not fs.exists(at):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory())
+    return [f"{target}/{n}" for n in names if fs.exists(_folder(spark, f"{target}/{n}/_SUCCESS")[1])]
+
+
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The last complete version of what :func:`publish` wrote to ``target``."""
+    if not (found := versions(spark, target)):
+        raise FileNotFoundError(f"nothing has been published to {target}")
+    return spark.read.parquet(found[-1])
+
+
 def materialize(df: DataFrame, target: str) -> str:
-    """Create-table-as-select as an idempotent replace.
+    """Create-table-as-select as an idempotent replace; a job that dies leaves the old table as it was.
 
-    ``target`` is a folder when it holds a ``/``, else the name of a catalog table.
+    ``target`` is a folder when it holds a ``/``, else the name of a catalog table. A folder is written beside
+    itself and swapped in by two renames (readers that must find a table at every moment use :func:`publish`). A
+    table gets a fresh folder, to which the catalog then points; only a changed schema drops and creates it anew.
     """
+    spark = df.sparkSession
     if "/" in target:
-        df.write.mode("overwrite").parquet(target)
-    else:
-        df.write.mode("overwrite").format("parquet").saveAsTable(target)
+        staged, old = f"{target}.staged-{_fresh()}", f"{target}.replaced-{_fresh()}"
+        df.write.parquet(staged)
+        fs, at = _folder(spark, target)
+        there = fs.exists(at)
+        if there and not fs.rename(at, _folder(spark, old)[1]):
+            raise OSError(f"cannot replace {target}")
+        if not fs.rename(_folder(spark, staged)[1], at):
+            if there:
+                fs.rename(_folder(spark, old)[1], at)
+            raise OSError(f"cannot replace {target}")
+        if there:
+            fs.delete(_folder(spark, old)[1], True)
+        return target
+    database, _, table = target.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{home}/{table}-{_fresh()}"
+    df.write.parquet(path)
+    if spark.catalog.tableExists(target):
+        if [(f.name, f.dataType) for f in spark.table(target).schema] == [(f.name, f.dataType) for f in df.schema]:
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(target)
+            return target
+        spark.sql(f"DROP TABLE {target}")
+    spark.catalog.createTable(target, path=path, source="parquet")
     return target
