@@ -8,31 +8,33 @@ the temperature that calibrates the probabilities.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, hash_sample, text_of
 
 BUCKETS = 1 << 15
+PIECE = 1 << 18
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]").search
+_LETTER = regex.compile(r"\p{L}").search
 _MULTIPLY = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
 
-def _grams(data: bytes) -> np.ndarray:
-    """Hash buckets of all 1- to 3-grams of the code points (UTF-32 bytes)."""
+def _grams(data: bytes, own: int) -> np.ndarray:
+    """Hash buckets of all 1- to 3-grams of the code points (UTF-32 bytes) that start among the first ``own``."""
     c = np.frombuffer(data, np.uint32)
     parts, h = [], np.zeros(len(c), np.uint32)
     for n, m in enumerate(_MULTIPLY):
         if len(c) <= n:
             break
         h = h[: len(c) - n] + (c[n:] + np.uint32(n + 1)) * m
-        x = h ^ (h >> np.uint32(15))
+        x = h[:own]
+        x = x ^ (x >> np.uint32(15))
         x = x * np.uint32(0x2C1B3C6D)
         parts.append((x ^ (x >> np.uint32(13))) >> np.uint32(17))
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
@@ -42,9 +44,9 @@ def _counts(text: str):
     """(bucket, count) of a lower-cased text, in pieces so that a long text needs little memory."""
     total = np.zeros(BUCKETS, np.int64)
     low = text.lower()
-    for a in range(0, len(low), 1 << 18):
-        piece = low[a:a + (1 << 18) + 2].encode("utf-32-le", "surrogatepass")
-        total += np.bincount(_grams(piece), minlength=BUCKETS)
+    for a in range(0, len(low), PIECE):
+        piece = low[a:a + PIECE + 2].encode("utf-32-le", "surrogatepass")
+        total += np.bincount(_grams(piece, PIECE), minlength=BUCKETS)
     ids = np.flatnonzero(total)
     return ids, total[ids]
 

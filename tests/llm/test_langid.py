@@ -54,3 +54,14 @@ def test_l1_leaves_noise_at_zero():
 def test_temperature_flattens_overconfidence():
     logits = np.array([[8.0, 0.0]] * 100)
     assert fit_temperature(logits, np.array([0] * 70 + [1] * 30)) > 3
+
+
+def test_letters_are_letters_and_ngrams_count_once(trained, spark):
+    from acctrail.llm import langid
+    _, model = trained
+    rows = [(1, "²"), (2, "½ 12"), (3, "Ⅷ ①"), (4, "12 ñ")]
+    got = {r["doc_id"]: r["lang_pred"] for r in identify_language(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [got[i] for i in (1, 2, 3)] == ["und"] * 3 and got[4] != "und"
+    for n in (5, langid.PIECE - 1, langid.PIECE, langid.PIECE + 1, langid.PIECE + 2, 2 * langid.PIECE + 7):
+        _, counts = langid._counts("a" * n)
+        assert counts.sum() == n + (n - 1) + (n - 2)
