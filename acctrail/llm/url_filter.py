@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import hash_sample, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -85,7 +85,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], sample_rows
 
     verdict is the rule's, else "block" when the trees' block probability is at
     least ``block_at``, else "allow". The trees learn from the ``sample_rows``
-    URLs with the smallest hash among those that a rule decides. If these
+    distinct URLs with the smallest hash among those that a rule decides. If these
     show fewer than two verdicts, there is nothing to learn and the score is 0
     ("allow"). A null URL or one without "://" has an empty host and path and is
     judged on those. Null page_ids and repeated rows stay; other columns are
@@ -100,8 +100,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], sample_rows
         urls = urls.join(stored(_rates(labelled, column, prefix), f"url-{prefix}"), column, "left")
     urls = urls.fillna({"suffix_rate": 0.5, "suffix_log_n": 0.0, "file_rate": 0.5, "file_log_n": 0.0})
     urls = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(urls)
-    sample = stored(urls.where("label is not null").orderBy(F.xxhash64("url"), "url").limit(sample_rows)
-                    .select("features", "label"), "url-sample")
+    sample = hash_sample(urls.where("label is not null").select("url", "features", "label"), "url", sample_rows,
+                         "url-sample").select("features", "label")
     if sample.select("label").distinct().count() < 2:
         scored = urls.withColumn("block_score", F.lit(0.0))
     else:

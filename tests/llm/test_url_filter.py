@@ -55,3 +55,10 @@ def test_no_labels_and_empty(spark):
 def test_parts_alone(spark):
     df = spark.createDataFrame([(u,) for u in URLS], "url string")
     assert [(r.host, r.path) for r in with_parts(df).collect()] == [parts(u) for u in URLS]
+
+
+def test_one_repeated_url_does_not_fill_the_sample(spark):
+    data = [(i, "http://a.net/es/x", None, None, None) for i in range(300)]
+    data += [(1000 + i, f"http://h{i}.{'net/es/' if i % 2 else 'com/'}p{i}", None, None, None) for i in range(400)]
+    got = filter_urls(spark.createDataFrame(data, SCHEMA), URL_RULES, sample_rows=200).collect()
+    assert len(got) == 700 and sum((g.block_score >= 0.5) == (g.verdict == "block") for g in got) > 650
