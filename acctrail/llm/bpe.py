@@ -17,6 +17,7 @@ the same merge rule instead, which costs L log L.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 from functools import lru_cache
@@ -28,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SQL_WORD_BYTES = 256
-SQL_ROWS = 150_000
-CACHED_PIECES = 400_000
+SQL_ROWS = 400_000
+#: the caches are emptied beyond this many bytes; longer pieces and words are not kept from one call to the next
+CACHE_BYTES = 192 << 20
+CACHED_LENGTH = 200
 
 _ENCODE = """
 WITH RECURSIVE state(round, w, pos, tok, next_tok, next_pos) AS (
@@ -55,7 +58,7 @@ WITH RECURSIVE state(round, w, pos, tok, next_tok, next_pos) AS (
 SELECT s.w, s.pos, s.tok FROM state s JOIN ended USING (w, round) ORDER BY s.w, s.pos
 """
 _DECODE = """
-SELECT w, string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN vocabulary v USING (tok) GROUP BY w ORDER BY w
+SELECT w, string_agg(v.text, '' ORDER BY i.pos) AS text FROM ids i JOIN vocabulary v USING (tok) GROUP BY w ORDER BY w
 """
 
 
@@ -79,14 +82,16 @@ class Tokenizer:
                     merged.append(rank)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "256MB"})
         for name, columns in (("merges", {"pair": pairs, "merged": pa.array(merged, pa.int32())}),
+                              # one character a byte, U+0000 to U+00FF
                               ("vocabulary", {"tok": pa.array(list(self.ranks.values()), pa.int32()),
-                                              "hex": [t.hex() for t in self.ranks]})):
+                                              "text": [t.decode("latin-1") for t in self.ranks]})):
             self.db.register("given", pa.table(columns))
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        #: word -> ids, piece after a space -> ids
-        self.ids: dict[str, bytes] = {}
+        #: piece after a space -> ids with that space; other words -> ids; bytes held by both
         self.spaced: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {}
+        self.held = 0
         self.odd_space = regex.compile(r" (?!\S)|[^\S ] |^ ").search
         self.cut = regex.compile(r"(?<=\S) (?=\S)").finditer
 
@@ -117,7 +122,7 @@ class Tokenizer:
             offer(before[i])
         return [self.ranks[p] for p in part if p is not None]
 
-    def _ids_sql(self, words: list[bytes]) -> list[np.ndarray]:
+    def _ids_sql(self, words: list[bytes]) -> list[bytes]:
         size = np.array([len(w) for w in words])
         data = np.frombuffer(b"".join(words), np.uint8)
         start = np.cumsum(size) - size
@@ -128,30 +133,31 @@ class Tokenizer:
         self.db.register("tokens", pa.table({"w": w, "pos": pos, "tok": tok, "next_tok": follow, "next_pos": pos + 1}))
         out = self.db.execute(_ENCODE).fetchnumpy()
         self.db.unregister("tokens")
-        cut = np.searchsorted(out["w"], np.arange(1, len(words)))
-        return np.split(np.asarray(out["tok"]).astype("<u4"), cut)
+        cut = (4 * np.searchsorted(out["w"], np.arange(len(words) + 1))).tolist()
+        ids = np.asarray(out["tok"]).astype("<u4").tobytes()
+        return [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words that are not cached yet."""
-        short, rows, short_words = [], 0, []
+    def words_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as little-endian 32-bit integers."""
+        data = [w.encode("utf-8", "surrogatepass") for w in words]
+        out, batch, rows = [b""] * len(words), [], 0
 
         def flush():
-            for name, ids in zip(short_words, self._ids_sql(short), strict=True):
-                self.ids[name] = ids.tobytes()
-
-        for name in words:
-            data = name.encode("utf-8", "surrogatepass")
-            if len(data) > SQL_WORD_BYTES:
-                self.ids[name] = np.array(self._long_word(data), "<u4").tobytes()
-                continue
-            short.append(data)
-            short_words.append(name)
-            rows += len(data)
-            if rows >= SQL_ROWS:
-                flush()
-                short, rows, short_words = [], 0, []
-        if short:
+            for i, ids in zip(batch, self._ids_sql([data[i] for i in batch]), strict=True):
+                out[i] = ids
+
+        for i, word in enumerate(data):
+            if len(word) > SQL_WORD_BYTES:
+                out[i] = np.array(self._long_word(word), "<u4").tobytes()
+            elif word:
+                batch.append(i)
+                rows += len(word)
+                if rows >= SQL_ROWS:
+                    flush()
+                    batch, rows = [], 0
+        if batch:
             flush()
+        return out
 
     def _pieces(self, text: str) -> list[str]:
         """The text cut before spaces that stand between non-space characters; later pieces lose that space."""
@@ -160,24 +166,50 @@ class Tokenizer:
         cuts = [m.start() for m in self.cut(text)]
         return [text[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(text)], strict=True)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        if len(self.spaced) > CACHED_PIECES:
+    def _forget(self) -> None:
+        """Keeps the caches within their bound: what is long goes after each call, all of it when they are full."""
+        if self.held > CACHE_BYTES:
             self.spaced.clear()
-        if len(self.ids) > CACHED_PIECES:
             self.ids.clear()
+            self.held = 0
+
+    def _keep(self, cache: dict[str, bytes], names: list[str], ids: list[bytes], long: list) -> None:
+        cache.update(zip(names, ids, strict=True))
+        size = 0
+        for n, x in zip(names, ids, strict=True):
+            if len(n) > CACHED_LENGTH:
+                long.append((cache, n))
+            else:
+                size += len(n) + len(x)
+        self.held += size + 250 * len(names)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        self._forget()
         cut = [self._pieces(t) for t in texts]
         heads = [self.split(pieces[0]) for pieces in cut]
-        found = [list(map(self.spaced.get, pieces[1:])) for pieces in cut]
-        fresh = {p for pieces, ids in zip(cut, found, strict=True) if None in ids
-                 for p, x in zip(pieces[1:], ids, strict=True) if x is None}
-        split = {p: self.split(" " + p) for p in fresh}
-        self.learn(sorted(set().union(*split.values(), *heads) - self.ids.keys()))
-        ids, spaced = self.ids.__getitem__, self.spaced.__getitem__
-        for piece, words in split.items():
-            self.spaced[piece] = b"".join(map(ids, words))
-        return [b"".join([*map(ids, head), *(map(spaced, pieces[1:]) if None in known else known)])
-                for head, pieces, known in zip(heads, cut, found, strict=True)]
+        spaced, ids, long = self.spaced, self.ids, []
+        fresh = set()
+        for pieces in cut:
+            fresh.update(pieces[1:])
+        fresh = sorted(fresh - spaced.keys())
+        # an ASCII word is one match of the pattern together with its space
+        split = {p: self.split(" " + p) for p in fresh if not (p.isascii() and p.isalpha())}
+        rests = {w for words in split.values() for w in words[1:]}.union(*heads) - ids.keys()
+        firsts = {words[0][1:] for words in split.values() if words[0][0] == " "}
+        single = sorted(((set(fresh) - split.keys()) | firsts) - spaced.keys())
+        rests = sorted(rests.union(*([words[0]] for words in split.values() if words[0][0] != " ")) - ids.keys())
+        found = self.words_ids([" " + w for w in single] + rests)
+        self._keep(spaced, single, found[:len(single)], long)
+        self._keep(ids, rests, found[len(single):], long)
+        joined = [(p, b"".join([spaced[words[0][1:]] if words[0][0] == " " else ids[words[0]], *map(ids.__getitem__, words[1:])]))
+                  for p, words in split.items() if len(words) > 1 or words[0] != " " + p]
+        self._keep(spaced, [p for p, _ in joined], [x for _, x in joined], long)
+        out = [b"".join([*map(ids.__getitem__, head), *map(spaced.__getitem__, pieces[1:])])
+               for head, pieces in zip(heads, cut, strict=True)]
+        for cache, name in long:
+            cache.pop(name, None)
+        return out
 
     def decode(self, runs: list[bytes]) -> list[bytes]:
         """The bytes that each run of ids stands for: position rows, ordered aggregation."""
@@ -189,7 +221,7 @@ class Tokenizer:
             w = np.repeat(np.arange(at, upto, dtype=np.int32), [len(r) // 4 for r in runs[at:upto]])
             self.db.register("ids", pa.table({"w": w, "pos": np.arange(len(tok)), "tok": tok}))
             for i, text in self.db.execute(_DECODE).fetchall():
-                out[i] = bytes.fromhex(text)
+                out[i] = text.encode("latin-1")
             self.db.unregister("ids")
             at = upto
         return out
@@ -197,7 +229,11 @@ class Tokenizer:
 
 @lru_cache(maxsize=2)
 def _tokenizer(rank_file: str, pattern: str) -> Tokenizer:
-    return Tokenizer(rank_file, pattern)
+    tokenizer = Tokenizer(rank_file, pattern)
+    # lists of words by the hundred thousand and no cycles: fewer passes of the collector, none over the tables
+    gc.freeze()
+    gc.set_threshold(200_000, 50, 50)
+    return tokenizer
 
 
 def _pieces(texts: list[str], limit: int = 2 << 20):

@@ -61,3 +61,23 @@ def test_other_columns_stay(spark):
 
 def test_empty(spark):
     assert token_digests(spark.createDataFrame([], "doc_id long, text string"), *rank_file()).collect() == []
+
+
+def test_caches_stay_within_their_bound(tok, library, monkeypatch):
+    from acctrail.llm import bpe
+    rnd = random.Random(5)
+    own = Tokenizer(*rank_file())
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 200_000)
+    for _ in range(6):
+        texts = [" ".join("".join(rnd.choices("abcdeé,.", k=rnd.choice([3, 9, 400]))) for _ in range(300))]
+        texts += ["字" * 3000 + " x " + "字" * 2999]
+        assert own.encode(texts) == [library(t) for t in texts]
+        assert all(len(n) <= bpe.CACHED_LENGTH for cache in (own.spaced, own.ids) for n in cache)
+        assert own.held < 200_000 + 300 * len(texts[0])
+        own._forget()
+    assert own.held <= 200_000
+
+
+def test_bytes_of_all_values_come_back(tok):
+    ids = np.array([tok.ranks[bytes([b])] for b in range(256)], "<u4").tobytes()
+    assert tok.decode([ids, b"", ids]) == [bytes(range(256)), b"", bytes(range(256))]
