@@ -34,7 +34,7 @@ from .common import stored
 PIECE = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BITS = 48
+_BITS = 40
 _DIGITS = _BITS // 4
 
 

@@ -53,8 +53,8 @@ def plain_fingerprint(text, level=3, size=64):
     if not text:
         return "0" * 16 + ":"
     rounds = plain_names(text)
-    found = {x >> 16 for r in rounds[level - 1:] for x in r} | {rounds[-1][0] >> 16}
-    return f"{rounds[-1][0]:016x}:" + "".join(f"{x:012x}" for x in sorted(found)[:size])
+    found = {x >> 24 for r in rounds[level - 1:] for x in r} | {rounds[-1][0] >> 24}
+    return f"{rounds[-1][0]:016x}:" + "".join(f"{x:010x}" for x in sorted(found)[:size])
 
 
 def some_texts(n=60, seed=1):
@@ -110,7 +110,7 @@ def test_likeness_is_exact_for_small_sets_and_close_for_large():
     words = ["".join(rnd.choices("abcdefghijklmno", k=rnd.randint(2, 9))) for _ in range(900)]
 
     def full(t):
-        return {x >> 16 for r in plain_names(t)[2:] for x in r}
+        return {x >> 24 for r in plain_names(t)[2:] for x in r}
 
     short, long = " ".join(words[:40]), " ".join(words)
     for text in (short, long):
@@ -167,7 +167,7 @@ def test_pieces_keep_all_rows():
 def test_very_long_text():
     text = "".join(random.Random(7).choices("abcdefg hij", k=2_000_000))
     one, two = fingerprints([text, text[:-5]])
-    assert len(one) == 17 + 64 * 12 and likeness(one, two) > 0.9
+    assert len(one) == 17 + 64 * 10 and likeness(one, two) > 0.9
 
 
 def test_given_documents(spark):
