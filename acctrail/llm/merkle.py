@@ -259,7 +259,8 @@ def merkle_manifest(docs: DataFrame, key: str = "doc_id", group: str = "source",
         F.col(group).isNotNull().alias("has"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("grp"),
         F.col(key).alias("key"), leaf_digest(*(F.col(c) for c in columns)).alias("digest"),
         leaf_digest(*(presented.get(c, F.col(c)) for c in columns)).alias("claimed"))
-    trees = _Forest(rows, ["key", "digest"], fanout, block_levels, "merkle")
+    # written before it is dealt out, as finding the ranges would digest every row a second time
+    trees = _Forest(stored(rows, "merkle-leaves"), ["key", "digest"], fanout, block_levels, "merkle")
     subroots = stored(trees.tops, "merkle-subroots")
     crown = _Forest(subroots.select(F.lit(True).alias("has"), F.lit("").alias("grp"), F.col("has").alias("of_has"),
                                     F.col("grp").alias("of_grp"), "digest"),
