@@ -10,6 +10,9 @@ from ..functions import classify, local_date, null_or_ne, year_month
 from ..operators.firsts import first_per_key
 from ..operators.joins import left_join
 
+#: what the classification reads of an account besides its id and day
+ACCOUNT_COLUMNS = ["status", "program", "fico_score", "lap_id", "initiator"]
+
 
 def first_touch(touches: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
     """Each asset's earliest touch of the tracked event (asset_id, updated_at, event_id, utm_source)."""
@@ -67,7 +70,7 @@ def channel_label(rules: ChannelRules = ChannelRules(), codes: AccountCodes = Ac
     return classify(branches, rules.default_label)
 
 
-def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, chain: DataFrame,
+def channel_classify(base: DataFrame, people: DataFrame | None, app_attrs: DataFrame, chain: DataFrame,
                      enrolments: DataFrame, touches: DataFrame, loans: DataFrame, *,
                      rules: ChannelRules = ChannelRules(),
                      codes: AccountCodes = AccountCodes()) -> DataFrame:
@@ -75,13 +78,18 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
     the account's ``fico_score``, ``contract_month`` and ``pcl_channel``.
 
     ``people`` is :func:`acctrail.plans.history.resolve_people` and ``chain``
-    is :func:`decision_chain`. Join shape: every lookup is a left join keyed
+    is :func:`decision_chain`. Without ``people``, ``base`` carries ``ACCOUNT_COLUMNS`` of its
+    accounts itself: nothing is looked up, and of these only ``fico_score`` comes out. Join shape: every lookup is a left join keyed
     by the account id, so the driving rows are shuffled once on ``id`` and
     each lookup side once; the offer -> decision -> prior-loan chain is
     resolved on the application side before it meets the accounts.
     """
-    lir = people.select("id", F.col("status").alias("lir_status"), F.col("program").alias("lir_program"),
-                        "fico_score", "lap_id", "initiator")
+    kept = [c for c in base.columns if people is not None or c not in ACCOUNT_COLUMNS]
+    renamed = {"status": "lir_status", "program": "lir_program"}
+    if people is None:
+        j = base.withColumnsRenamed(renamed)
+    else:
+        j = base.join(people.select("id", *ACCOUNT_COLUMNS).withColumnsRenamed(renamed), "id", "left")
     issued = (loans.filter(F.col("loan_status").isin(*codes.issued_loan_statuses))
                    .select(F.col("loan_id").alias("issued_prior_loan_id")).distinct())
     app = (app_attrs.select("app_id", "is_direct_mail", "utm_source", "good_source", "api_referrer",
@@ -94,7 +102,6 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
                                   F.col("status").alias("enrol_status")).distinct())
     ras = first_touch(touches, codes).select(F.col("asset_id"), F.col("utm_source").alias("touch_source"))
 
-    j = base.join(lir, "id", "left")
     # The account-side predicate stays in the ON clause (row kept, match suppressed)
     j = j.join(app, (F.col("id") == F.col("app_id")) & (F.col("lir_status") == F.lit(codes.opened))
                & (F.col("lir_program") == F.lit(codes.pcl_program)), "left")
@@ -102,6 +109,6 @@ def channel_classify(base: DataFrame, people: DataFrame, app_attrs: DataFrame, c
     # the application id equals the account id whenever it exists, so the touch
     # lookup stays keyed (and co-partitioned) on id; no application, no touch
     j = j.join(ras, (F.col("id") == F.col("asset_id")) & F.col("lap_id").isNotNull(), "left")
-    return j.select(*base.columns, "fico_score",
+    return j.select(*kept, "fico_score",
                     year_month(local_date("created", ZONE_LOS_ANGELES)).alias("contract_month"),
                     channel_label(rules, codes).alias("pcl_channel"))

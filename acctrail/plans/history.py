@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +35,13 @@ def resolve_people(accounts: DataFrame, applications: DataFrame, borrowers: Data
 
 
 def account_history(people: DataFrame, *, codes: AccountCodes = AccountCodes(),
-                    zone: str = ZONE_PST_FIXED) -> DataFrame:
+                    zone: str = ZONE_PST_FIXED, carry: Sequence[str] = ()) -> DataFrame:
     """Q1: opened/issued accounts with their person and local creation date.
 
-    Output: person, id, created (DATE in ``zone``), product_type.
+    Output: person, id, created (DATE in ``zone``), product_type, and the columns of ``people`` named in ``carry``.
     """
     return (people.filter(F.col("status").isin(codes.opened, codes.issued))
-                  .select("person", "id", local_date("created_at", zone).alias("created"), "product_type"))
+                  .select("person", "id", local_date("created_at", zone).alias("created"), "product_type", *carry))
 
 
 def history_from_roles(r: Roles, codes: AccountCodes = AccountCodes()) -> DataFrame:

@@ -13,7 +13,10 @@ re-read rather than a re-join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..codes import AccountCodes, ChannelRules, Products
 from ..session import written
@@ -51,42 +54,44 @@ class Pipeline:
         return self._shared("chain", lambda: channels.decision_chain(r.app_attrs, r.offers, r.decisions))
 
     # ------------------------------------------------------------- history
-    def history(self) -> DataFrame:
-        return history.account_history(self.people(), codes=self.codes)
+    def history(self, carry: Sequence[str] = ()) -> DataFrame:
+        return history.account_history(self.people(), codes=self.codes, carry=carry)
 
-    def counts(self) -> DataFrame:
-        return history.product_history(self.history(), as_of=self.as_of, products=self.products)
+    def counts(self, carry: Sequence[str] = ()) -> DataFrame:
+        return history.product_history(self.history(carry), as_of=self.as_of, products=self.products)
 
     def firstpcl(self) -> DataFrame:
         return history.keep_product(self.counts(), self.products.pcl)
 
     def _classify(self, base: DataFrame) -> DataFrame:
         r = self.r
-        return channels.channel_classify(base, self.people(), r.app_attrs, self.chain(), r.enrolments,
+        return channels.channel_classify(base, None, r.app_attrs, self.chain(), r.enrolments,
                                          r.touches, r.loans, rules=self.rules, codes=self.codes)
 
     def channelled(self) -> DataFrame:
-        return self._classify(self.firstpcl())
+        counts = self.counts(channels.ACCOUNT_COLUMNS)
+        return self._classify(history.keep_product(counts, self.products.pcl))
 
     def flags(self) -> DataFrame:
         return purchases.project_flags(self.channelled())
 
     def channels(self) -> DataFrame:
-        """Channel and contract month of each PCL account, without the counts.
+        """The opened and issued accounts; contract month and channel for those of the PCL product.
 
-        The count stage keeps the history rows one to one, so classifying the
-        PCL history rows directly gives the same (id, contract_month,
-        pcl_channel) as the flags stage, without computing 25 counts that
-        the previous-products stage never reads.
+        The rows carry what the classification and the previous-products stage read, so they are
+        shuffled once on ``id`` and never joined back to ``people``. The 25 counts, which these
+        stages do not read, are not computed.
         """
-        return self._classify(history.keep_product(self.history(), self.products.pcl))
+        pcl = F.col("product_type") == F.lit(self.products.pcl)
+        return self._classify(self.history(["created_at", *channels.ACCOUNT_COLUMNS])).select(
+            "person", "id", "created_at", "product_type", F.when(pcl, F.col("contract_month")).alias("contract_month"),
+            F.when(pcl, F.col("pcl_channel")).alias("channel"))
 
     def previous(self) -> DataFrame:
-        return purchases.previous_products(self.people(), self.channels(), products=self.products,
-                                           codes=self.codes)
+        return purchases.previous_products(self.channels(), products=self.products, codes=self.codes)
 
     def repeats(self) -> DataFrame:
-        return purchases.repeat_purchase(self.people(), self.channels(), products=self.products, codes=self.codes)
+        return purchases.repeat_purchase(self.channels(), products=self.products, codes=self.codes)
 
     # ------------------------------------------------------------ features
     # ``only`` (a one-column frame of line ids) reduces a feature's inputs to those lines

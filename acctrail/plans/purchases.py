@@ -30,8 +30,13 @@ def project_flags(channelled: DataFrame) -> DataFrame:
     )
 
 
-def account_rows(people: DataFrame, channelled: DataFrame, codes: AccountCodes = AccountCodes()) -> DataFrame:
-    """The opened and issued accounts with their person, and contract month and channel where ``channelled`` has them."""
+def account_rows(people: DataFrame, channelled: DataFrame | None, codes: AccountCodes = AccountCodes()) -> DataFrame:
+    """The opened and issued accounts with their person, and contract month and channel where ``channelled`` has them.
+
+    Without ``channelled``, ``people`` holds these accounts only, with ``contract_month`` and ``channel``.
+    """
+    if channelled is None:
+        return people.select("person", "id", "created_at", "contract_month", "product_type", "channel")
     a = (people.filter(F.col("status").isin(codes.opened, codes.issued))
                .select("person", "id", "created_at", "product_type"))
     prod = channelled.select("id", "contract_month", F.col("pcl_channel").alias("channel"))
@@ -39,7 +44,7 @@ def account_rows(people: DataFrame, channelled: DataFrame, codes: AccountCodes =
              .select("person", "id", "created_at", "contract_month", "product_type", "channel"))
 
 
-def previous_products(people: DataFrame, channelled: DataFrame, *, products: Products = Products(),
+def previous_products(people: DataFrame, channelled: DataFrame | None = None, *, products: Products = Products(),
                       codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
     """Q6: for each opened/issued account, the person's previous ``n`` accounts.
 
@@ -48,7 +53,7 @@ def previous_products(people: DataFrame, channelled: DataFrame, *, products: Pro
     without a person form one group, as SQL windows do. ``channel`` and
     ``contract_month`` come from ``channelled`` (rows keyed by ``id`` with
     ``contract_month`` and ``pcl_channel``; present only for the accounts it
-    covers). Adds prev_prod{i}, prev_prod{i}_date, days_prod{i} (date
+    covers), or from ``people`` itself (see :func:`account_rows`). Adds prev_prod{i}, prev_prod{i}_date, days_prod{i} (date
     boundaries crossed), channel_prev_prod{i}, and ``pcl_flag`` (any of the
     previous ``n`` is the PCL product).
     """
@@ -69,7 +74,7 @@ def previous_products(people: DataFrame, channelled: DataFrame, *, products: Pro
                        *out, flag(any_pcl).alias("pcl_flag"))
 
 
-def repeat_purchase(people: DataFrame, channelled: DataFrame, *, products: Products = Products(),
+def repeat_purchase(people: DataFrame, channelled: DataFrame | None = None, *, products: Products = Products(),
                     codes: AccountCodes = AccountCodes(), n: int = N_PREVIOUS) -> DataFrame:
     """Q7: PCL accounts with a PCL among the previous ``n``, and the nearest one.
 

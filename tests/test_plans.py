@@ -136,3 +136,20 @@ def test_final_mart_reduces_every_input_to_the_repeat_ids(spark):
             first_agg = max((i for i, x in enumerate(above) if "Aggregate" in x), default=-1)
             reduced += any("LeftSemi" in x for x in above[first_agg + 1:]) or any("LeftSemi" in x for x in above)
     assert scans and reduced == scans, text
+
+
+def test_accounts_are_not_joined_back_to_themselves(spark):
+    """One scan of the written accounts feeds the classification, and both forms of it agree."""
+    from acctrail.plans.channels import ACCOUNT_COLUMNS, channel_classify
+    from acctrail.plans.pipeline import Pipeline
+    from acctrail.sources.roles import Roles
+    p = Pipeline(Roles(spark, SF), as_of="2000-01-01", materialize=True)
+    carried = p._classify(p.history(ACCOUNT_COLUMNS))
+    for df in (carried, p.channels()):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("Relation [" in line and "lap_id#" in line for line in text.splitlines()) == 1, text
+    r = p.r
+    looked_up = channel_classify(p.history(), p.people(), r.app_attrs, p.chain(), r.enrolments, r.touches, r.loans,
+                                 rules=p.rules, codes=p.codes)
+    assert carried.columns == looked_up.columns
+    assert sorted(map(str, carried.collect())) == sorted(map(str, looked_up.collect()))
