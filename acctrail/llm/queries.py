@@ -165,6 +165,70 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root,
 """
 
 
+#: words are runs of anything but space and 0x09-0x0D; joined by one space they stay apart
+_WORDS_SQL = r"""
+given AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+    SELECT rid, doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM given
+)"""
+
+#: Shingle sets, links between distinct sets (a link needs a common shingle among the rarest tenth and one
+#: more of the smaller set, so candidates meet there; overlaps are then counted whole), reachability.
+JACCARD_SQL = "WITH RECURSIVE" + _WORDS_SQL.format(
+    text=f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')") + """, grams AS (
+    SELECT DISTINCT rid, gram FROM (
+        SELECT rid, n, pos, string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS gram
+        FROM words) WHERE pos <= n - 2 OR pos = 1
+), sets AS (
+    SELECT rid, md5(string_agg(gram, chr(10) ORDER BY gram)) AS cls, count(*) AS size FROM grams GROUP BY rid
+), classes AS (
+    SELECT cls, any_value(size) AS size, min(rid) AS rid FROM sets GROUP BY cls
+), members AS (
+    SELECT c.cls, c.size, gram, count(*) OVER (PARTITION BY gram) AS df FROM classes c JOIN grams USING (rid)
+), rare AS (
+    SELECT cls, size, gram FROM members
+    QUALIFY row_number() OVER (PARTITION BY cls ORDER BY df, gram) <= size - (90 * size + 99) // 100 + 1
+), candidates AS (
+    SELECT DISTINCT a.cls AS a, b.cls AS b, a.size AS na, b.size AS nb FROM rare a JOIN rare b USING (gram)
+    WHERE a.cls < b.cls AND 100 * least(a.size, b.size) >= 90 * greatest(a.size, b.size)
+), links AS (
+    SELECT a, b FROM candidates JOIN members x ON x.cls = a JOIN members y ON y.cls = b AND y.gram = x.gram
+    GROUP BY a, b, na, nb HAVING 100 * count(*) >= 90 * (na + nb - count(*))
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(cls, other) AS (
+    SELECT cls, cls FROM classes
+    UNION
+    SELECT cls, b FROM reach JOIN both_ways ON a = other
+), ids AS (
+    SELECT cls, min(doc_id) AS least_id FROM sets JOIN given USING (rid) GROUP BY cls
+), named AS (
+    SELECT r.cls, min(least_id) AS component_id FROM reach r JOIN ids ON ids.cls = other GROUP BY r.cls
+)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, CASE WHEN size IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM given LEFT JOIN sets USING (rid) LEFT JOIN named USING (cls)
+"""
+
+#: For tables whose texts under one doc_id are equal (the operator orders others by a checksum).
+SUBSTRING_SQL = "WITH" + _WORDS_SQL.format(text="coalesce(text, '')") + """, windows AS (
+    SELECT *, string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win
+    FROM words
+), judged AS (
+    SELECT rid, pos, word, pos <= n - 19 AND rank() OVER (PARTITION BY win, pos <= n - 19 ORDER BY doc_id NULLS LAST, pos) > 1 AS again
+    FROM windows
+), covered AS (
+    SELECT rid, pos, word, bool_or(again) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM judged
+), kept AS (
+    SELECT rid, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept_text
+    FROM covered GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM given LEFT JOIN kept USING (rid)
+"""
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_report(table(spark, sf_dir, "documents"), *aligned_files())
 
@@ -178,4 +242,5 @@ def registry() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": license_oracle(), "op12_merkle_manifest": MERKLE_SQL}
+    return {"op4_license_scan": license_oracle(), "op6_ngram_jaccard": JACCARD_SQL,
+            "op10_substring_dedup": SUBSTRING_SQL, "op12_merkle_manifest": MERKLE_SQL}

@@ -88,3 +88,17 @@ def test_large_group_in_blocks(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_sql_equals_brute_force():
+    import duckdb
+    import pandas as pd
+
+    from acctrail.llm.queries import oracle_sql
+    t = " ".join(f"x{i}" for i in range(40))
+    edges = [(3001, None), (3002, ""), (3003, " \n "), (3004, "one"), (3005, "One"), (3006, "one two"), (3007, t), (3007, t),
+             (3008, t + " y"), (None, t + " z"), (None, "alone with null id"), (None, None), (3009, "é É x"), (3010, "é é x")]
+    for rows in (near_rows(5, 220, [2, 3, 11, 12, 13, 30, 60, 150, 600]) + edges, []):
+        documents = pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64", "text": "string"})  # noqa: F841
+        got = duckdb.sql(oracle_sql()["op6_ngram_jaccard"]).fetchall()
+        assert sorted(got, key=key) == sorted(brute(rows, 3, Fraction(90, 100)), key=key)

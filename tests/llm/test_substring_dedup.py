@@ -90,3 +90,21 @@ def test_spans_of_one_id_are_bounded_by_a_text(spark, monkeypatch):
 
     monkeypatch.setattr(substring_dedup, "_cut", sizes)
     assert max(r.n_words for r in dedup_substrings(df).collect()) <= 25
+
+
+def test_sql_equals_brute_force():
+    import hashlib
+
+    import duckdb
+
+    from acctrail.llm.queries import oracle_sql
+    rnd = random.Random(4)
+    vocab = [f"w{i}" for i in range(300)]
+    passages = [" ".join(rnd.choices(vocab, k=n)) for n in (19, 20, 21, 40, 90)]
+    rows = [(d * 7 % 151, "\t".join(rnd.choice(passages) if rnd.random() < 0.5 else " ".join(rnd.choices(vocab, k=rnd.randint(1, 60)))
+                                    for _ in range(rnd.randint(0, 5)))) for d in range(150)]
+    rows += [(900, None), (901, ""), (902, " \n "), (903, "a " * 70), (904, passages[3]), (904, passages[3]), (None, passages[4])]
+    for some in (rows, []):
+        documents = pd.DataFrame(some, columns=["doc_id", "text"]).astype({"doc_id": "Int64", "text": "string"})  # noqa: F841
+        want = [(d, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute(some)]
+        assert sorted(duckdb.sql(oracle_sql()["op10_substring_dedup"]).fetchall(), key=key) == sorted(want, key=key)
