@@ -138,6 +138,14 @@ def q_feature_snapshot(spark, sf_dir):
     return _pipe(spark, sf_dir).snapshot()
 
 
+@register("feature_snapshot_by_day")
+def q_feature_snapshot_by_day(spark, sf_dir):
+    """Q10 over positions in one folder per day: only the snapshot day's folder is read."""
+    from ..sources.layout import by_day
+    from .features import feature_snapshot
+    return feature_snapshot(by_day(Roles(spark, sf_dir).positions, "processing_date"), AS_OF)
+
+
 @register("feature_prior_accounts")
 def q_feature_prior_accounts(spark, sf_dir):
     """Q11: applicant's prior accounts per PCL line."""
@@ -168,6 +176,13 @@ def q_mart_front_end(spark, sf_dir):
     return _pipe(spark, sf_dir, materialize=True).front_end()
 
 
+@register("mart_front_end_bucketed")
+def q_mart_front_end_bucketed(spark, sf_dir):
+    """Q15 over tables bucketed by line: nine joins without a shuffle."""
+    from .pipeline import Pipeline
+    return Pipeline(Roles(spark, sf_dir), as_of=AS_OF, materialize=True, buckets=8).front_end()
+
+
 @register("mart_repeat_purchase")
 def q_mart_repeat_purchase(spark, sf_dir):
     """Q16: repeat purchases left-joined to the front-end mart."""

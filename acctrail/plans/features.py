@@ -98,15 +98,20 @@ def feature_transfers(lines: DataFrame, draw_requests: DataFrame, draws: DataFra
 
 
 # -------------------------------------------------------------------- Q10
-def feature_snapshot(positions: DataFrame, as_of: str, only: DataFrame | None = None) -> DataFrame:
+def feature_snapshot(positions: DataFrame, as_of: str, only: DataFrame | None = None,
+                     days: DataFrame | None = None) -> DataFrame:
     """Q10: position snapshot two days before ``as_of``, per line.
 
     Worst days past due, totals, any-blacklist, averages (NULL when the
     denominator is 0), latest charge-off date; sublines without a term are
-    left out.
+    left out. ``days`` (a one-column frame of days, each counted once) takes the place of that day. With positions written by
+    :func:`acctrail.sources.layout.by_day`, only the folders of the days asked for are read.
     """
-    day = F.date_sub(F.lit(as_of).cast("date"), 2)
-    p = positions.filter((F.col("processing_date") == day) & F.col("term_in_months").isNotNull())
+    if days is None:
+        p = positions.filter(F.col("processing_date") == F.date_sub(F.lit(as_of).cast("date"), 2))
+    else:
+        p = keep_keys(positions, "processing_date", days)
+    p = p.filter(F.col("term_in_months").isNotNull())
     return keep_keys(p, "line_id", only).groupBy("line_id").agg(
         F.max("days_past_due").alias("days_past_due"),
         F.sum("line_amount").cast(MONEY).alias("sublinetotal"),

@@ -14,6 +14,7 @@ from ..operators.unique import one_per_key
 CYCLE_COLUMNS = ["mob", "contract_at", "income", "fcf_stated", "fcf_verified", "draw_cnt", "card_cnt",
                  "prior_reward_code", "enroll_reward_code", "funnel_reward_code"]
 MART_MOB = 1
+FEATURES = ["deposit", "transfers", "snapshot", "prior_accounts", "trade_lines", "autopay"]
 
 
 def front_end_mart(front_end: DataFrame, cycles: DataFrame, scores: DataFrame, *,

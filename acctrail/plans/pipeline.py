@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..codes import AccountCodes, ChannelRules, Products
 from ..session import written
+from ..sources.layout import bucketed
 from ..sources.roles import Roles
 from . import channels, features, history, mart, purchases
 
@@ -29,13 +30,14 @@ AS_OF = "2000-01-01"
 class Pipeline:
     def __init__(self, roles: Roles, *, as_of: str = AS_OF, products: Products = Products(),
                  codes: AccountCodes = AccountCodes(), rules: ChannelRules = ChannelRules(),
-                 materialize: bool = False):
+                 materialize: bool = False, buckets: int | None = None):
         self.r = roles
         self.as_of = as_of
         self.products = products
         self.codes = codes
         self.rules = rules
         self.materialize = materialize
+        self.buckets = buckets
         self._cache: dict[str, DataFrame] = {}
 
     def _shared(self, name: str, build) -> DataFrame:
@@ -124,11 +126,15 @@ class Pipeline:
 
     # --------------------------------------------------------------- marts
     def front_end(self, only: DataFrame | None = None) -> DataFrame:
+        """Q15. With ``buckets`` the driving table and every lookup are written in that many buckets of the line
+        first; the nine tables then meet without a shuffle, in this and in every later run over them."""
         r = self.r
-        return mart.front_end_mart(r.front_end, r.cycles, r.scores, deposit=self.deposit(only),
-                                   transfers=self.transfers(only), snapshot=self.snapshot(only),
-                                   prior_accounts=self.prior_accounts(only), trade_lines=self.trade_lines(only),
-                                   autopay=self.autopay(only), only=only)
+        tables = {"front_end": r.front_end, "cycles": r.cycles, "scores": r.scores}
+        tables |= {name: getattr(self, name)(only) for name in mart.FEATURES}
+        if self.buckets:
+            tables = {name: bucketed(df, "loan_id" if name == "scores" else "line_id", self.buckets, name)
+                      for name, df in tables.items()}
+        return mart.front_end_mart(**tables, only=only)
 
     def final(self, limit: int | None = None) -> DataFrame:
         """Q16. With ``materialize`` the repeat purchases are written first, and the front end is
