@@ -7,8 +7,9 @@
    any two points can be compared at the smaller G.
 3. The points are packed into R-tree leaves by a range shuffle over (size
    band, signs of eight coarse coordinates). A leaf is one row with its bounding
-   box. Leaf pairs survive when the summed coordinate minima of their boxes can
-   reach the overlap that the threshold asks for.
+   box; FAN neighbours get a parent box, and so on up to one root. Pairs of boxes
+   are followed down from the root, level by level, as long as the summed
+   coordinate minima of two boxes can reach the overlap that the threshold asks for.
 4. Inside a leaf pair the same bound (sum of coordinate minima) is applied to
    points, first on 8, then 64, then G coordinates. Survivors only matter as
    candidate groups, so a task emits a spanning set of links, not all pairs.
@@ -32,6 +33,7 @@ from .graph import components
 from .textarrays import Words, as_bytes, chunks, mix, signed, span_hash
 
 LEAF_ROWS, LEAF_BYTES = 2048, 4 << 20
+FAN = 16
 BLOCK_SHINGLES = 4_000_000
 _BASE = 0xC2B2AE3D27D4EB4F
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -92,39 +94,41 @@ def _folded(vecs: list[bytes], groups: int) -> np.ndarray:
     return out
 
 
-def _pack(batches):
+def _pack(most_rows: int, most_bytes: int):
     """Cut each partition's sorted points into leaves with bounding boxes."""
-    from pyspark import TaskContext
-    pid, at = TaskContext.get().partitionId() << 24, 0
-
-    def leaf(rows):
-        nonlocal at
-        box = _folded(rows["vec"].tolist(), 64)
-        at += 1
-        return {"leaf": pid + at, "n_lo": int(rows["n"].min()), "n_hi": int(rows["n"].max()),
-                "lo": box.min(0).tolist(), "hi": box.max(0).tolist(), "keys": b"".join(rows["cls"]),
-                "sizes": rows["n"].to_numpy(np.int64).tobytes(), "vecs": b"".join(rows["vec"])}
-
-    held = None
-    for pdf in batches:
-        pdf = pdf[["cls", "n", "vec"]]
+    def run(batches):
+        from pyspark import TaskContext
+        pid, at = TaskContext.get().partitionId() << 24, 0
+
+        def leaf(rows):
+            nonlocal at
+            box = _folded(rows["vec"].tolist(), 64)
+            at += 1
+            return {"leaf": pid + at, "n_lo": int(rows["n"].min()), "n_hi": int(rows["n"].max()),
+                    "lo": box.min(0).tolist(), "hi": box.max(0).tolist(), "keys": b"".join(rows["cls"]),
+                    "sizes": rows["n"].to_numpy(np.int64).tobytes(), "vecs": b"".join(rows["vec"])}
+
+        held = None
+        for pdf in batches:
+            pdf = pdf[["cls", "n", "vec"]]
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            held, out = None, []
+            weight = np.cumsum(pdf["vec"].map(len).to_numpy())
+            a = 0
+            while a < len(pdf):
+                limit = (weight[a - 1] if a else 0) + most_bytes
+                b = max(a + 1, min(a + most_rows, int(np.searchsorted(weight, limit, "right"))))
+                if b >= len(pdf):
+                    held = pdf.iloc[a:].reset_index(drop=True)
+                    break
+                out.append(leaf(pdf.iloc[a:b]))
+                a = b
+            if out:
+                yield pd.DataFrame(out)
         if held is not None:
-            pdf = pd.concat([held, pdf], ignore_index=True)
-        held, out = None, []
-        weight = np.cumsum(pdf["vec"].map(len).to_numpy())
-        a = 0
-        while a < len(pdf):
-            limit = (weight[a - 1] if a else 0) + LEAF_BYTES
-            b = max(a + 1, min(a + LEAF_ROWS, int(np.searchsorted(weight, limit, "right"))))
-            if b >= len(pdf):
-                held = pdf.iloc[a:].reset_index(drop=True)
-                break
-            out.append(leaf(pdf.iloc[a:b]))
-            a = b
-        if out:
-            yield pd.DataFrame(out)
-    if held is not None:
-        yield pd.DataFrame([leaf(held)])
+            yield pd.DataFrame([leaf(held)])
+    return run
 
 
 class _Points:
@@ -311,9 +315,9 @@ def _joined(docs: DataFrame, k: int, similarity: Fraction) -> DataFrame:
     points = points.mapInPandas(_with_sign, "cls binary, n long, vec binary, band long, sign int")
     order = ["band", "sign", "n", "cls"]
     leaves = stored(points.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .mapInPandas(_pack, "leaf long, n_lo long, n_hi long, lo array<int>, hi array<int>, "
+                    .mapInPandas(_pack(LEAF_ROWS, LEAF_BYTES), "leaf long, n_lo long, n_hi long, lo array<int>, hi array<int>, "
                                         "keys binary, sizes binary, vecs binary"), "leaves")
-    pairs = _leaf_pairs(leaves.select("leaf", "n_lo", "n_hi", "lo", "hi"), num, den)
+    pairs = _leaf_pairs(leaves, num, den)
 
     def side(s):
         return leaves.select(*(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "keys", "sizes", "vecs")))
@@ -358,30 +362,54 @@ def _with_sign(batches):
             yield pdf
 
 
-def _leaf_pairs(heads: DataFrame, num: int, den: int) -> DataFrame:
-    """(leaf_a, leaf_b), a <= b, whose boxes may hold a linked pair.
+def _tree(leaves: DataFrame) -> list[DataFrame]:
+    """Boxes by level: leaves first, then parents of FAN neighbours in the order of the range shuffle, up to one root.
 
-    Leaves meet in the size bands that both can reach; a pair is taken in
-    the first band they share.
+    A row is (node, n_lo, n_hi, lo, hi); a node's parent is node // FAN. The driver sees two numbers, the
+    most leaves of a partition and the last partition; a level is 1/FAN of the one below.
+    """
+    at, part = F.col("leaf").bitwiseAND((1 << 24) - 1), F.shiftright("leaf", 24)
+    most, last = leaves.agg(F.max(at), F.max(part)).first()
+    if most is None:
+        return []
+    room = FAN
+    while room <= most:
+        room *= FAN
+    level = leaves.select((part * room + at).alias("node"), "leaf", "n_lo", "n_hi", "lo", "hi")
+    levels, ends = [level], (last + 1) * room
+    none = F.array_repeat(F.lit(2**31 - 1), 64), F.array_repeat(F.lit(0), 64)
+    while ends > 1:
+        level = level.groupBy(F.floor(F.col("node") / FAN).alias("node")).agg(
+            F.min("n_lo").alias("n_lo"), F.max("n_hi").alias("n_hi"),
+            F.reduce(F.collect_list("lo"), none[0], lambda s, x: F.zip_with(s, x, lambda u, v: F.least(u, v))).alias("lo"),
+            F.reduce(F.collect_list("hi"), none[1], lambda s, x: F.zip_with(s, x, lambda u, v: F.greatest(u, v))).alias("hi"))
+        levels.append(stored(level, "boxes"))
+        level, ends = levels[-1], -(-ends // FAN)
+    return levels
+
+
+def _leaf_pairs(leaves: DataFrame, num: int, den: int) -> DataFrame:
+    """(leaf_a, leaf_b) whose boxes may hold a linked pair, each pair once, found by descent from the root.
+
+    A pair of boxes that may hold a link is followed to the pairs of their children; the others end there.
     """
-    width = float(np.log(den / num))
-
-    def band(c):
-        return F.floor(F.log(c.cast("double")) / width + 1e-9)
-
-    heads = heads.withColumn("from", band(F.col("n_lo"))).withColumn("to", band(F.col("n_hi")) + 1)
-    spread = heads.withColumn("band", F.explode(F.sequence("from", "to")))
-    a = spread.select(*(F.col(c).alias(c if c == "band" else f"{c}_a") for c in spread.columns))
-    b = spread.select(*(F.col(c).alias(c if c == "band" else f"{c}_b") for c in spread.columns))
     low_sum = F.col("n_lo_a") + F.col("n_lo_b")
     minima = F.aggregate(F.zip_with("hi_a", "hi_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     gap = F.aggregate(
         F.zip_with(F.zip_with("lo_a", "hi_b", lambda x, y: F.greatest(x - y, F.lit(0))),
                    F.zip_with("lo_b", "hi_a", lambda x, y: F.greatest(x - y, F.lit(0))),
                    lambda x, y: F.greatest(x, y)), F.lit(0), lambda s, x: s + x)
-    return (a.join(b, "band")
-            .where("leaf_a <= leaf_b and band = greatest(from_a, from_b)")
-            .where((F.col("n_lo_a") * num <= F.col("n_hi_b") * den) & (F.col("n_lo_b") * num <= F.col("n_hi_a") * den))
-            .where(minima * (den + num) >= low_sum * num)
-            .where(gap * (den + num) <= (F.col("n_hi_a") + F.col("n_hi_b")) * (den - num))
-            .select("leaf_a", "leaf_b"))
+    levels = _tree(leaves)
+    if not levels:
+        return leaves.select(F.col("leaf").alias("leaf_a"), F.col("leaf").alias("leaf_b"))
+    root = levels[-1]
+    pairs = root.select(F.col("node").alias("node_a"), F.col("node").alias("node_b"))
+    for level in reversed(levels[:-1]):
+        below = level.withColumn("parent", F.floor(F.col("node") / FAN))
+        a, b = (below.select(*(F.col(c).alias(f"{c}_{s}") for c in below.columns)) for s in "ab")
+        above = pairs.select(F.col("node_a").alias("parent_a"), F.col("node_b").alias("parent_b"))
+        pairs = (above.join(a, "parent_a").join(b, "parent_b").where("node_a <= node_b")
+                 .where((F.col("n_lo_a") * num <= F.col("n_hi_b") * den) & (F.col("n_lo_b") * num <= F.col("n_hi_a") * den))
+                 .where(minima * (den + num) >= low_sum * num)
+                 .where(gap * (den + num) <= (F.col("n_hi_a") + F.col("n_hi_b")) * (den - num)))
+    return pairs.select("leaf_a", "leaf_b")

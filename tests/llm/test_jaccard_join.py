@@ -102,3 +102,38 @@ def test_sql_equals_brute_force():
         documents = pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64", "text": "string"})  # noqa: F841
         got = duckdb.sql(oracle_sql()["op6_ngram_jaccard"]).fetchall()
         assert sorted(got, key=key) == sorted(brute(rows, 3, Fraction(90, 100)), key=key)
+
+
+def test_deep_tree_equals_brute_force(spark, monkeypatch):
+    """Small leaves and a small fan give a tree of many levels, whose descent loses no link."""
+    monkeypatch.setattr(jaccard_join, "LEAF_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "FAN", 2)
+    check(spark, near_rows(9, 150, [11, 12, 13, 30, 60, 150]), 3, Fraction(90, 100))
+
+
+def test_parent_boxes_hold_their_children_and_the_descent_prunes(spark):
+    rnd = random.Random(1)
+    rows = []
+    for i in range(40):
+        n = 100 + 50 * (i // 4)
+        c = [rnd.randint(0, 6) for _ in range(64)]
+        rows.append(((i // 10 << 24) + i % 10 + 1, n, n + 9, c, [x + rnd.randint(0, 2) for x in c]))
+    leaves = spark.createDataFrame(rows, "leaf long, n_lo long, n_hi long, lo array<int>, hi array<int>")
+    levels = [{r.node: r for r in level.collect()} for level in jaccard_join._tree(leaves)]
+    assert len(levels[0]) == 40 and len(levels[-1]) == 1 and len(levels) == 3
+    for below, above in zip(levels, levels[1:]):
+        for node, r in below.items():
+            p = above[node // jaccard_join.FAN]
+            assert p.n_lo <= r.n_lo and p.n_hi >= r.n_hi
+            assert all(x <= y for x, y in zip(p.lo, r.lo)) and all(x >= y for x, y in zip(p.hi, r.hi))
+    num, den = 9, 10
+
+    def may(a, b):
+        least = sum(min(x, y) for x, y in zip(a[4], b[4]))
+        gap = sum(max(x - y, u - v, 0) for x, y, u, v in zip(a[3], b[4], b[3], a[4]))
+        return (a[1] * num <= b[2] * den and b[1] * num <= a[2] * den and least * (den + num) >= (a[1] + b[1]) * num
+                and gap * (den + num) <= (a[2] + b[2]) * (den - num))
+
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] <= b[0] and may(a, b)}
+    got = [tuple(r) for r in jaccard_join._leaf_pairs(leaves, num, den).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < 40 * 41 // 2
