@@ -2,30 +2,36 @@
 
 The field's nodes are the tokens that hold a digit or an "@" (no kind can do
 without one). Neighbouring nodes are linked, and so are distant nodes that
-repeat each other (same digits, or same text): each occurrence with the
-first one, so that links stay linear in the text and any two occurrences are at most two
-links apart. Loopy belief propagation over
-the nodes of many texts at once gives the label marginals; a text takes part until
-its messages settle. The rule spans of a
-bounded sample of texts are the labels it learns from.
+repeat each other (same digits, or same text) or are similar (same shape, and the
+same beginning or end): each occurrence with the first one, so that links stay
+linear in the text and any two occurrences are at most two links apart. Loopy
+belief propagation over the nodes of many texts at once gives the label
+marginals; a text takes part until its messages settle. The rule spans of a
+bounded sample of texts are the labels it learns from; a share of them loses what
+the rule goes by first, so that context and links have to carry the label.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_sample, text_of
+from .common import hash_sample, stored, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 SLOTS = 1 << 14
-#: Messages have settled below TOLERANCE; texts that never settle are left after MOST_ROUNDS.
+#: Messages have settled below TOLERANCE; a text that has not by MOST_ROUNDS falls back to its chain of nodes.
 TOLERANCE, MOST_ROUNDS = 1e-4, 2000
+#: Kinds of links: adjacent nodes, next nodes, repeats, similar tokens.
+LINK_KINDS, REPEAT, SIMILAR = 4, 2, 3
+#: Similar tokens have this many characters at least, and share this many at an end.
+SIMILAR_LENGTH, SIMILAR_END = 7, 4
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -94,17 +100,15 @@ def _nodes(text: str) -> list[tuple[int, int]]:
 
 
 def _slot(s: str) -> int:
-    h = 2166136261
-    for c in s[:40]:
-        h = (h ^ ord(c)) * 16777619 & 0xFFFFFFFF
-    return (h ^ h >> 15) % SLOTS
+    return zlib.crc32(s.encode("utf-8", "surrogatepass")) % SLOTS
 
 
 _RUN = re.compile(r"[0-9]+|[A-Za-z]+|[^\x00-\x7f]+")
 
 
 def _node_features(text: str, a: int, b: int) -> list[int]:
-    token = text[a:min(b, a + 64)]
+    """Slots of the whole token's shape, digits and signs, and of the word at either side (its nearest 24 characters)."""
+    token = text[a:b]
     digits = _NOT_DIGIT.sub("", token)
     shape = _RUN.sub(lambda m: "9" * min(len(m[0]), 5) if m[0][0].isdigit() and m[0].isascii() else "a", token)
     left, right = text[max(0, a - 24):a].split(), text[b:b + 24].split()
@@ -114,6 +118,16 @@ def _node_features(text: str, a: int, b: int) -> list[int]:
                                f"d{token.count('.')}@{token.count('@')}-{token.count('-')}", f"l{near[0]}", f"r{near[1]}")]
 
 
+def _link_keys(token: str) -> list[tuple[int, str]]:
+    """(link kind, key): nodes that agree on one are linked by it."""
+    digits, low = _NOT_DIGIT.sub("", token), token.lower()
+    keys = [(REPEAT, digits if len(digits) >= 7 else low)]
+    if len(token) >= SIMILAR_LENGTH:
+        shape = _RUN.sub(lambda m: f"9{len(m[0])}" if m[0][0].isdigit() and m[0].isascii() else "a", low)
+        keys += [(SIMILAR, f"{shape} {low[:SIMILAR_END]}<"), (SIMILAR, f"{shape} >{low[-SIMILAR_END:]}")]
+    return keys
+
+
 class Field:
     """Nodes, features and links of several texts."""
 
@@ -130,12 +144,14 @@ class Field:
                     left.append(last)
                     right.append(i)
                     kind.append(0 if a - self.span[last][1] <= 2 else 1)
-                digits = _NOT_DIGIT.sub("", text[a:b])
-                key = digits if len(digits) >= 7 else text[a:b].lower()
-                if seen.setdefault(key, i) not in (i, last):
-                    left.append(seen[key])
-                    right.append(i)
-                    kind.append(2)
+                partners = {i, last}
+                for key in _link_keys(text[a:b]):
+                    first = seen.setdefault(key, i)
+                    if first not in partners:
+                        partners.add(first)
+                        left.append(first)
+                        right.append(i)
+                        kind.append(key[0])
                 last = i
         self.feats = np.array(feats, np.int64).reshape(-1, 6)
         self.left, self.right, self.kind = (np.array(x, np.int64) for x in (left, right, kind))
@@ -148,13 +164,15 @@ class Field:
 @dataclass
 class PiiModel:
     unary: np.ndarray     #: slot x label; label 0 is "none", then KINDS
-    pair: np.ndarray      #: link kind (adjacent, next, repeat) x label x label
+    pair: np.ndarray      #: link kind (adjacent, next, repeat, similar) x label x label
 
     def beliefs(self, field: Field, rounds: int | None = None, messages: tuple[np.ndarray, np.ndarray] | None = None):
         """Label marginals of nodes and of links by loopy belief propagation.
 
         Each text goes on until its messages settle, for at most ``rounds``
         rounds (None: enough for its longest chain of nodes, there and back).
+        A text still moving then (``rounds`` None only) goes on without its repeat and
+        similar links: what is left is a chain, whose messages settle.
         ``messages`` are started from and updated in place.
         """
         u = self.unary[field.feats].sum(1)
@@ -164,28 +182,38 @@ class PiiModel:
         doc = np.array(field.doc, np.int64)
         nodes = np.bincount(doc)
         text = doc[field.left] if e else np.zeros(0, np.int64)
-        if rounds is None:
-            rounds = min(12 + 2 * int(nodes.max(initial=0)), MOST_ROUNDS)
-        live = np.arange(e)
-        for _ in range(rounds):
-            if not len(live):
-                break
-            left, right, old_right, old_left = field.left[live], field.right[live], to_right[live], to_left[live]
-            log_right, log_left = np.log(old_right), np.log(old_left)
-            total = u.copy()
-            np.add.at(total, right, log_right)
-            np.add.at(total, left, log_left)
-            a, b = total[left] - log_left, total[right] - log_right
-            a, b = (np.exp(x - x.max(1, keepdims=True)) for x in (a, b))
-            new_right = np.einsum("ei,eij->ej", a, psi[live])
-            new_left = np.einsum("ej,eij->ei", b, psi[live])
-            new_right /= new_right.sum(1, keepdims=True)
-            new_left /= new_left.sum(1, keepdims=True)
-            change = np.maximum(np.abs(new_right - old_right).max(1), np.abs(new_left - old_left).max(1))
-            to_right[live], to_left[live] = (np.maximum(0.5 * (x + y), 1e-9) for x, y in ((old_right, new_right), (old_left, new_left)))
-            moving = np.zeros(len(nodes), bool)
-            moving[text[live][change >= TOLERANCE]] = True
-            live = live[moving[text[live]]]
+        limit = min(12 + 2 * int(nodes.max(initial=0)), MOST_ROUNDS) if rounds is None else rounds
+
+        def settle(live, limit, keep):
+            """The links still moving after ``limit`` rounds; ``keep`` is the old messages' part in new ones."""
+            for _ in range(limit):
+                if not len(live):
+                    break
+                left, right, old_right, old_left = field.left[live], field.right[live], to_right[live], to_left[live]
+                log_right, log_left = np.log(old_right), np.log(old_left)
+                total = u.copy()
+                np.add.at(total, right, log_right)
+                np.add.at(total, left, log_left)
+                a, b = total[left] - log_left, total[right] - log_right
+                a, b = (np.exp(x - x.max(1, keepdims=True)) for x in (a, b))
+                new_right = np.einsum("ei,eij->ej", a, psi[live])
+                new_left = np.einsum("ej,eij->ei", b, psi[live])
+                new_right /= new_right.sum(1, keepdims=True)
+                new_left /= new_left.sum(1, keepdims=True)
+                change = np.maximum(np.abs(new_right - old_right).max(1), np.abs(new_left - old_left).max(1))
+                to_right[live], to_left[live] = (np.maximum(keep * x + (1 - keep) * y, 1e-9)
+                                                 for x, y in ((old_right, new_right), (old_left, new_left)))
+                moving = np.zeros(len(nodes), bool)
+                moving[text[live][change >= TOLERANCE]] = True
+                live = live[moving[text[live]]]
+            return live
+
+        live = settle(np.arange(e), limit, 0.5)
+        if rounds is None and len(live):
+            skip = field.kind[live] >= REPEAT
+            to_right[live[skip]] = to_left[live[skip]] = 0.2
+            # undamped messages of a chain are exact after as many rounds as it has links
+            settle(live[~skip], int(nodes.max()), 0.0)
         total = u.copy()
         np.add.at(total, field.right, np.log(to_right))
         np.add.at(total, field.left, np.log(to_left))
@@ -197,31 +225,91 @@ class PiiModel:
         return p, joint / np.maximum(joint.sum((1, 2), keepdims=True), 1e-300)
 
 
-def _labels(field: Field, texts: list[str]) -> np.ndarray:
+def _hidden(text: str) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text and its rule spans, every second phone and email span without what its rule goes by.
+
+    A phone number loses its "+", an address all of its domain but the first name. Which ones is
+    settled by their own text, so repeats are hidden alike.
+    """
+    spans, out, kept, at = rule_spans(text), [], [], 0
+    size = 0
+    for a, k, b in spans:
+        if a < at:  # overlaps another kind: left as it is
+            continue
+        value = text[a:b]
+        if KINDS[k] in ("phone", "email") and zlib.crc32(value.encode("utf-8", "surrogatepass")) >> 4 & 1:
+            value = value[1:] if KINDS[k] == "phone" else value[:value.index(".", value.index("@"))]
+        out += [text[at:a], value]
+        size += a - at
+        kept.append((size, k, size + len(value)))
+        size += len(value)
+        at = b
+    return "".join([*out, text[at:]]), kept
+
+
+def _labels(field: Field, spans: list[list[tuple[int, int, int]]]) -> np.ndarray:
+    """Label of each node: the first of its text's spans that touches it."""
     out = np.zeros(len(field.doc), np.int64)
-    by_doc: dict[int, list[int]] = {}
-    for i, d in enumerate(field.doc):
-        by_doc.setdefault(d, []).append(i)
-    for d, nodes in by_doc.items():
-        for a, k, b in rule_spans(texts[d]):
-            for i in nodes:
-                if field.span[i][0] < b and a < field.span[i][1]:
-                    out[i] = out[i] or k + 1
+    doc = np.array(field.doc, np.int64)
+    for d, own in enumerate(spans):
+        lo, hi = np.searchsorted(doc, [d, d + 1])
+        at = lo
+        for a, k, b in own:
+            while at < hi and field.span[at][1] <= a:
+                at += 1
+            for i in range(at, hi):
+                if field.span[i][0] >= b:
+                    break
+                out[i] = out[i] or k + 1
     return out
 
 
+@dataclass
+class Examples:
+    """Nodes, links and labels of the texts that the field learns from; all a step needs of a :class:`Field`."""
+
+    doc: np.ndarray
+    feats: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    kind: np.ndarray
+    y: np.ndarray
+    messages = Field.messages
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Examples:
+        hidden = [_hidden(t) for t in texts]
+        field = Field([t for t, _ in hidden])
+        return cls(np.array(field.doc, np.int64), field.feats, field.left, field.right, field.kind,
+                   _labels(field, [spans for _, spans in hidden]))
+
+    @classmethod
+    def joined(cls, parts: list[Examples]) -> Examples:
+        """Parts of one text each."""
+        first = np.cumsum([0, *(len(p.y) for p in parts)])
+        none = np.zeros(0, np.int64)
+        return cls(np.repeat(np.arange(len(parts)), np.diff(first)),
+                   np.concatenate([np.zeros((0, 6), np.int64), *(p.feats for p in parts)]),
+                   *(np.concatenate([none, *(getattr(p, c) + n for p, n in zip(parts, first[:-1], strict=True))]) for c in ("left", "right")),
+                   *(np.concatenate([none, *(getattr(p, c) for p in parts)]) for c in ("kind", "y")))
+
+
 def fit_field(texts: list[str], steps: int = 60, rate: float = 0.4, l2: float = 1e-3) -> PiiModel:
+    """:func:`fit_examples` on whole texts."""
+    return fit_examples(Examples.of(texts), steps, rate, l2)
+
+
+def fit_examples(field: Examples, steps: int = 60, rate: float = 0.4, l2: float = 1e-3) -> PiiModel:
     """Weights by gradient steps: observed minus expected counts under loopy marginals."""
-    field = Field(texts)
-    y = _labels(field, texts)
-    model = PiiModel(np.zeros((SLOTS, 5)), np.zeros((3, 5, 5)))
+    y = field.y
+    model = PiiModel(np.zeros((SLOTS, 5)), np.zeros((LINK_KINDS, 5, 5)))
     n = len(y)
     if not n:
         model.unary[:, 0] = 1
         return model
     used, slot = np.unique(field.feats, return_inverse=True)
     slot = slot.reshape(field.feats.shape)
-    gu, gp = np.zeros((len(used), 5)), np.zeros((3, 5, 5))
+    gu, gp = np.zeros((len(used), 5)), np.zeros((LINK_KINDS, 5, 5))
     truth = np.eye(5)[y]
     # messages go on from step to step, so they follow the weights over any distance
     messages = field.messages()
@@ -231,7 +319,7 @@ def fit_field(texts: list[str], steps: int = 60, rate: float = 0.4, l2: float =
         for c in range(field.feats.shape[1]):
             np.add.at(grad, slot[:, c], truth - p)
         grad -= l2 * n * 0.01 * model.unary[used]
-        pair = np.zeros((3, 5, 5))
+        pair = np.zeros((LINK_KINDS, 5, 5))
         np.add.at(pair, (field.kind, y[field.left], y[field.right]), 1)
         np.add.at(pair, field.kind, -joint)
         pair -= l2 * n * model.pair
@@ -242,32 +330,40 @@ def fit_field(texts: list[str], steps: int = 60, rate: float = 0.4, l2: float =
     return model
 
 
-def train_pii(docs: DataFrame, sample_rows: int = 20_000, node_limit: int = 40_000) -> PiiModel:
-    """Learn from the rule spans of the ``sample_rows`` ids with the smallest hash, up to ``node_limit`` nodes."""
+def train_pii(docs: DataFrame, sample_rows: int = 20_000, node_limit: int = 40_000, text_nodes: int = 2_000) -> PiiModel:
+    """Learn from the rule spans of the ``sample_rows`` ids with the smallest hash.
+
+    Their texts are taken whole, in the order of the hash, until ``node_limit``
+    nodes are used; texts of more than ``text_nodes`` nodes are passed over, so that no single
+    text makes up the sample. The driver gets numbers only (about
+    70 bytes a node and 24 a link). Null texts count as empty; rows with a null doc_id are not
+    drawn, and of rows repeated under one doc_id one is. Without nodes, the model labels
+    nothing. Other columns are not read. Runs jobs.
+    """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     sample = hash_sample(base.where(F.col("text").rlike("[0-9@]")), "doc_id", sample_rows, "pii-sample")
+    arrays = ["feats", "left", "right", "kind", "y"]
 
-    def cut(batches):
+    def encode(batches):
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                nodes = _nodes(text)
-                if nodes:  # at most a few thousand characters around the first nodes
-                    a = max(0, nodes[0][0] - 30)
-                    b = min(nodes[min(len(nodes), 40) - 1][1] + 30, a + 4000)
-                    rows.append((doc_id, text[a:b], min(len(nodes), 40)))
+                found = Examples.of([text])
+                if 0 < len(found.y) <= text_nodes:
+                    rows.append((doc_id, len(found.y), *(getattr(found, c).tobytes() for c in arrays)))
             if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "text", "nodes"])
-
-    rows = (sample.mapInPandas(cut, "doc_id long, text string, nodes int")
-            .orderBy(F.xxhash64("doc_id")).limit(node_limit // 4).collect())
-    texts, nodes = [], 0
+                yield pd.DataFrame(rows, columns=["doc_id", "nodes", *arrays])
+
+    encoded = stored(sample.mapInPandas(encode, "doc_id long, nodes int, " + ", ".join(f"{c} binary" for c in arrays)), "pii-nodes")
+    used = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    # at most sample_rows rows of two numbers meet in the window
+    drawn = encoded.select("doc_id", F.sum("nodes").over(used).alias("used")).where(F.col("used") <= node_limit)
+    rows = encoded.join(F.broadcast(drawn), "doc_id").orderBy("used").collect()
+    parts = []
     for r in rows:
-        nodes += r["nodes"]
-        if nodes > node_limit:
-            break
-        texts.append(r["text"])
-    return fit_field(texts)
+        feats, *rest = (np.frombuffer(r[c], np.int64) for c in arrays)
+        parts.append(Examples(np.zeros(r["nodes"], np.int64), feats.reshape(-1, 6), *rest))
+    return fit_examples(Examples.joined(parts))
 
 
 def _all_spans(texts: list[str], model: PiiModel, threshold: float):

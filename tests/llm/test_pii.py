@@ -7,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from acctrail.llm.pii import KINDS, Field, PiiModel, _luhn, find_pii, fit_field, masked_column, rule_spans, train_pii
+from acctrail.llm import pii
+from acctrail.llm.pii import KINDS, Examples, Field, PiiModel, _luhn, find_pii, fit_field, masked_column, rule_spans, train_pii
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
@@ -128,3 +129,68 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert find_pii(df, train_pii(df)).collect() == []
     assert fit_field([]).unary[0, 0] == 1
+
+
+def test_features_see_the_whole_token():
+    # equal for 80 characters, then a digit or a letter
+    a, b = Field(["x1" + "-" * 80 + "5"]), Field(["x1" + "-" * 80 + "k"])
+    assert (a.feats != b.feats).any()
+
+
+def test_similar_tokens_are_linked():
+    field = Field(["AB-1234-77 then AB-1234-99 but 17/05/2021 and XY-9874-77"])
+    links = set(zip(field.left.tolist(), field.right.tolist(), field.kind.tolist(), strict=True))
+    assert {x for x in links if x[2] == 3} == {(0, 3, 3)}  # 0 and 1 are neighbours, 3 shares the end of 0
+    model = PiiModel(np.zeros((1 << 14, 5)), np.zeros((4, 5, 5)))
+    model.pair[3] = 4 * np.eye(5)
+    model.unary[field.feats[0, 4], 3] = 8
+    p, _ = model.beliefs(Field(["AB-1234-77 then 5 but 6 and XY-9874-77"]))
+    assert p[3, 3] > 0.5
+
+
+def test_unsettled_texts_fall_back_to_their_chain(monkeypatch):
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 3)
+    rnd = np.random.default_rng(4)
+    words = [f"w{i}" if i % 3 else "7777777" for i in range(40)]
+    field = Field([" ".join(words)])
+    model = PiiModel(rnd.normal(size=(1 << 14, 5)), rnd.normal(size=(4, 5, 5)))
+    p, _ = model.beliefs(field)
+    chain = Field([" ".join(words)])
+    keep = chain.kind < 2
+    chain.left, chain.right, chain.kind = chain.left[keep], chain.right[keep], chain.kind[keep]
+    want, _ = model.beliefs(chain, 400)
+    assert np.allclose(p, want, atol=1e-2)
+
+
+def test_hidden_spans_keep_their_place():
+    rnd = random.Random(5)
+    lost = 0
+    for i in range(300):
+        text = make(rnd, i)
+        shown, spans = pii._hidden(text)
+        want = rule_spans(text)
+        assert [k for _, k, _ in spans] == [k for _, k, _ in want]
+        for (a, k, b), (c, _, d) in zip(want, spans, strict=True):
+            assert shown[c:d] in (text[a:b], text[a + 1:b], text[a:b].split(".")[0])
+        lost += shown != text
+    assert 50 < lost < 300
+
+
+def test_spans_beyond_the_rules_are_found():
+    rnd = random.Random(6)
+    texts = [f"{make(rnd, i)} call +1 (555) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)} today" for i in range(300)]
+    model = fit_field(texts)
+    plainly = [f"alpha beta call 1 (555) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)} today 1984" for _ in range(50)]
+    _, added = pii._all_spans(plainly, model, 0.5)
+    found = sum(any(KINDS[k] == "phone" for _, k, _ in x) for x in added)
+    assert found >= 45 and not any(t[a:b] == "1984" for t, x in zip(plainly, added, strict=True) for a, _, b in x)
+
+
+def test_texts_are_drawn_whole_within_the_bounds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit_examples", lambda field, **_: seen.append(field))
+    rows = [(i, " ".join(str(j) for j in range(50))) for i in range(20)] + [(99, "1 " * 500)]
+    train_pii(spark.createDataFrame(rows, "doc_id long, text string"), node_limit=620, text_nodes=100)
+    field, = seen
+    assert np.bincount(field.doc).tolist() == [50] * 12
+    assert set(np.unique(field.right - field.left)) == {1}
