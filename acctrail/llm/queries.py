@@ -21,7 +21,7 @@ from .merkle import merkle_manifest
 from .pii import KINDS, count_kind, find_pii, spans_text, train_pii
 from .substring_dedup import dedup_substrings
 from .token_alignment import alignment_report
-from .toxicity import score_toxicity, train_toxicity
+from .toxicity import toxic_spans, train_toxicity
 from .url_filter import filter_urls
 from .vector_dedup import dedup_vectors
 
@@ -67,9 +67,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_toxicity(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
-    return score_toxicity(docs, model).select(
+    offsets = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return toxic_spans(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), F.array_join(offsets, ",").alias("offsets"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

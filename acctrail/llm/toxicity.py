@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from .common import fold, hash_sample, stored, text_of
 from .textarrays import Words, chunks, prefix_sums, span_hash
 
-SLOTS = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 HEAD, TAIL = 6, 4
 _BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -59,8 +58,8 @@ def _token_chunks(texts):
 
 @dataclass
 class ToxicityModel:
-    keys: np.ndarray        #: feature hash of each slot
-    odds: np.ndarray        #: its log odds
+    keys: np.ndarray        #: feature hashes, ascending
+    odds: np.ndarray        #: their log odds
     weights: np.ndarray     #: bias, word, beginning, end, neighbours' word, neighbours' beginning
     moves: np.ndarray       #: log transition scores [from, to]
     doc: np.ndarray         #: logistic regression on document sums
@@ -69,8 +68,9 @@ class ToxicityModel:
         out = np.zeros((len(t.hash), 6), np.float32)
         out[:, 0] = 1
         for i, h in enumerate(t.features):
-            slot = (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
-            out[:, 1 + i] = np.where(self.keys[slot] == h, self.odds[slot], 0)
+            if len(self.keys):
+                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+                out[:, 1 + i] = np.where(self.keys[at] == h, self.odds[at], 0)
         for i in (1, 2):
             v = out[:, i]
             same = t.doc[1:] == t.doc[:-1]
@@ -204,13 +204,19 @@ def _scored(model: ToxicityModel, keep: list[str]):
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, sample_rows: int = 20_000,
-                   window: int = 256, window_rows: int = 3_000, min_texts: int = 6, odds_at: float = 3.0) -> ToxicityModel:
+                   window: int = 256, window_rows: int = 3_000, min_texts: int = 6, odds_at: float = 3.0,
+                   features: int = 1 << 17) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fold (crc32 of doc_id as text, modulo ``folds``).
 
     Of these, the ``sample_rows`` ids with the smallest hash are used; the chain learns from one
-    window of at most ``window`` tokens of at most ``window_rows`` of them. The feature
-    table has a fixed number of slots. Without labels of both kinds the
-    model scores every text 0.
+    window of at most ``window`` tokens of at most ``window_rows`` of them. Features are words,
+    beginnings and ends in at least ``min_texts`` texts of the sample whose log odds are 1 or more in size;
+    the model keeps the ``features`` strongest of them (ties by hash), each under its full 64-bit hash.
+
+    Null labels are not read; an id labelled twice takes the larger label. Null texts count as
+    empty, rows with a null doc_id are not drawn, of rows repeated under one doc_id all
+    are, and equal texts count once, with their larger label. Without labels of both
+    kinds (empty tables too) the model scores every text near 0. Other columns are not read. Runs jobs.
     """
     marks = (labels.where(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
@@ -220,7 +226,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
     sample = sample.groupBy("text").agg(F.max("label").alias("label"))  # copies count once
     sample = sample.withColumn("key", F.xxhash64("text"))
     sample = stored(sample, "toxic-sample")
-    model = ToxicityModel(np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.float32), np.zeros(6), np.zeros((2, 2)),
+    model = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(6), np.zeros((2, 2)),
                           np.array([-30.0, 0, 0, 0]))
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not (sizes.get(0) and sizes.get(1)):
@@ -230,11 +236,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
                .where(F.col("texts") >= min_texts))
     odds = (F.log((F.col("toxic") + 0.5) / (sizes[1] + 1))
             - F.log((F.col("texts") - F.col("toxic") + 0.5) / (sizes[0] + 1)))
-    best = counted.select("h", odds.alias("odds")).where("abs(odds) >= 1").orderBy(F.desc(F.abs("odds")), "h").limit(SLOTS // 2)
-    table = best.toPandas().iloc[::-1]  # the strongest keep a contested slot
+    best = counted.select("h", odds.alias("odds")).where("abs(odds) >= 1").orderBy(F.desc(F.abs("odds")), "h").limit(features)
+    table = best.toPandas()
     h = table["h"].to_numpy(np.int64).view(np.uint64)
-    slot = (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
-    model.keys[slot], model.odds[slot] = h, table["odds"].to_numpy(np.float32)
+    order = np.argsort(h)
+    model.keys, model.odds = h[order], table["odds"].to_numpy(np.float32)[order]
 
     few = (sample.where("label = 1").orderBy("key").limit(window_rows // 2)
            .unionByName(sample.where("label = 0").orderBy("key").limit(window_rows // 2)))
@@ -281,7 +287,12 @@ def toxicity_column(text: Column, model: ToxicityModel) -> Column:
 
 
 def toxic_spans(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """doc_id, score and ``spans``: [start, end) code points and marginal of each run of toxic tokens."""
+    """doc_id, score and ``spans``: [start, end) code points and marginal of each run of toxic tokens.
+
+    A token is toxic when its marginal is at least ``threshold``; p is the largest of its run. The
+    score is that of :func:`score_toxicity`. Null and empty texts and texts without
+    letters have no spans; null doc_ids and repeated rows stay; other columns are not read.
+    """
     def run(batches):
         for pdf in batches:
             rows = []

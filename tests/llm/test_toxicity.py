@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from acctrail.llm.toxicity import messages, score_toxicity, toxic_spans, train_toxicity
+from acctrail.llm.toxicity import Tokens, ToxicityModel, messages, score_toxicity, toxic_spans, train_toxicity
 
 BAD = ["vile", "rotten", "scumbag"]
 
@@ -70,3 +70,35 @@ def test_empty_and_unlabelled(spark):
     assert score_toxicity(docs, model).collect() == []
     one = score_toxicity(spark.createDataFrame([(1, "vile")], "doc_id long, text string"), model).first()
     assert one["score"] < 0.01
+
+
+def test_every_kept_feature_has_its_own_odds():
+    words = [f"{a}{b}{c}q" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd"]
+    t = Tokens([" ".join(words).encode()])
+    keys = np.unique(t.features[0])
+    odds = np.arange(1, len(keys) + 1, dtype=np.float32)
+    # all keys but the odd ones are known, however their bits agree
+    model = ToxicityModel(keys[::2], odds[::2], np.zeros(6), np.zeros((2, 2)), np.zeros(4))
+    want = dict(zip(keys[::2].tolist(), odds[::2].tolist(), strict=True))
+    assert model.token_inputs(t)[:, 1].tolist() == [want.get(h, 0) for h in t.features[0].tolist()]
+
+
+def test_scores_follow_from_exact_marginals(trained):
+    _, _, model = trained
+    rnd = random.Random(3)
+    for _ in range(20):
+        words = rnd.choices(["bal", "dan", "vile", "rotten", "scumbag", "fit"], k=rnd.randint(1, 8))
+        t = Tokens([" ".join(words).encode()])
+        u = model.token_inputs(t) @ model.weights
+        total, on = 0.0, np.zeros(len(words))
+        for s in itertools.product((0, 1), repeat=len(words)):
+            e = np.exp(sum(u[i] for i in range(len(s)) if s[i]) + sum(model.moves[a, b] for a, b in itertools.pairwise(s)))
+            total += e
+            on += e * np.array(s)
+        p = on / total
+        sure = p[p >= 0.5].sum()
+        x = np.array([1, np.log1p(sure), np.log(sure / (len(words) + 20) + 1e-3), max(p.max(), 0) if (p >= 0.5).any() else 0])
+        want = 1 / (1 + np.exp(-x @ model.doc))
+        got = model.score(model.doc_sums(t, model.marginals(model.token_inputs(t), t.doc), 1))[0]
+        if abs(p - 0.5).min() > 1e-3:
+            assert abs(got - want) < 1e-3
