@@ -2,7 +2,8 @@
 
 The URLs that a rule decides are the labelled ones. From them come the block
 rate of every host suffix and file suffix (counted over all of them) and, on
-a bounded sample, the trees.
+a bounded sample, the trees. A labelled URL's rates leave out its own fold
+of hosts, so the trees learn how far rates of other hosts are to be trusted.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 FEATURES = ["url_len", "host_len", "path_len", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens",
             "entropy", "params", "has_query", "has_fragment", "longest_label", "suffix_rate", "suffix_log_n",
             "file_rate", "file_log_n"]
+FOLDS = 5
 
 
 def with_parts(df: DataFrame, url: str = "url") -> DataFrame:
@@ -72,11 +74,20 @@ def with_features(df: DataFrame) -> DataFrame:
                 "longest_label": F.array_max(F.transform(names, lambda x: F.length(x)))}))
 
 
-def _rates(labelled: DataFrame, column: str, prefix: str) -> DataFrame:
-    """Smoothed block rate and support of each value of ``column`` among the labelled URLs."""
-    return labelled.groupBy(column).agg(
-        ((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias(f"{prefix}_rate"),
-        F.log1p(F.count(F.lit(1))).alias(f"{prefix}_log_n"))
+def _rates(labelled: DataFrame, column: str) -> DataFrame:
+    """Per value of ``column``: labelled URLs and blocked ones of each fold of hosts, as arrays."""
+    each = [(F.count(F.when(F.col("fold") == f, 1)), F.count(F.when((F.col("fold") == f) & (F.col("label") == 1), 1)))
+            for f in range(FOLDS)]
+    return labelled.groupBy(column).agg(F.array(*(n for n, _ in each)).alias("urls"), F.array(*(b for _, b in each)).alias("blocked"))
+
+
+def _rate_columns(prefix: str) -> dict[str, Column]:
+    """Smoothed block rate and support from the folds other than a labelled URL's own; all of them for other URLs."""
+    def total(counts):
+        everything = F.aggregate(counts, F.lit(0).cast("long"), lambda x, y: x + y)
+        return F.coalesce(everything - F.when(F.col("label").isNotNull(), F.get(F.col(counts), F.col("fold"))).otherwise(0), F.lit(0))
+
+    return {f"{prefix}_rate": (total("blocked") + 1) / (total("urls") + 2), f"{prefix}_log_n": F.log1p(total("urls"))}
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], sample_rows: int = 20_000, trees: int = 20,
@@ -94,11 +105,12 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], sample_rows
     rule, verdict = rule_columns(rules)
     urls = with_parts(pages.select("page_id", F.col("url").cast("string").alias("url")))
     urls = with_features(urls.withColumn("rule", rule).withColumn("by_rule", verdict))
+    urls = urls.withColumn("fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int"))
     urls = urls.withColumn("label", F.when(F.col("by_rule").isNotNull(), (F.col("by_rule") == "block").cast("double")))
     labelled = urls.where("label is not null")
-    for column, prefix in (("suffix", "suffix"), ("file", "file")):
-        urls = urls.join(stored(_rates(labelled, column, prefix), f"url-{prefix}"), column, "left")
-    urls = urls.fillna({"suffix_rate": 0.5, "suffix_log_n": 0.0, "file_rate": 0.5, "file_log_n": 0.0})
+    for column in ("suffix", "file"):
+        rates = stored(_rates(labelled, column), f"url-{column}")
+        urls = urls.join(rates, column, "left").withColumns(_rate_columns(column)).drop("urls", "blocked")
     urls = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(urls)
     sample = hash_sample(urls.where("label is not null").select("url", "features", "label"), "url", sample_rows,
                          "url-sample").select("features", "label")

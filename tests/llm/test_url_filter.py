@@ -1,7 +1,9 @@
 import re
 
+from pyspark.sql import functions as F
+
 from acctrail.llm.queries import URL_RULES
-from acctrail.llm.url_filter import filter_urls, with_parts
+from acctrail.llm.url_filter import FOLDS, _rate_columns, _rates, filter_urls, with_features, with_parts
 
 SCHEMA = "page_id long, url string, html string, host string, label int"
 
@@ -62,3 +64,30 @@ def test_one_repeated_url_does_not_fill_the_sample(spark):
     data += [(1000 + i, f"http://h{i}.{'net/es/' if i % 2 else 'com/'}p{i}", None, None, None) for i in range(400)]
     got = filter_urls(spark.createDataFrame(data, SCHEMA), URL_RULES, sample_rows=200).collect()
     assert len(got) == 700 and sum((g.block_score >= 0.5) == (g.verdict == "block") for g in got) > 650
+
+
+def test_held_out_hosts(spark):
+    """Rules for some hosts say enough of the shape of bad URLs to judge hosts that no rule names."""
+    rules = [("block", "net", "/es/"), ("allow", "net", "/"), ("allow", "com", "/")]
+    data = []
+    for i in range(900):
+        host, bad = f"h{i % 90}.{['net', 'com', 'org'][i % 3]}", i % 2
+        path = f"es/{i * 7919}{i}/{i}?a={i}&b=2&c=3" if bad and i % 3 != 1 else f"about-{'abcdefgh'[i % 8]}"
+        data.append((i, f"http://{host}/{path}", None, None, None))
+    got = filter_urls(spark.createDataFrame(data, SCHEMA), rules).where("rule is null").collect()
+    urls = {d[0]: d[1] for d in data}
+    right = sum((g.verdict == "block") == ("/es/" in urls[g.page_id]) for g in got)
+    assert len(got) == 300 and right / len(got) > 0.95
+
+
+def test_rates_leave_out_the_own_fold(spark):
+    data = [(i, f"http://h{i % 20}.{'net/es/' if i % 2 else 'net/'}p{i}", None, None, None) for i in range(200)]
+    data += [(500, "http://only.xyz/", None, None, None), (501, "http://a.org/q", None, None, None)]
+    df = with_features(with_parts(spark.createDataFrame(data, SCHEMA).select("page_id", "url")))
+    df = df.withColumn("fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int"))
+    df = df.withColumn("label", F.when(F.col("suffix") != "org", F.col("path").startswith("/es/").cast("double")))
+    got = df.join(_rates(df.where("label is not null"), "suffix"), "suffix", "left").withColumns(_rate_columns("suffix")).collect()
+    for r in got:
+        rest = [x for x in got if x.label is not None and x.suffix == r.suffix and (r.label is None or x.fold != r.fold)]
+        assert abs(r.suffix_rate - (sum(x.label for x in rest) + 1) / (len(rest) + 2)) < 1e-12
+    assert {r.suffix_rate for r in got if r.suffix in ("xyz", "org")} == {0.5}
