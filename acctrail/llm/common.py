@@ -53,3 +53,11 @@ def hash_sample(df: DataFrame, key: str, rows: int, name: str) -> DataFrame:
     keys = (df.select(key).where(F.col(key).isNotNull()).distinct()
             .orderBy(F.xxhash64(key), key).limit(rows))
     return stored(df.join(F.broadcast(stored(keys, f"{name}-keys")), key).dropDuplicates([key]), name)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes not to be a column of ``df`` (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -282,7 +282,11 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, tables: int = 24, samples: int = 2,
                       seed: int = 11) -> DataFrame:
-    """The rows of ``docs`` whose text matches no item, with all columns. A job for every block but the last."""
+    """The rows of ``docs`` whose text matches no item, with all columns. A job for every block but the last.
+
+    Null and empty texts and items match nothing; repeated rows and null doc_ids are judged row by
+    row. An empty benchmark leaves ``docs`` as it is.
+    """
     later = False
     for block in _blocks(_items(benchmark)):
         if later:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import stored, text_of, unused
 from .graph import components
 from .textarrays import Words, as_bytes, chunks, mix, signed, span_hash
 
@@ -291,7 +291,7 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, similarity: Fraction = Fra
     first = (joined.where("n > 0").groupBy("root").agg(F.min(place).alias("p")).select("p.doc", "p.text_id")
              .unionByName(joined.where("n = 0").select("doc", "text_id").distinct()))
     text = text_of(docs)
-    key, text_id = "__jaccard_doc", "__jaccard_text"
+    key, text_id = unused(docs, "_jaccard_doc"), unused(docs, "_jaccard_text")
     keyed = docs.withColumn(text_id, F.xxhash64(F.lit(1), text)).withColumn(
         key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)))
     first = first.select(F.col("doc").alias(key), F.col("text_id").alias(text_id))

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from acctrail.llm.decontaminate import best_run
 from acctrail.llm.queries import rank_file
@@ -77,3 +79,17 @@ def test_run_on_an_empty_table(spark, tmp_path):
     for name, schema in (("documents", COLUMNS), ("labels", "doc_id long, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    make(tmp_path, spark)
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    odd = ["_masked", "_jaccard_doc", "_jaccard_text", "__jaccard_text", "score", "spans", "label", "_MASKED2"]
+    given = df.drop("n_chars")
+    for i, c in enumerate(odd):
+        given = given.withColumn(c, F.concat(F.lit(f"{i}-"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, given, str(tmp_path))
+        assert out.dtypes == given.dtypes
+        rows = out.collect()
+        assert rows and all(r[c] == f"{i}-{r.doc_id}" for r in rows for i, c in enumerate(odd)), name
