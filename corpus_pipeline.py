@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctrail.llm.bpe import round_trip
-from acctrail.llm.common import stored, table
+from acctrail.llm.common import stored, table, unused
 from acctrail.llm.decontaminate import drop_contaminated
 from acctrail.llm.jaccard_join import drop_near_duplicates
 from acctrail.llm.pii import masked_column, train_pii
@@ -26,28 +26,45 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose toxicity score is 0.7 or more."""
+    """Drops documents whose toxicity score is 0.7 or more.
+
+    Null and empty texts score as no evidence and stay; repeated rows and null doc_ids are
+    judged row by row; all columns are kept. Empty tables give an empty table.
+    """
     model = train_toxicity(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity_column(F.col("text"), model) < 0.7)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by 5-word shingle Jaccard similarity of 0.8 or more."""
+    """Keeps one document of each group linked by 5-word shingle Jaccard similarity of 0.8 or more.
+
+    The smallest doc_id stays, a null one only without another; texts without words stay, of
+    rows equal in doc_id and text one does; all columns are kept.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage within a fifth of a benchmark item's words in edits."""
+    """Drops documents that hold a passage within a fifth of a benchmark item's words in edits.
+
+    Null and empty texts and items hold and match nothing; repeated rows and null doc_ids are
+    judged row by row; all columns are kept.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind; n_chars follows where the text changed."""
-    columns = docs.columns
-    changed = docs.withColumn("__masked", masked_column(F.col("text"), train_pii(docs)))
-    size = F.when(F.col("__masked") == F.col("text"), F.col("n_chars")).otherwise(
-        F.coalesce(F.length("__masked").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
-    return changed.withColumn("n_chars", size).withColumn("text", F.col("__masked")).select(*columns)
+    """Replaces personal data by its kind; n_chars (where there is one) follows where the text changed.
+
+    Null texts stay null; every row stays, repeated rows and null doc_ids too; all columns are kept.
+    """
+    columns, masked = docs.columns, unused(docs, "_masked")
+    changed = docs.withColumn(masked, masked_column(F.col("text"), train_pii(docs)))
+    if "n_chars" in columns:
+        size = F.when(F.col(masked) == F.col("text"), F.col("n_chars")).otherwise(
+            F.coalesce(F.length(masked).cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+        changed = changed.withColumn("n_chars", size)
+    return changed.withColumn("text", F.col(masked)).select(*columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
