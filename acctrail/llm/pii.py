@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import hash_sample, stored, text_of
@@ -355,10 +355,18 @@ def train_pii(docs: DataFrame, sample_rows: int = 20_000, node_limit: int = 40_0
                 yield pd.DataFrame(rows, columns=["doc_id", "nodes", *arrays])
 
     encoded = stored(sample.mapInPandas(encode, "doc_id long, nodes int, " + ", ".join(f"{c} binary" for c in arrays)), "pii-nodes")
-    used = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    # at most sample_rows rows of two numbers meet in the window
-    drawn = encoded.select("doc_id", F.sum("nodes").over(used).alias("used")).where(F.col("used") <= node_limit)
-    rows = encoded.join(F.broadcast(drawn), "doc_id").orderBy("used").collect()
+    place = F.xxhash64("doc_id").alias("place")
+    # at most sample_rows rows of three numbers; the texts drawn are those up to a place in the order
+    used, last = 0, None
+    for r in sorted(encoded.select(place, "doc_id", "nodes").collect()):
+        used += r["nodes"]
+        if used > node_limit:
+            break
+        last = r
+    rows = []
+    if last:
+        upto = (F.col("place") < last["place"]) | ((F.col("place") == last["place"]) & (F.col("doc_id") <= last["doc_id"]))
+        rows = sorted(encoded.select(place, "*").where(upto).collect())
     parts = []
     for r in rows:
         feats, *rest = (np.frombuffer(r[c], np.int64) for c in arrays)
