@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored
 from .graph import components
@@ -123,8 +124,10 @@ def dedup_vectors(vectors: DataFrame, cosine: float = 0.98, window: int = 32, re
     length never link. Repeated rows count as rows of their own. A null vec_id takes part but names a component only if
     all ids are null; kept is then null. Other columns are not read. Runs jobs.
     """
+    # single-precision vectors travel as they are and widen where they are compared, which is exact
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-                          F.col("embedding").cast("array<double>").alias("vec"))
+                          F.col("embedding").cast("array<float>" if single else "array<double>").alias("vec"))
     sound = (F.col("label").isNotNull() & (F.size("vec") > 0) & F.coalesce(
         ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         & F.exists("vec", lambda x: x != 0), F.lit(False)))

@@ -80,3 +80,12 @@ def test_empty(spark):
 def test_more_classes_mean_more_bits_and_passes():
     plans = [plan_passes(n, 0.98, 0.995) for n in (0, 1000, 10**6, 10**9)]
     assert plans == sorted(plans) and plans[0][1] >= 1
+
+
+def test_double_vectors_stay_double(spark):
+    # beyond single precision in size, and pairs that single precision would change
+    rows = [(1, [1e300, 2e300, 0.0], 1), (2, [1e-300, 2e-300, 0.0], 1), (3, [1.0, 0.0, 0.0], 1), (4, [1.0, 1e-50, 0.0], 1),
+            (5, [0.0, 1e-60, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in dedup_vectors(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
