@@ -166,8 +166,9 @@ class PiiModel:
     unary: np.ndarray     #: slot x label; label 0 is "none", then KINDS
     pair: np.ndarray      #: link kind (adjacent, next, repeat, similar) x label x label
 
-    def beliefs(self, field: Field, rounds: int | None = None, messages: tuple[np.ndarray, np.ndarray] | None = None):
-        """Label marginals of nodes and of links by loopy belief propagation.
+    def beliefs(self, field: Field, rounds: int | None = None, messages: tuple[np.ndarray, np.ndarray] | None = None,
+                links: bool = True):
+        """Label marginals of nodes and (with ``links``, else None) of links by loopy belief propagation.
 
         Each text goes on until its messages settle, for at most ``rounds``
         rounds (None: enough for its longest chain of nodes, there and back).
@@ -219,6 +220,8 @@ class PiiModel:
         np.add.at(total, field.left, np.log(to_left))
         p = np.exp(total - total.max(1, keepdims=True)) if n else total
         p /= p.sum(1, keepdims=True)
+        if not links:
+            return p, None
         a, b = total[field.left] - np.log(to_left), total[field.right] - np.log(to_right)
         a, b = (np.exp(x - x.max(1, keepdims=True)) if e else x for x in (a, b))
         joint = a[:, :, None] * psi * b[:, None, :]
@@ -381,7 +384,7 @@ def _all_spans(texts: list[str], model: PiiModel, threshold: float):
     if len(field.doc):
         start = [np.array([a for a, _, _ in x], np.int64) for x in base]
         reach = [np.maximum.accumulate(np.array([b for _, _, b in x], np.int64)) if x else None for x in base]
-        p, _ = model.beliefs(field)
+        p, _ = model.beliefs(field, links=False)
         best = p[:, 1:].argmax(1)
         for i in np.flatnonzero(p[np.arange(len(p)), best + 1] >= threshold).tolist():
             d, (a, b), k = field.doc[i], field.span[i], int(best[i])
