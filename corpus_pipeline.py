@@ -69,7 +69,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers), n_tokens and the digests of ids and decoded bytes."""
-    return round_trip(docs, *rank_file())
+    # the earlier stages leave less of an executor's memory to the workers than the operator has alone
+    return round_trip(docs, *rank_file(), sql_rows=150_000, cache_bytes=64 << 20)
 
 
 STAGES: list[tuple[str, Stage]] = [
