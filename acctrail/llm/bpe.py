@@ -65,11 +65,11 @@ SELECT w, string_agg(v.text, '' ORDER BY i.pos) AS text FROM ids i JOIN vocabula
 class Tokenizer:
     """Merge rule of one rank file; one per Python worker."""
 
-    def __init__(self, rank_file: str, pattern: str, sql_rows: int = SQL_ROWS, cache_bytes: int = CACHE_BYTES):
+    def __init__(self, rank_file: str, pattern: str, sql_rows: int | None = None, cache_bytes: int | None = None):
         import duckdb
         import regex
 
-        self.sql_rows, self.cache_bytes = sql_rows, cache_bytes
+        self.sql_rows, self.cache_bytes = sql_rows, cache_bytes  # None: the module's bounds
         self.split = regex.compile(pattern).findall
         with open(rank_file, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
@@ -153,7 +153,7 @@ class Tokenizer:
             elif word:
                 batch.append(i)
                 rows += len(word)
-                if rows >= self.sql_rows:
+                if rows >= (self.sql_rows or SQL_ROWS):
                     flush()
                     batch, rows = [], 0
         if batch:
@@ -169,7 +169,7 @@ class Tokenizer:
 
     def _forget(self) -> None:
         """Keeps the caches within their bound: what is long goes after each call, all of it when they are full."""
-        if self.held > self.cache_bytes:
+        if self.held > (self.cache_bytes or CACHE_BYTES):
             self.spaced.clear()
             self.ids.clear()
             self.held = 0
@@ -217,7 +217,7 @@ class Tokenizer:
         out, at = [b""] * len(runs), 0
         size = np.cumsum([len(r) // 4 for r in runs])
         while at < len(runs):
-            upto = max(at + 1, int(np.searchsorted(size, self.sql_rows + (size[at - 1] if at else 0))))
+            upto = max(at + 1, int(np.searchsorted(size, (self.sql_rows or SQL_ROWS) + (size[at - 1] if at else 0))))
             tok = np.frombuffer(b"".join(runs[at:upto]), "<u4").astype(np.int32)
             w = np.repeat(np.arange(at, upto, dtype=np.int32), [len(r) // 4 for r in runs[at:upto]])
             self.db.register("ids", pa.table({"w": w, "pos": np.arange(len(tok)), "tok": tok}))
@@ -229,7 +229,7 @@ class Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(rank_file: str, pattern: str, sql_rows: int = SQL_ROWS, cache_bytes: int = CACHE_BYTES) -> Tokenizer:
+def _tokenizer(rank_file: str, pattern: str, sql_rows: int | None = None, cache_bytes: int | None = None) -> Tokenizer:
     tokenizer = Tokenizer(rank_file, pattern, sql_rows, cache_bytes)
     # lists of words by the hundred thousand and no cycles: fewer passes of the collector, none over the tables
     gc.freeze()
@@ -274,7 +274,7 @@ def decode_ids(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids", de
     return df.withColumn(decoded, decode(F.col(ids)))
 
 
-def round_trip(docs: DataFrame, rank_file: str, pattern: str, sql_rows: int = SQL_ROWS, cache_bytes: int = CACHE_BYTES) -> DataFrame:
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, sql_rows: int | None = None, cache_bytes: int | None = None) -> DataFrame:
     """doc_id, ids, n_tokens, ids_sha256, decoded_sha256 of every row's ``text``.
 
     Encodes the text, then decodes the ids it got, in one Python process per
