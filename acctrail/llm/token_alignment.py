@@ -16,12 +16,13 @@ rows for the public vocabularies, whatever the corpus), are the only thing that
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
@@ -82,8 +83,10 @@ class Aligner:
         self.space = regex.compile(f"(?<={visible}) (?={visible})").finditer
         self.odd_space = regex.compile(rf"(?<!{visible}) | (?!{visible})").search
         self.whole_only = any(" " in t.lstrip(b" ").decode(errors="replace") for t in self.b_bytes)
-        #: piece -> A ids and B ids, None where the bytes differ
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        #: piece -> A ids, piece -> B ids; pieces whose bytes differ
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.differ: set[str] = set()
         self.kept = 0
 
     def _pairs(self) -> np.ndarray:
@@ -106,13 +109,26 @@ class Aligner:
 
     def _learn(self, pieces: list[str]) -> None:
         spaced = [" " + p for p in pieces]
-        ours = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+        ours = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         theirs = self.b.encode(pieces, num_threads=1)
-        for piece, full, a, b in zip(pieces, spaced, ours, theirs, strict=True):
-            data, a = full.encode("utf-8", "surrogatepass"), a.ids
-            same = b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b])
-            self.known[piece] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
-            self.kept += 300 + 4 * len(piece) + 4 * (len(a) + len(b))
+        data = [p.encode("utf-8", "surrogatepass") for p in spaced]
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        same = np.ones(len(data), bool)
+        for known, ids, token, token_size in ((self.known_a, ours, self.a_bytes, self.a_size),
+                                              (self.known_b, theirs, self.b_bytes, self.b_size)):
+            flat = list(chain.from_iterable(ids))
+            each = np.array(flat, "<u4")
+            cut = np.concatenate(([0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))))
+            joined = b"".join(map(token.__getitem__, flat))
+            ends = np.concatenate(([0], np.cumsum(token_size[each])))[cut]
+            same &= np.diff(ends) == size
+            if joined != b"".join(data):
+                same &= [joined[x:y] == d for x, y, d in zip(ends[:-1].tolist(), ends[1:].tolist(), data, strict=True)]
+            held, at = each.tobytes(), (4 * cut).tolist()
+            known.update(zip(pieces, [held[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True))
+            self.kept += len(held)
+        self.differ.update(pieces[i] for i in np.flatnonzero(~same).tolist())
+        self.kept += 300 * len(pieces) + 4 * sum(map(len, pieces))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """A ids of space + text and B ids of text as 32-bit integers; none where a side's joined bytes are not those of space + text.
@@ -122,15 +138,15 @@ class Aligner:
         not cut). So the pieces between such spaces are encoded once each and looked up from then on.
         """
         if self.kept > CACHE_BYTES:
-            self.known.clear()
+            self.known_a.clear()
+            self.known_b.clear()
+            self.differ.clear()
             self.kept = 0
         cut = [self._cut(t) for t in texts]
-        self._learn(sorted(set().union(*cut) - self.known.keys()))
-        out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            ids = list(map(self.known.__getitem__, pieces))
-            out.append((b"".join([x[0] for x in ids]), b"".join([x[1] for x in ids])) if text and None not in ids else (b"", b""))
-        return out
+        self._learn(sorted(set().union(*cut) - self.known_a.keys()))
+        a, b = self.known_a.__getitem__, self.known_b.__getitem__
+        return [(b"".join(map(a, pieces)), b"".join(map(b, pieces))) if text and self.differ.isdisjoint(pieces) else (b"", b"")
+                for text, pieces in zip(texts, cut, strict=True)]
 
     def align(self, texts: list[str]) -> Aligned:
         ids = self.encode(texts)
@@ -180,7 +196,11 @@ class Aligner:
 
 @lru_cache(maxsize=2)
 def _aligner(a_file: str, b_file: str) -> Aligner:
-    return Aligner(a_file, b_file)
+    aligner = Aligner(a_file, b_file)
+    # lists of ids by the hundred thousand and no cycles: fewer passes of the collector, none over the tables
+    gc.freeze()
+    gc.set_threshold(200_000, 50, 50)
+    return aligner
 
 
 def _pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
