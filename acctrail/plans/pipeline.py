@@ -30,7 +30,7 @@ AS_OF = "2000-01-01"
 class Pipeline:
     def __init__(self, roles: Roles, *, as_of: str = AS_OF, products: Products = Products(),
                  codes: AccountCodes = AccountCodes(), rules: ChannelRules = ChannelRules(),
-                 materialize: bool = False, buckets: int | None = None):
+                 materialize: bool = False, buckets: int | None = None, bucket_rows: int = 100_000):
         self.r = roles
         self.as_of = as_of
         self.products = products
@@ -38,6 +38,7 @@ class Pipeline:
         self.rules = rules
         self.materialize = materialize
         self.buckets = buckets
+        self.bucket_rows = bucket_rows
         self._cache: dict[str, DataFrame] = {}
 
     def _shared(self, name: str, build) -> DataFrame:
@@ -126,13 +127,18 @@ class Pipeline:
 
     # --------------------------------------------------------------- marts
     def front_end(self, only: DataFrame | None = None) -> DataFrame:
-        """Q15. With ``buckets`` the driving table and every lookup are written in that many buckets of the line
-        first; the nine tables then meet without a shuffle, in this and in every later run over them."""
+        """Q15. With ``buckets`` the driving table and every lookup are written in buckets of the line first; the nine
+        tables then meet without a shuffle, in this and in every later run over them. There are ``buckets`` of them, or
+        as many more as keep ``bucket_rows`` rows of the largest base table to a bucket: a task joins one bucket
+        of each table, so its memory does not grow with the tables."""
         r = self.r
         tables = {"front_end": r.front_end, "cycles": r.cycles, "scores": r.scores}
         tables |= {name: getattr(self, name)(only) for name in mart.FEATURES}
         if self.buckets:
-            tables = {name: bucketed(df, "loan_id" if name == "scores" else "line_id", self.buckets, name)
+            # the features have one row per line at most
+            rows = max(tables[name].count() for name in ("front_end", "cycles", "scores"))
+            buckets = max(self.buckets, -(-rows // self.bucket_rows))
+            tables = {name: bucketed(df, "loan_id" if name == "scores" else "line_id", buckets, name)
                       for name, df in tables.items()}
         return mart.front_end_mart(**tables, only=only)
 

@@ -86,3 +86,21 @@ def test_mart_joins_buckets_without_a_shuffle(spark):
         assert rows(mart) == rows(plain) != []
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_buckets_grow_with_the_lines(spark):
+    """A task joins one bucket of each table, so a bucket's rows are bounded whatever the number of lines."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        roles = Roles(spark, SF)
+        lines = roles.front_end.count()
+        mart = Pipeline(roles, as_of="2000-01-01", materialize=True, buckets=2, bucket_rows=lines // 6).front_end()
+        assert mart.rdd.getNumPartitions() >= 6
+        assert "Exchange" not in executed(mart)
+        most = mart.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most < lines // 3
+        plain = Pipeline(roles, as_of="2000-01-01", materialize=True).front_end()
+        assert rows(mart) == rows(plain) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
