@@ -153,3 +153,14 @@ def plain_counts(rows, tokens):
         most[b] = max(n, most.get(b, 0))
     return [(i, n_a, n_b, g.count("|"), len(links), sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links),
              hashlib.sha256(g.encode()).hexdigest() if g else "") for i, n_a, n_b, g, links in per], per, counts, most
+
+
+def test_pieces_whose_bytes_differ_spoil_their_texts_only():
+    aligner = Aligner(A_FILE, B_FILE)
+    texts = ["plain words here", "a▁b words", "", "words here", "plain a▁b here"]
+    for _ in range(2):  # learnt, then looked up
+        found = aligner.encode(texts)
+        assert [x == (b"", b"") for x in found] == [False, True, True, False, True]
+        assert aligner.differ == {"a▁b"}
+        assert found == [Aligner.encode(aligner, [t])[0] for t in texts]
+    assert aligner.known_a.keys() == aligner.known_b.keys() == {"plain", "words", "here", "a▁b", ""}
