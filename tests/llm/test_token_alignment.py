@@ -161,6 +161,6 @@ def test_pieces_whose_bytes_differ_spoil_their_texts_only():
     for _ in range(2):  # learnt, then looked up
         found = aligner.encode(texts)
         assert [x == (b"", b"") for x in found] == [False, True, True, False, True]
-        assert aligner.differ == {"a▁b"}
+        assert aligner.differ == {"", "a▁b"}  # the empty text is a piece that B gives nothing for
         assert found == [Aligner.encode(aligner, [t])[0] for t in texts]
     assert aligner.known_a.keys() == aligner.known_b.keys() == {"plain", "words", "here", "a▁b", ""}
