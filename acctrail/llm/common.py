@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +38,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """``run`` of batches; at its end the worker, which lives on for other tasks, returns memory that it no longer uses."""
+    def released(batches):
+        import pyarrow as pa
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+    return released
+
+
+@contextlib.contextmanager
+def rows_a_batch(spark: SparkSession, rows: int):
+    """Python workers get at most ``rows`` rows at a time in the jobs that run inside; the setting is put back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the id's text modulo ``folds``; null ids count as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds

@@ -23,6 +23,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
     current = stored(canonical(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))), "links")
+    now = _sums(current)
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -32,14 +33,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))))
         small = stored(canonical(small), "links")
-        # both hold distinct links, so equal numbers and no new one mean equal sets
-        if small.count() == current.count() and small.exceptAll(current).isEmpty():
+        # both hold distinct links, so equal numbers and no new one mean equal sets; they are compared once their sums agree
+        before, now = now, _sums(small)
+        if now == before and small.exceptAll(current).isEmpty():
             break
         current = small
     roots = small.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return small.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _sums(links: DataFrame) -> tuple:
+    """Number of the links, and a checksum that does not depend on their order."""
+    return tuple(links.agg(F.count("a"), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+
 class Forest:
     """Union-find over 0..n-1 for the rows that one task holds."""
 

@@ -1,6 +1,7 @@
 import random
 from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from acctrail.llm import jaccard_join
@@ -137,3 +138,60 @@ def test_parent_boxes_hold_their_children_and_the_descent_prunes(spark):
     want = {(a[0], b[0]) for a in rows for b in rows if a[0] <= b[0] and may(a, b)}
     got = [tuple(r) for r in jaccard_join._leaf_pairs(leaves, num, den).collect()]
     assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < 40 * 41 // 2
+
+
+def _sets_near(rnd, x, y, both):
+    """Sorted hashes of two sets of sizes x and y with ``both`` in common."""
+    pool = np.array([rnd.getrandbits(64) for _ in range(x + y - both)], np.uint64)
+    return np.sort(pool[:x]), np.sort(np.concatenate([pool[:both], pool[x:]]))
+
+
+def test_linked_sets_share_a_token_with_any_list_of_common_shingles():
+    rnd = random.Random(3)
+    for num, den in ((8, 10), (9, 10), (1, 2)):
+        least = -(-num // (den - num))
+        for _ in range(1500):
+            x = rnd.choice([rnd.randint(least, 40), rnd.choice([2, 4, 8]) * 16 + rnd.randint(-2, 2), rnd.randint(100, 700)])
+            y = rnd.randint(x, x * den // num)
+            a, b = _sets_near(rnd, x, y, -(-num * (x + y) // (den + num)))
+            common = np.sort(np.array(rnd.sample(a.tolist(), rnd.choice([0, x // 2, x])), np.uint64))
+            sides = [np.frombuffer(t, np.uint64) for t in jaccard_join._tokens(
+                np.concatenate([a, b]), np.array([0, x, x + y]), num, den, common)]
+            assert len(np.intersect1d(*sides)), (num, den, x, y)
+
+
+def test_tokens_of_rare_shingles_come_first_and_unrelated_sets_share_none():
+    rnd = random.Random(4)
+    passage, n = np.array([rnd.getrandbits(64) for _ in range(60)], np.uint64), 200
+    sets = [np.sort(np.concatenate([passage, np.array([rnd.getrandbits(64) for _ in range(n - 60)], np.uint64)])) for _ in range(300)]
+    offsets = np.arange(0, n * 300 + 1, n)
+    found = [jaccard_join._tokens(np.concatenate(sets), offsets, 8, 10, c) for c in (np.zeros(0, np.uint64), np.sort(passage))]
+    again = [len(t) - len(np.unique(t)) for t in (np.frombuffer(b"".join(f), np.uint64) for f in found)]
+    assert again[1] == 0 < again[0]
+
+
+def test_few_pairs_of_leaves_for_texts_without_links(spark, monkeypatch):
+    """Boxes of unrelated texts of one length all overlap; only regions keep their pairs from growing with the square."""
+    monkeypatch.setattr(jaccard_join, "LEAF_ROWS", 2)
+    monkeypatch.setattr(jaccard_join, "FAN", 4)
+    rnd, counts, pairs_of = random.Random(7), [], jaccard_join._leaf_pairs
+
+    def counted(leaves, num, den):
+        pairs = pairs_of(leaves, num, den)
+        counts.append((leaves.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_leaf_pairs", counted)
+    rows = [(i, " ".join(f"w{rnd.randrange(5000)}" for _ in range(100))) for i in range(120)]
+    rows += [(200 + i, f"{text} end") for i, text in rows[:20]]
+    check(spark, rows, 5, Fraction(80, 100))
+    (leaves, pairs), = counts
+    assert 0 < leaves and pairs <= 4 * 140
+
+
+def test_leaves_of_other_regions_are_no_pairs(spark):
+    rows = [(i + 1, i // 4 * 10, i // 4 * 10 + 9 + i % 4 // 3, 100, 109, [2] * 64, [3] * 64) for i in range(40)]
+    leaves = spark.createDataFrame(rows, "leaf long, region_lo long, region_hi long, n_lo long, n_hi long, lo array<int>, hi array<int>")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] <= b[0] and a[1] <= b[2] and b[1] <= a[2]}
+    got = [tuple(r) for r in jaccard_join._leaf_pairs(leaves, 9, 10).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) < 160
