@@ -195,3 +195,13 @@ def test_leaves_of_other_regions_are_no_pairs(spark):
     want = {(a[0], b[0]) for a in rows for b in rows if a[0] <= b[0] and a[1] <= b[2] and b[1] <= a[2]}
     got = [tuple(r) for r in jaccard_join._leaf_pairs(leaves, 9, 10).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) < 160
+
+
+def test_op6_tokens_join_near_copies_only():
+    """3 words, 0.90: of 200 unrelated texts of one length, those with a near copy share a token with it, the others with none."""
+    rnd = random.Random(11)
+    texts = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(150)) for _ in range(200)]
+    texts += [f"{t} end" for t in texts[:20]]
+    gram, offsets = jaccard_join.shingle_sets([t.encode() for t in texts], 3)
+    tokens = [set(np.frombuffer(t, np.uint64).tolist()) for t in jaccard_join._tokens(gram, offsets, 9, 10, np.zeros(0, np.uint64))]
+    assert {(i, j) for j in range(220) for i in range(j) if tokens[i] & tokens[j]} == {(i, 200 + i) for i in range(20)}
